@@ -35,10 +35,10 @@ def flatten_recommendations(df: DataFrame, payload: str, *keep: str) -> DataFram
     return _tracks(df, F.from_json(payload, RECOMMENDATION_PAYLOAD)["tracks"], *keep)
 
 
-def supplement(primary: DataFrame, fallback: DataFrame, n: int, group: str, position: str) -> DataFrame:
+def supplement(primary: DataFrame, fallback: DataFrame, n: int, group: str, *position: str) -> DataFrame:
     """Up to ``n`` rows per group, primary first, filled up from the fallback."""
     both = primary.withColumn("_source", F.lit(0)).unionByName(fallback.withColumn("_source", F.lit(1)))
-    return top_per_group(both, n, [group], "_source", position)
+    return top_per_group(both, n, [group], "_source", *position)
 
 
 def build_catalog(
@@ -47,7 +47,7 @@ def build_catalog(
     genres: DataFrame,
     n: int = 50,
     key: str = "track_id",
-    order: tuple[str, ...] = ("genre_pos", "_source", "position"),
+    position: tuple[str, ...] = ("position",),
 ) -> DataFrame:
     """Tracks of every genre: supplement, tag with ``target_genre``, first wins, cap.
 
@@ -55,10 +55,10 @@ def build_catalog(
     first and leaves at most ``n`` rows per genre, so the de-duplication and
     the cap work on a small table whatever the size of the inputs.
     """
-    drawn = supplement(primary, fallback, n, "genre", "position")
+    drawn = supplement(primary, fallback, n, "genre", *position)
     tagged = drawn.join(genres, "genre")
-    unique = first_per_key(tagged, key, *order)
-    capped = top_per_group(unique, n, ["target_genre"], *order[1:])
+    unique = first_per_key(tagged, key, "genre_pos", "_source", *position)
+    capped = top_per_group(unique, n, ["target_genre"], "_source", *position)
     return capped.drop("_source")
 
 

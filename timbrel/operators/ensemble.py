@@ -78,6 +78,6 @@ def agreement(df: DataFrame, file: str, run: str, response: str) -> DataFrame:
 
 def agreement_of(responses: Column) -> Column:
     """The same measure for answers held in one array."""
-    sets = F.transform(responses, parse_set)
-    shared = F.aggregate(F.slice(sets, F.lit(2), F.greatest(F.size(sets), F.lit(1))), F.get(sets, F.lit(0)), F.array_intersect)
-    return F.try_divide(F.size(shared), F.array_max(F.transform(sets, F.size)))
+    sets = F.transform(responses, lambda r: parse_set(r))
+    shared = F.aggregate(F.slice(sets, F.lit(2), F.greatest(F.size(sets), F.lit(1))), F.get(sets, F.lit(0)), lambda a, b: F.array_intersect(a, b))
+    return F.try_divide(F.size(shared), F.array_max(F.transform(sets, lambda s: F.size(s))))

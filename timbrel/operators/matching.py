@@ -46,8 +46,8 @@ def match_tiers(
         F.inline(
             F.array(
                 F.struct(F.lit(1).alias("tier"), F.col("target").alias("probe")),
-                F.struct(F.lit(2), normalise_key(F.col("target"))),
-                F.struct(F.lit(3), F.try_element_at(alias_of, F.lower("target"))),
+                F.struct(F.lit(2).alias("tier"), normalise_key(F.col("target")).alias("probe")),
+                F.struct(F.lit(3).alias("tier"), F.try_element_at(alias_of, F.lower("target")).alias("probe")),
             )
         ),
     )
