@@ -32,47 +32,40 @@ def ensemble(df: DataFrame, responses: str, *keep: str) -> DataFrame:
     )
 
 
-def ensemble_rows(df: DataFrame, file: str, run: str, response: str) -> DataFrame:
+def ensemble_rows(df: DataFrame, file: str, response: str) -> DataFrame:
     """``(file, item, runs_with_item)`` from one row per answer.
 
-    For answers that were written run by run. Every step is a combined
-    aggregate, so a file with very many answers is never gathered.
+    For answers that were written run by run. Counts are combined map-side, so
+    a file with very many answers is never gathered.
     """
-    return (
-        df.select(file, run, F.explode(parse_set(F.col(response))).alias("item"))
-        .groupBy(file, "item", run)
-        .agg(F.lit(1).alias("_one"))
-        .groupBy(file, "item")
-        .agg(F.count("*").alias("runs_with_item"))
-    )
+    items = df.select(file, F.explode(parse_set(F.col(response))).alias("item"))
+    return items.groupBy(file, "item").agg(F.count("*").alias("runs_with_item"))
 
 
-def agreement(df: DataFrame, file: str, run: str, response: str) -> DataFrame:
-    """Items found by all runs of a file over the largest single run; null if all are empty.
+def agreement(df: DataFrame, file: str, response: str) -> DataFrame:
+    """Items found by all runs of a file over its largest run; null if all runs are empty.
 
-    Works on combined counts: items per (file, run), then runs per (file,
-    item). An item is shared when it occurs in as many runs as the file has.
+    From one row per answer, in one pass. Each answer also emits a null item,
+    whose count is the number of runs: the items of a file that are counted as
+    often as it are the shared ones. The last two groupings see one row per
+    distinct item and per distinct count, never a file's answers.
     """
-    answers = df.select(file, run, parse_set(F.col(response)).alias("_items"))
-    items = answers.select(file, run, F.explode("_items").alias("item")).distinct()
-    largest = items.groupBy(file, run).agg(F.count("*").alias("_n")).groupBy(file).agg(F.max("_n").alias("max_size"))
-    runs = answers.select(file, run).distinct().groupBy(file).agg(F.count("*").alias("num_runs"))
-    shared = (
-        items.groupBy(file, "item")
-        .agg(F.count("*").alias("_runs"))
-        .groupBy(file, "_runs")
-        .agg(F.count("*").alias("_shared"))
+    nothing = F.array(F.lit(None).cast("string"))
+    items = df.select(file, parse_set(F.col(response)).alias("_items")).select(
+        file, F.size("_items").alias("_size"), F.explode(F.concat(nothing, "_items")).alias("_item")
     )
     return (
-        runs.join(largest, file, "left")
-        .join(shared.withColumnRenamed("_runs", "num_runs"), [file, "num_runs"], "left")
-        .select(
-            file,
-            "num_runs",
-            F.coalesce("_shared", F.lit(0)).alias("shared_items"),
-            F.coalesce("max_size", F.lit(0)).alias("max_size"),
-            F.try_divide(F.coalesce("_shared", F.lit(0)), F.col("max_size")).alias("agreement"),
+        items.groupBy(file, "_item")
+        .agg(F.count("*").alias("_runs"), F.max("_size").alias("_size"))
+        .groupBy(file, "_runs")
+        .agg(F.count("*").alias("_n"), F.max("_size").alias("_size"))
+        .groupBy(file)
+        .agg(
+            F.max("_runs").alias("num_runs"),
+            (F.max_by("_n", "_runs") - 1).alias("shared_items"),
+            F.max("_size").cast("bigint").alias("max_size"),
         )
+        .withColumn("agreement", F.try_divide("shared_items", "max_size"))
     )
 
 

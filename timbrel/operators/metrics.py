@@ -38,10 +38,12 @@ def intake_status(track_found: Column, track_name: Column, hits: Column, error:
     )
 
 
-def status_counts(df: DataFrame, status: str = "status") -> DataFrame:
-    """Rows per status; a debug run counts as downloaded."""
+def status_counts(df: DataFrame, status: str = "status", reason: str = "reason") -> DataFrame:
+    """Rows, and rows with a reason, per status; a debug run counts as downloaded."""
     merged = F.when(F.col(status) == "debug", F.lit("downloaded")).otherwise(F.col(status))
-    return df.groupBy(merged.alias("status")).agg(F.count("*").alias("n"))
+    return df.groupBy(merged.alias("status")).agg(
+        F.count("*").alias("n"), F.count_if(F.col(reason) != "").alias("with_reason")
+    )
 
 
 def throughput(

@@ -7,20 +7,18 @@ from pyspark.sql import functions as F
 
 
 def _range_bounds(df: DataFrame, key: Column, ranges: int, per_range: int = 16) -> list:
-    """Cut points between ``ranges`` ranges, read from a fixed sample of the keys.
+    """Cut points between ``ranges`` ranges, from a sample of about 16 keys per range.
 
-    The sample is the keys with the smallest hashes: a distributed top-k of
-    bounded size which is the same on every run, so every later evaluation
-    puts a row into the same range.
+    They become literals of the plan, so every evaluation of it puts a row into
+    the same range. A poor sample makes ranges uneven, never wrong.
     """
-    sample = (
-        df.select(key.alias("k")).orderBy(F.xxhash64("k"), "k").limit(ranges * per_range).collect()
-    )
+    wanted = ranges * per_range
+    fraction = min(1.0, wanted / max(df.count(), 1))
+    sample = df.select(key.alias("k")).sample(fraction, seed=7).limit(2 * wanted).collect()
     keys = sorted(row.k for row in sample if all(v is not None for v in row.k))
     if not keys:
         return []
-    cuts = [keys[len(keys) * i // ranges] for i in range(1, ranges)]
-    return sorted(set(cuts))
+    return sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)})
 
 
 def _range_of(key: Column, bounds: list, key_type) -> Column:
@@ -94,12 +92,23 @@ def find_first(df: DataFrame, column: str, value, *order: str) -> DataFrame:
     return df.filter(F.col(column) == F.lit(value)).orderBy(*order).limit(1)
 
 
-def top_per_group(df: DataFrame, n: int, groups: list[str], *order: str | Column) -> DataFrame:
+def top_per_group(df: DataFrame, n: int, groups: list[str], *order: str, spread: int = 64) -> DataFrame:
     """First ``n`` rows of every group.
 
-    ``row_number() <= n`` is cut to ``n`` rows per group before the shuffle, so
-    a group holding most rows sends at most ``n`` per task.
+    For small ``n``, ``row_number() <= n`` is cut to ``n`` rows per group and
+    task before the shuffle. Beyond the limit up to which Spark does that, a
+    group is first cut in ``spread`` shares, so one holding most rows is not
+    sorted by one task.
     """
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n >= limit:
+        share = Window.partitionBy(*groups, "_share").orderBy(*order)
+        df = (
+            df.withColumn("_share", F.pmod(F.xxhash64(*order), F.lit(spread)))
+            .withColumn("_rn", F.row_number().over(share))
+            .filter(F.col("_rn") <= n)
+            .drop("_share", "_rn")
+        )
     w = Window.partitionBy(*groups).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 

@@ -87,12 +87,12 @@ def unpivot_layers(df: DataFrame, *keep: str) -> DataFrame:
 
 def skip_existing(inputs: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Inputs without an output yet."""
-    return inputs.join(existing.select(key), key, "left_anti")
+    return inputs.join(existing.select(key).distinct(), key, "left_anti")
 
 
 def missing_results(jobs: DataFrame, results: DataFrame, key: str) -> DataFrame:
     """Jobs without any result row."""
-    return jobs.join(results.select(key), key, "left_anti")
+    return jobs.join(results.select(key).distinct(), key, "left_anti")
 
 
 def completeness(jobs: DataFrame, results: DataFrame, key: str) -> DataFrame:

@@ -14,14 +14,13 @@ _ALIASES = {f"big {t}": t.upper() for t in ("standard", "medium", "promo", "larg
 _AVAILABLE_SQL = """
     available AS (
         SELECT p_type AS name, min(p_partkey) AS pos FROM part GROUP BY p_type
-        UNION ALL SELECT replace(p_name, ' ', '-'), min(p_partkey) + 1000000000 FROM part WHERE p_partkey % 2 = 0 GROUP BY ALL)"""
+        UNION ALL SELECT replace(p_name, ' ', '-'), min(p_partkey) + 1000000000 FROM part GROUP BY ALL)"""
 
 
 def _available(part):
     types = part.groupBy(F.col("p_type").alias("name")).agg(F.min("p_partkey").alias("pos"))
     hyphened = (
-        part.filter("p_partkey % 2 = 0")
-        .groupBy(F.replace("p_name", F.lit(" "), F.lit("-")).alias("name"))
+        part.groupBy(F.replace("p_name", F.lit(" "), F.lit("-")).alias("name"))
         .agg((F.min("p_partkey") + 1000000000).alias("pos"))
     )
     return types.unionByName(hyphened)

@@ -221,11 +221,7 @@ def status_counts(spark, folder):
         F.when((F.col("o.status") == "downloaded") & (eid % 2 == 0), "debug").otherwise(F.col("o.status")).alias("status"),
         "o.reason",
     )
-    merged = metrics.status_counts(found)
-    reasons = metrics.status_counts(found.filter("reason <> ''")).withColumnRenamed("n", "with_reason")
-    return merged.join(reasons, "status", "left").select(
-        "status", "n", F.coalesce("with_reason", F.lit(0)).alias("with_reason")
-    )
+    return metrics.status_counts(found)
 
 
 @query(

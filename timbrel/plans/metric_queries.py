@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from timbrel.operators import ensemble, metrics
+from timbrel.operators.positions import skip_first
 from timbrel.plans.job_queries import ERROR_TEXT, IS_ERROR_SQL
 from timbrel.plans.registry import query, table
 
@@ -40,24 +41,23 @@ def throughput_after_warmup(spark, folder):
     "SELECT event_id, event_type FROM events QUALIFY row_number() OVER (ORDER BY ts, event_id) > 25",
 )
 def exclude_warmup_rows(spark, folder):
-    from timbrel.operators.positions import skip_first
-
     return skip_first(table(spark, folder, "events"), 25, "event_id", "ts", "event_id").select("event_id", "event_type")
 
 
 @query(
     "stage_stats",
     """
-    WITH t AS (SELECT event_type AS stage, CASE WHEN event_id % 4 = 0 THEN value END AS ms,
-                      CASE WHEN event_id % 4 = 0 THEN 4 END AS n FROM events WHERE event_type <> 'signup' OR event_id % 4 <> 0),
+    WITH t AS (SELECT event_type AS stage, CASE WHEN event_id % 4 = 0 AND event_type <> 'signup' THEN value END AS ms,
+                      CASE WHEN event_id % 4 = 0 AND event_type <> 'signup' THEN 4 END AS n FROM events),
     g AS (SELECT stage, CAST(coalesce(sum(n), 0) AS BIGINT) AS processed_count, count(ms) AS batch_count,
                  CAST(coalesce(sum(CAST(ms AS DECIMAL(18,3))), 0) AS DOUBLE) AS total_ms FROM t GROUP BY stage)
     SELECT *, coalesce(total_ms / nullif(batch_count, 0), 0) AS ms_per_batch,
            coalesce(total_ms / nullif(processed_count, 0), 0) AS ms_per_row FROM g""",
 )
 def stage_stats(spark, folder):
-    first = F.col("event_id") % 4 == 0
-    timed = table(spark, folder, "events").filter("event_type <> 'signup' OR event_id % 4 <> 0").select(
+    # every fourth row leads a batch and carries its timing; sign-ups never ran
+    first = (F.col("event_id") % 4 == 0) & (F.col("event_type") != "signup")
+    timed = table(spark, folder, "events").select(
         F.col("event_type").alias("stage"), F.when(first, F.col("value")).alias("ms"), F.when(first, 4).alias("n")
     )
     return metrics.stage_stats(timed, "stage", "ms", "n")
@@ -161,7 +161,7 @@ def ensemble_answers(spark, folder):
 
 def _runs(spark, folder):
     parts = ensemble.replicate_runs(table(spark, folder, "part"), RUNS)
-    return parts.select("p_partkey", "run", F.expr(RUN_TEXT).alias("response"))
+    return parts.select("p_partkey", F.expr(RUN_TEXT).alias("response"))
 
 
 @query(
@@ -171,7 +171,7 @@ def _runs(spark, folder):
     SELECT p_partkey, item, count(*) AS runs_with_item FROM one GROUP BY p_partkey, item""",
 )
 def ensemble_rows(spark, folder):
-    return ensemble.ensemble_rows(_runs(spark, folder), "p_partkey", "run", "response")
+    return ensemble.ensemble_rows(_runs(spark, folder), "p_partkey", "response")
 
 
 _AGREEMENT_SQL = f"""
@@ -185,7 +185,7 @@ _AGREEMENT_SQL = f"""
     f"{_AGREEMENT_SQL} SELECT p_partkey, num_runs, shared_items, max_size, shared_items / nullif(max_size, 0)::DOUBLE AS agreement FROM s",
 )
 def agreement(spark, folder):
-    return ensemble.agreement(_runs(spark, folder), "p_partkey", "run", "response")
+    return ensemble.agreement(_runs(spark, folder), "p_partkey", "response")
 
 
 @query(

@@ -9,6 +9,7 @@ from timbrel.plans.job_queries import ERROR_TEXT, IS_ERROR_SQL
 from timbrel.plans.registry import query, table
 from timbrel.plans.stage_queries import ANNOTATE_SQL, annotated, flat_layers
 from timbrel.session import run_dir
+from timbrel.sinks.tables import read_split
 from timbrel.sources.media import stream_table
 from timbrel.streaming import runs
 
@@ -49,11 +50,8 @@ def stream_annotate(spark, folder):
 def stream_split_sink(spark, folder):
     path = run_dir(spark, "stream-split")
     runs.start_split(_with_error(_arriving(spark, folder, "events")), path).awaitTermination()
-    branches = [
-        spark.read.parquet(f"{path}/{b}").select(F.lit(b).alias("branch"), "event_id", "user_id", "error")
-        for b in ("success", "failure")
-    ]
-    return branches[0].unionByName(branches[1])
+    good, bad = read_split(spark, f"{path}/table")
+    return good.withColumn("branch", F.lit("success")).unionByName(bad.withColumn("branch", F.lit("failure")))
 
 
 @query("stream_late_jobs", f"{_ERRORS_SQL} SELECT event_id, user_id, error FROM e")

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from timbrel.functions.errors import is_error
-from timbrel.operators.results import split_errors
 from timbrel.schemas import LAYERS
 
 
@@ -84,7 +83,9 @@ def report_lines(results: DataFrame, load_seconds: float, run_seconds: float, or
         F.col(order).alias("position"),
         F.concat(F.when(F.col(order) == first, F.lit("")).otherwise(F.lit(",")), report_rows(results)).alias("line"),
     )
-    tail = head.select(F.lit(2).alias("part"), "position", F.lit("]}").alias("line"))
+    tail = results.sparkSession.range(1).select(
+        F.lit(2).alias("part"), F.lit(None).cast(results.schema[order].dataType).alias("position"), F.lit("]}").alias("line")
+    )
     return head.unionAll(body).unionAll(tail)
 
 
@@ -109,21 +110,28 @@ def iterate_results(df: DataFrame, size: int = 1) -> Iterator[list[Row]]:
 def split_sink(
     path: str, error: str = "error", on_success: Callable[[DataFrame, int], None] | None = None
 ) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function writing successes and failures to two tables.
+    """``foreachBatch`` function writing successes and failures apart.
 
-    Each micro-batch owns a folder and overwrites it, so a batch repeated after
-    a failure leaves no duplicates. ``on_success`` gets the successes.
+    A micro-batch is computed and written once, into a folder of its own with
+    one partition per branch. A batch repeated after a failure overwrites that
+    folder, so nothing is written twice. ``on_success`` gets the written
+    successes.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            good, bad = split_errors(batch, error)
-            good.write.mode("overwrite").parquet(f"{path}/success/batch={batch_id}")
-            bad.write.mode("overwrite").parquet(f"{path}/failure/batch={batch_id}")
-            if on_success:
-                on_success(good, batch_id)
-        finally:
-            batch.unpersist()
+        folder = f"{path}/batch={batch_id}"
+        marked = batch.withColumn("branch", F.when(is_error(F.col(error)), "failure").otherwise("success"))
+        marked.write.mode("overwrite").partitionBy("branch").parquet(folder)
+        if on_success:
+            written = batch.sparkSession.read.schema(marked.schema).parquet(folder)
+            on_success(written.filter("branch = 'success'").drop("branch"), batch_id)
 
     return write
+
+
+def read_split(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(successes, failures) written by :func:`split_sink`; each reads its own folders only."""
+    written = spark.read.parquet(path)
+    return tuple(
+        written.filter(F.col("branch") == branch).drop("branch", "batch") for branch in ("success", "failure")
+    )

@@ -38,7 +38,7 @@ def start_split(
     """Successes and failures of a stream to two tables."""
     trigger = {"availableNow": True} if available_now else {"processingTime": every}
     return (
-        stream.writeStream.foreachBatch(split_sink(path, error, on_success))
+        stream.writeStream.foreachBatch(split_sink(f"{path}/table", error, on_success))
         .option("checkpointLocation", f"{path}/checkpoint")
         .trigger(**trigger)
         .start()
