@@ -48,20 +48,62 @@ def genre_match(spark, folder):
     return matching.match_tiers(targets, "spelling", _available(part), "name", "pos", _ALIASES)
 
 
-# The similarity tier: SQL has no such measure, so both ways of finding the
-# closest key are compared with a plain loop in the tests instead.
-@query("genre_match_similar")
+# The similarity measure said in SQL: the longest common block of two words,
+# then the same on both sides of it, until nothing is left in common.
+_SIMILAR_SQL = f"""
+    WITH RECURSIVE {_AVAILABLE_SQL},
+    targets AS (SELECT DISTINCT lower({_SPELLING}) || 's' AS target FROM part),
+    lowered AS (SELECT lower(name) AS low, arg_min(name, pos) AS name FROM available GROUP BY lower(name)),
+    tiers AS (
+        SELECT t.target, replace(replace(t.target, ' ', '-'), '&', 'n') AS b, e.name AS exact, l.name AS norm, x.name AS alias
+        FROM targets t
+        LEFT JOIN (SELECT DISTINCT name FROM available) e ON e.name = t.target
+        LEFT JOIN lowered l ON l.low = replace(replace(t.target, ' ', '-'), '&', 'n')
+        LEFT JOIN available x ON t.target LIKE 'big %' AND x.name = upper(substr(t.target, 5))),
+    words AS (SELECT DISTINCT name AS a FROM available),
+    pairs AS (SELECT DISTINCT b, a FROM tiers, words WHERE coalesce(exact, norm, alias) IS NULL),
+    ca AS (SELECT a, i, substr(a, i, 1) AS c FROM (SELECT a, unnest(range(1, length(a) + 1)) AS i FROM words)),
+    cb AS (SELECT b, j, substr(b, j, 1) AS c FROM (SELECT b, unnest(range(1, length(b) + 1)) AS j FROM (SELECT DISTINCT b FROM pairs))),
+    cells AS (SELECT a, b, i, j, j - i AS diag FROM ca JOIN cb USING (c)),
+    runs AS (SELECT *, i - row_number() OVER (PARTITION BY a, b, diag ORDER BY i) AS grp FROM cells),
+    ext AS (SELECT a, b, i, j, count(*) OVER (PARTITION BY a, b, diag, grp ORDER BY i DESC) AS k FROM runs),
+    blocks AS (
+        SELECT a, b, 1 AS alo, length(a) + 1 AS ahi, 1 AS blo, length(b) + 1 AS bhi, 0 AS m FROM pairs
+        UNION ALL
+        SELECT a, b, s.alo, s.ahi, s.blo, s.bhi, s.m FROM (
+            SELECT a, b, unnest([
+                {{'alo': alo, 'ahi': best.i, 'blo': blo, 'bhi': best.j, 'm': best.k}},
+                {{'alo': best.i + best.k, 'ahi': ahi, 'blo': best.j + best.k, 'bhi': bhi, 'm': 0}}]) AS s
+            FROM (
+                SELECT q.a, q.b, q.alo, q.ahi, q.blo, q.bhi,
+                       arg_max({{'i': e.i, 'j': e.j, 'k': least(e.k, q.ahi - e.i, q.bhi - e.j)}},
+                               least(e.k, q.ahi - e.i, q.bhi - e.j) * 1000000 - e.i * 1000 - e.j) AS best
+                FROM blocks q JOIN ext e
+                  ON e.a = q.a AND e.b = q.b AND e.i >= q.alo AND e.i < q.ahi AND e.j >= q.blo AND e.j < q.bhi
+                GROUP BY ALL))),
+    scores AS (SELECT a, b, 2.0 * sum(m) / (length(a) + length(b)) AS score FROM blocks GROUP BY a, b),
+    closest AS (SELECT b, arg_max(a, {{'score': score, 'a': a}}) AS name FROM scores WHERE score >= 0.6 GROUP BY b)
+    SELECT target, coalesce(exact, norm, alias, c.name) AS match,
+           CASE WHEN exact IS NOT NULL THEN 1 WHEN norm IS NOT NULL THEN 2 WHEN alias IS NOT NULL THEN 3
+                WHEN c.name IS NOT NULL THEN 4 END AS tier
+    FROM tiers t LEFT JOIN closest c ON c.b = t.b"""
+
+
+def _misspelt(part):
+    return part.select(F.concat(F.lower(F.expr(_SPELLING)), F.lit("s")).alias("spelling"))
+
+
+@query("genre_match_similar", _SIMILAR_SQL)
 def genre_match_similar(spark, folder):
     part = table(spark, folder, "part")
-    targets = part.select(F.concat(F.lower(F.expr(_SPELLING)), F.lit("s")).alias("spelling"))
-    return matching.match_keys(targets, "spelling", _available(part), "name", "pos", _ALIASES)
+    return matching.match_keys(_misspelt(part), "spelling", _available(part), "name", "pos", _ALIASES)
 
 
-@query("genre_match_similar_join")
+@query("genre_match_similar_join", _SIMILAR_SQL)
 def genre_match_similar_join(spark, folder):
+    # the way for candidate lists too long for one worker, forced here
     part = table(spark, folder, "part")
-    targets = part.select(F.concat(F.lower(F.expr(_SPELLING)), F.lit("s")).alias("spelling"))
-    return matching.match_keys(targets, "spelling", _available(part), "name", "pos", _ALIASES, max_candidates=0)
+    return matching.match_keys(_misspelt(part), "spelling", _available(part), "name", "pos", _ALIASES, max_candidates=0)
 
 
 @query(
