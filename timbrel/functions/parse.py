@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ast
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -32,41 +32,55 @@ def outer_list(text: Column) -> Column:
     return F.regexp_extract(text, r"(?s)\[.*\]", 0)
 
 
-def _only_value(slice_: Column, element: str, options: dict[str, str]) -> tuple[Column, Column]:
-    """(parsed value, is the slice exactly one JSON value).
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value evaluated once, also where branches use it again."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-    The JSON reader stops after the first value, so the slice is read twice in
-    a wrapper: as a list of one, which refuses trailing text, and as a member,
-    which refuses ``x][y``.
+
+def _read(slice_: Column, element: str, member: str, options: dict[str, str], body: Callable[[Column], Column]) -> Column:
+    """``body(struct<list, member>)`` of a slice read as a list of one and as a member.
+
+    The JSON reader stops after the first value. As a list of one the slice
+    cannot have trailing text, unless it closes the list itself (``x][y``);
+    as a member it cannot have that, unless it closes the object (``x}} y``).
+    No slice passes both but a single JSON value. An empty slice is not read.
     """
-    as_list = F.from_json(F.concat(F.lit("["), slice_, F.lit("]")), f"array<{element}>", options)
-    as_member = F.from_json(
-        F.concat(F.lit('{"v":'), slice_, F.lit("}")),
-        "struct<v:map<string,string>>" if element.startswith("struct") else f"struct<v:{element}>",
-        options,
-    )
-    sound = F.coalesce((slice_ != "") & (F.size(as_list) == 1) & as_member["v"].isNotNull(), F.lit(False))
-    return F.get(as_list, F.lit(0)), sound
+
+    def read(s: Column) -> Column:
+        return F.struct(
+            F.from_json(F.concat(F.lit("["), s, F.lit("]")), f"array<{element}>", options).alias("list"),
+            F.from_json(F.concat(F.lit('{"v":'), s, F.lit("}")), f"struct<v:{member}>", options)["v"].alias("member"),
+        )
+
+    return let(slice_, lambda s: F.when(s != "", let(read(s), body)))
+
+
+def _sound(read: Column) -> Column:
+    return F.coalesce((F.size(read["list"]) == 1) & read["member"].isNotNull(), F.lit(False))
 
 
 def _layers(text: Column, lenient: bool) -> Column:
-    body = outer_object(text)
     element = "struct<" + ",".join(f"{name}:array<string>" for name in LAYERS) + ">"
-    value, sound = _only_value(body, element, _STRICT)
-    keys = F.get(
-        F.from_json(F.concat(F.lit("["), body, F.lit("]")), "array<map<string,string>>", _STRICT), F.lit(0)
-    )
     empty = F.array().cast("array<string>")
-    lists = {}
-    for name in LAYERS:
-        unusable = F.coalesce(F.map_contains_key(keys, name), F.lit(False)) & value[name].isNull()
-        if lenient:
-            lists[name] = F.when(~sound, empty).when(unusable, F.lit(None)).otherwise(F.coalesce(value[name], empty))
-        else:
-            sound = sound & ~unusable
-    if not lenient:
-        lists = {name: F.when(sound, F.coalesce(value[name], empty)).otherwise(empty) for name in LAYERS}
-    return F.struct(*[lists[name].alias(name) for name in LAYERS])
+
+    def lists(read: Column) -> Column:
+        value = F.get(read["list"], F.lit(0))
+        sound = _sound(read)
+        # the key is there, but its value is null or no list
+        unusable = {n: F.map_contains_key(read["member"], n) & value[n].isNull() for n in LAYERS}
+        if not lenient:
+            for name in LAYERS:
+                sound = sound & ~unusable[name]
+        found = F.struct(
+            *[
+                F.when(~unusable[n] if lenient else F.lit(True), F.coalesce(value[n], empty)).alias(n)
+                for n in LAYERS
+            ]
+        )
+        return F.when(sound, found)
+
+    nothing = F.struct(*[empty.alias(n) for n in LAYERS])
+    return F.coalesce(_read(outer_object(text), element, "map<string,string>", _STRICT, lists), nothing)
 
 
 def parse_layers(text: Column) -> Column:
@@ -101,8 +115,13 @@ def _list_items(text: Column, exact: bool) -> Column:
     body = outer_list(text)
     if exact:
         return F.when(body != "", _literal_list(body))
-    value, sound = _only_value(body, "array<string>", {"allowSingleQuotes": "true"})
-    return F.when(sound, value)
+    return _read(
+        body,
+        "array<string>",
+        "array<string>",
+        {"allowSingleQuotes": "true"},
+        lambda r: F.when(_sound(r), F.get(r["list"], F.lit(0))),
+    )
 
 
 def parse_list(text: Column, exact: bool = False) -> Column:
@@ -121,8 +140,13 @@ def parse_set(text: Column, exact: bool = False) -> Column:
 
 def parse_timeline(text: Column) -> Column:
     """Instrument timeline of an answer; null when it is not one sound JSON object."""
-    value, sound = _only_value(outer_object(text), TIMELINE, _STRICT)
-    return F.when(sound, value)
+    return _read(
+        outer_object(text),
+        TIMELINE,
+        "map<string,string>",
+        _STRICT,
+        lambda r: F.when(_sound(r), F.get(r["list"], F.lit(0))),
+    )
 
 
 def clock_seconds(clock: Column) -> Column:

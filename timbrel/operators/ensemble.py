@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from timbrel.functions.parse import parse_set
+from timbrel.functions.parse import let, parse_set
 
 
 def replicate_runs(df: DataFrame, runs: int, name: str = "run") -> DataFrame:
@@ -71,6 +71,10 @@ def agreement(df: DataFrame, file: str, response: str) -> DataFrame:
 
 def agreement_of(responses: Column) -> Column:
     """The same measure for answers held in one array."""
-    sets = F.transform(responses, lambda r: parse_set(r))
-    shared = F.aggregate(F.slice(sets, F.lit(2), F.greatest(F.size(sets), F.lit(1))), F.get(sets, F.lit(0)), lambda a, b: F.array_intersect(a, b))
-    return F.try_divide(F.size(shared), F.array_max(F.transform(sets, lambda s: F.size(s))))
+
+
+    def measure(sets: Column) -> Column:
+        shared = F.aggregate(sets, F.get(sets, F.lit(0)), lambda a, b: F.array_intersect(a, b))
+        return F.try_divide(F.size(shared), F.array_max(F.transform(sets, lambda s: F.size(s))))
+
+    return let(F.transform(responses, lambda r: parse_set(r)), measure)

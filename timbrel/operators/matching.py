@@ -70,7 +70,9 @@ def _closest_of(candidates: list[str], threshold: float):
     @F.pandas_udf(T.StringType())
     def closest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield batch.map(lambda t: next(iter(difflib.get_close_matches(t, candidates, 1, threshold)), None))
+            yield batch.map(
+                lambda t: None if t is None else next(iter(difflib.get_close_matches(t, candidates, 1, threshold)), None)
+            )
 
     return closest
 
@@ -164,15 +166,17 @@ def match_keys(
     tiers = match_tiers(targets, target, available, candidate, position, aliases)
     probe = F.when(F.col("match").isNull(), normalise_key(F.col("target")))
     short = [r[0] for r in available.select(candidate).distinct().limit(max_candidates + 1).collect()]
+    probed = tiers.withColumn("_probe", probe)
     if len(short) <= max_candidates:
-        closest = _closest_of(short, threshold)
-        left = tiers.filter(F.col("match").isNull()).select("target", closest(probe).alias("match"))
+        found = probed.withColumn("_found", _closest_of(short, threshold)("_probe"))
     else:
-        open_ = tiers.filter(F.col("match").isNull()).select("target", probe.alias("_probe"))
-        found = closest_by_join(open_, "_probe", available, candidate, threshold)
-        left = open_.join(found.withColumnRenamed("target", "_probe"), "_probe", "left").select("target", "match")
-    left = left.withColumn("tier", F.when(F.col("match").isNotNull(), F.lit(4)))
-    return tiers.filter(F.col("match").isNotNull()).unionByName(left)
+        pairs = closest_by_join(probed, "_probe", available, candidate, threshold)
+        found = probed.join(pairs.toDF("_probe", "_found"), "_probe", "left")
+    return found.select(
+        "target",
+        F.coalesce("match", "_found").alias("match"),
+        F.coalesce("tier", F.when(F.col("_found").isNotNull(), F.lit(4))).alias("tier"),
+    )
 
 
 def unmatched(matches: DataFrame) -> DataFrame:

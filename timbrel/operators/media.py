@@ -6,6 +6,7 @@ import io
 import math
 import wave
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -40,22 +41,28 @@ def decode_pcm_wav(content: bytes) -> tuple[np.ndarray, int]:
     return samples.reshape(-1, channels).T, rate
 
 
-def resample(samples: np.ndarray, rate: int, target: int) -> np.ndarray:
-    """Band-limited resampling with a Hann-windowed sinc, one kernel per output phase."""
-    if rate == target or samples.size == 0:
-        return samples.astype("float32")
-    g = math.gcd(rate, target)
-    up, down = target // g, rate // g
+@lru_cache(maxsize=32)
+def _kernel(down: int, up: int) -> tuple[np.ndarray, int]:
+    """(one row of taps per output phase, reach of the taps) of a Hann-windowed sinc."""
     cutoff = min(up, down) * ROLLOFF
     reach = math.ceil(FILTER_WIDTH * down / cutoff)
     # time of each tap relative to each output phase, in zero crossings of the kernel
     taps = np.arange(-reach, reach + down) / down
     t = np.clip((taps[None, :] - np.arange(up)[:, None] / up) * cutoff, -FILTER_WIDTH, FILTER_WIDTH)
     kernel = np.sinc(t) * np.cos(t * np.pi / (2 * FILTER_WIDTH)) ** 2 * (cutoff / down)
+    return kernel.T.astype("float32"), reach
+
+
+def resample(samples: np.ndarray, rate: int, target: int) -> np.ndarray:
+    """Band-limited resampling; the length is ``ceil(samples * target / rate)``."""
+    if rate == target or samples.size == 0:
+        return samples.astype("float32")
+    g = math.gcd(rate, target)
+    down, up = rate // g, target // g
+    kernel, reach = _kernel(down, up)
     padded = np.pad(samples.astype("float32"), (reach, reach + down))
-    frames = np.lib.stride_tricks.sliding_window_view(padded, taps.size)[::down]
-    out = frames @ kernel.T.astype("float32")
-    return out.ravel()[: math.ceil(samples.size * up / down)].astype("float32")
+    frames = np.lib.stride_tricks.sliding_window_view(padded, kernel.shape[0])[::down]
+    return (frames @ kernel).ravel()[: -(-samples.size * up // down)].astype("float32")
 
 
 def to_mono(channels: np.ndarray) -> np.ndarray:

@@ -2,33 +2,49 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _range_bounds(df: DataFrame, key: Column, ranges: int, per_range: int = 16) -> list:
-    """Cut points between ``ranges`` ranges, from a sample of about 16 keys per range.
+def _range_bounds(df: DataFrame, order: tuple[str, ...], ranges: int, per_range: int = 16) -> list[tuple]:
+    """Cut points of about ``ranges`` even ranges, from a sample of 16 keys per range.
 
-    They become literals of the plan, so every evaluation of it puts a row into
-    the same range. A poor sample makes ranges uneven, never wrong.
+    As few leading columns are used as tell the sampled rows apart. The cut
+    points become literals of the plan, so every evaluation of it puts a row
+    into the same range; a poor sample makes ranges uneven, never wrong.
     """
     wanted = ranges * per_range
     fraction = min(1.0, wanted / max(df.count(), 1))
-    sample = df.select(key.alias("k")).sample(fraction, seed=7).limit(2 * wanted).collect()
-    keys = sorted(row.k for row in sample if all(v is not None for v in row.k))
-    if not keys:
-        return []
-    return sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)})
-
-
-def _range_of(key: Column, bounds: list, key_type) -> Column:
-    """How many bounds are <= key: a binary search folded over its step sizes."""
-    array = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(b, key_type.fields)]) for b in bounds])
+    sample = df.select(*order).sample(fraction, seed=7).limit(2 * wanted).collect()
+    keys = [tuple(row) for row in sample if all(v is not None for v in row)]
+    width = 1
+    while width < len(order) and keys and Counter(k[:width] for k in keys).most_common(1)[0][1] > per_range // 2:
+        width += 1
+    keys = sorted(k[:width] for k in keys)
+    return sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)}) if keys else []
+
+
+def _range_of(df: DataFrame, order: tuple[str, ...], bounds: list[tuple]) -> Column:
+    """How many bounds are <= the key: a binary search folded over its step sizes."""
+    if not bounds:
+        return F.lit(0)
+    columns = order[: len(bounds[0])]
+    types = [df.schema[c].dataType for c in columns]
+
+    def literals(bound: tuple) -> list[Column]:
+        return [F.lit(v).cast(t).alias(c) for v, t, c in zip(bound, types, columns)]
+
+    if len(columns) == 1:
+        key, cuts = F.col(columns[0]), F.array(*[literals(b)[0] for b in bounds])
+    else:
+        key, cuts = F.struct(*columns), F.array(*[F.struct(*literals(b)) for b in bounds])
     steps = [1 << s for s in reversed(range(len(bounds).bit_length()))]
     return F.aggregate(
         F.lit(steps),
         F.lit(0),
-        lambda at, step: F.when(F.get(array, at + step - 1) <= key, at + step).otherwise(at),
+        lambda at, step: F.when(F.get(cuts, at + step - 1) <= key, at + step).otherwise(at),
     )
 
 
@@ -38,17 +54,12 @@ def with_position(df: DataFrame, *order: str, name: str = "position", ranges: in
     Rows are numbered inside ranges of the key, and each range is shifted by
     the sizes of the ranges before it. ``order`` must identify a row, which
     also keeps the ranges even. Only the counts per range, at most ``ranges``
-    rows, are brought together.
+    rows, are brought together. ``df`` is read three times (sample, sizes,
+    rows), the first two with the order columns only.
     """
-    spark = df.sparkSession
-    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = F.struct(*order)
-    bounds = _range_bounds(df, key, ranges)
-    if bounds:
-        key_type = df.select(key.alias("k")).schema["k"].dataType
-        ranged = df.withColumn("_range", _range_of(key, bounds, key_type))
-    else:
-        ranged = df.withColumn("_range", F.lit(0))
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = _range_bounds(df, order, ranges)
+    ranged = df.withColumn("_range", _range_of(df, order, bounds))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy("_range")
@@ -58,7 +69,7 @@ def with_position(df: DataFrame, *order: str, name: str = "position", ranges: in
     inside = Window.partitionBy("_range").orderBy(*order)
     return (
         ranged.withColumn("_row", F.row_number().over(inside) - 1)
-        .join(F.broadcast(offsets), "_range")
+        .join(F.broadcast(offsets), "_range", "left")
         .withColumn(name, F.col("_offset") + F.col("_row"))
         .drop("_range", "_row", "_offset")
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from timbrel.functions import chat, parse
 from timbrel.operators.results import unpivot_layers
 from timbrel.plans.registry import query, table
-from timbrel.schemas import LAYERS
+from timbrel.schemas import LAYERS, TIMELINE
 
 # Every case of the layer parser occurs in this text rule (plain SQL for both engines).
 LAYER_TEXT = """CASE p_partkey % 12

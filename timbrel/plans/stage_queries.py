@@ -269,7 +269,8 @@ def predict_runs(spark, folder):
     ok AS (SELECT * FROM v WHERE doc_id % 7 NOT IN (3, 5))
     SELECT lang, count(*) AS total, count(*) FILTER (error = '') AS successful, count(*) FILTER (error <> '') AS failed,
            CAST(sum(len(CASE WHEN instruments = '' THEN [] ELSE string_split(instruments, '|') END)) AS BIGINT) AS instruments,
-           min('job_' || substr(sha256('job|' || doc_id), 1, 12)) AS first_job, max(sha256(text)) AS last_hash
+           bit_xor(CAST('0x' || substr(sha256('job|' || doc_id), 1, 12) AS BIGINT)) AS job_ids,
+           bit_xor(CAST('0x' || substr(sha256(text), 1, 12) AS BIGINT)) AS song_hashes
     FROM ok GROUP BY lang""",
 )
 def bulk_annotation(spark, folder):
@@ -283,10 +284,11 @@ def bulk_annotation(spark, folder):
     rows = annotated(jobs, 32, "row", "lang", "job_id", "song_hash")
     counts = rows.groupBy("lang").agg(
         F.sum(F.size("instruments")).alias("instruments"),
-        F.min("job_id").alias("first_job"),
-        F.max("song_hash").alias("last_hash"),
+        # checksums over all ids and hashes
+        F.bit_xor(F.conv(F.substr("job_id", F.lit(5)), 16, 10).cast("bigint")).alias("job_ids"),
+        F.bit_xor(F.conv(F.substr("song_hash", F.lit(1), F.lit(12)), 16, 10).cast("bigint")).alias("song_hashes"),
         F.count("*").alias("total"),
         F.count_if(F.col("error") == "").alias("successful"),
         F.count_if(F.col("error") != "").alias("failed"),
     )
-    return counts.select("lang", "total", "successful", "failed", "instruments", "first_job", "last_hash")
+    return counts.select("lang", "total", "successful", "failed", "instruments", "job_ids", "song_hashes")
