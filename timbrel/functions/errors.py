@@ -18,12 +18,16 @@ def missing_waveform(waveform_bytes: Column) -> Column:
 
 
 def waveform_error(waveform_bytes: Column, upstream: Column) -> Column:
-    """Error text of a decoded row: the upstream error, a missing waveform, or ``""``."""
+    """Error text of a decoded row: the upstream error, a missing or cut waveform, or ``""``."""
     return (
         F.when(is_error(upstream), upstream)
         .when(
             missing_waveform(waveform_bytes),
             F.lit("Failed to deserialize waveform: waveform_bytes is None or empty"),
         )
+        .when(
+            F.octet_length(waveform_bytes) % 4 != 0,
+            F.lit("Failed to deserialize waveform: buffer size must be a multiple of element size"),
+        )
         .otherwise(F.lit(""))
     )

@@ -16,7 +16,7 @@ from timbrel.operators.results import ID_COLUMNS, layered_result, make_jobs, spl
 from timbrel.operators.stages import Predictor, annotate_steps
 from timbrel.operators.uploads import split_uploads
 from timbrel.sinks.tables import write_report, write_results_csv
-from timbrel.sources.media import scan_media
+from timbrel.sources.media import empty_media, scan_media
 
 
 def intake(files: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -74,7 +74,8 @@ def annotate_folder(
     The model runs once: its results are written as a table, and the CSV, the
     failure table and the report are made from that table.
     """
-    jobs, quarantine = intake(scan_media(spark, folder))
+    files = scan_media(spark, folder).unionByName(empty_media(spark, folder))
+    jobs, quarantine = intake(files)
     paths = {n: f"{out}/{n}" for n in ("results", "quarantine", "failures", "csv", "report")}
     annotate_jobs(jobs, planner, responder, step_2, **options).write.mode("overwrite").parquet(paths["results"])
     quarantine.write.mode("overwrite").parquet(paths["quarantine"])

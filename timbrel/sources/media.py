@@ -38,6 +38,27 @@ def scan_media(
     )
 
 
+def empty_media(
+    spark: SparkSession, folder: str, extensions: tuple[str, ...] = MEDIA_EXTENSIONS, recursive: bool = True
+) -> DataFrame:
+    """Zero-length files of a folder, which Spark's file sources pass over.
+
+    They are the files of the scan's own listing, which the driver holds
+    anyway, that the scan does not return. Same columns as :func:`scan_media`.
+    """
+    scan = scan_media(spark, folder, extensions, recursive)
+    listed = spark.createDataFrame([(p,) for p in scan.inputFiles()], "path string").select(
+        # the listing gives encoded URIs, the scan plain paths
+        F.regexp_replace(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/").alias("path")
+    )
+    return listed.join(scan.select("path"), "path", "left_anti").select(
+        "path",
+        F.lit(None).cast("timestamp").alias("modificationTime"),
+        F.lit(0).cast("bigint").alias("length"),
+        F.lit(b"").alias("content"),
+    )
+
+
 def list_media(
     spark: SparkSession, folder: str, extensions: tuple[str, ...] = MEDIA_EXTENSIONS, recursive: bool = True
 ) -> DataFrame:
@@ -89,8 +110,17 @@ def wrap_items(df: DataFrame, item: str) -> DataFrame:
     return df.select(F.col(item).alias("data"))
 
 
-def read_items(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """(rows, quarantined raw lines) of JSON items; nothing is dropped silently."""
+def split_items(lines: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantined lines) of JSON items in a text frame, batch or stream.
+
+    A line that cannot be read is kept as it is; nothing is dropped silently.
+    """
     with_raw = T.StructType([*schema.fields, T.StructField("_raw", T.StringType())])
-    rows = spark.read.schema(with_raw).option("columnNameOfCorruptRecord", "_raw").json(path)
-    return rows.filter(F.col("_raw").isNull()).drop("_raw"), rows.filter(F.col("_raw").isNotNull()).select("_raw")
+    options = {"columnNameOfCorruptRecord": "_raw"}
+    read = lines.select("value", F.from_json("value", with_raw, options).alias("_item"))
+    broken = F.col("_item._raw").isNotNull()
+    return read.filter(~broken).select("_item.*").drop("_raw"), read.filter(broken).select("value")
+
+
+def read_items(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    return split_items(spark.read.text(path).filter("trim(value) <> ''"), schema)
