@@ -88,6 +88,15 @@ def test_decode_job(spark):
     assert "missing audio data" in rows["e"].error and "'mp3'" in rows["f"].error
 
 
+def test_large_output_is_cut(spark):
+    x = 0.5 * sine(16000, 0.1)
+    files = [(i, f"f{i}.wav", wav([x * (i + 1) / 20], 16000)) for i in range(20)]
+    df = spark.createDataFrame(files, "i int, filename string, audio_bytes binary").coalesce(1)
+    whole = {r.i: r for r in media.decode_media(df).collect()}
+    cut = {r.i: r for r in media.decode_media(df, max_output_bytes=10000).collect()}
+    assert whole == cut and len(cut) == 20
+
+
 def test_round_trip_with_gaps(spark):
     rng = np.random.default_rng(1)
     values = [rng.normal(size=n).astype("float32") for n in (16000, 0, 1, 7)]

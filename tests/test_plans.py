@@ -12,6 +12,7 @@ from timbrel.operators import catalog, metrics, stages
 from timbrel.plans import bulk, eval_set
 from timbrel.session import run_dir, shared_dir
 from timbrel.sinks import tables
+from timbrel.sources.media import scan_media
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -154,6 +155,14 @@ def test_groups_are_cut_before_the_shuffle(spark, name):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+def test_oversized_files_are_not_read(spark, tmp_path):
+    (tmp_path / "a.wav").write_bytes(b"x")
+    jobs, quarantine = bulk.intake(scan_media(spark, str(tmp_path)))
+    plan = jobs._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(length,104857600)" in plan
+    assert "content" not in quarantine._jdf.queryExecution().executedPlan().toString()
+
+
 def test_scans_read_only_needed_columns(spark):
     plan = entry.queries()["error_counts"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<event_id:bigint,event_type:string>" in plan

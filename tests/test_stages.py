@@ -123,6 +123,28 @@ def test_error_rows_never_reach_the_model(spark):
     assert {r.job_id: r.a.text for r in seen.collect()} == {"a": "4", "b": "4", "c": None, "d": "4", "e": "4"}
 
 
+def test_model_batches_are_filled_across_arrow_batches(spark):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = spark.range(3000).select("id", F.when(F.col("id") % 4 == 1, "boom").otherwise("").alias("error")).coalesce(1)
+        predictor = stages.Predictor(lambda xs: [f"{x} of {len(xs)}" for x in xs], batch_size=100)
+        got = stages.predict(df, "a", predictor, [F.col("id").cast("string")]).orderBy("id").collect()
+        assert len(got) == 3000
+        assert all(r.a.text is None if r.id % 4 == 1 else r.a.text.startswith(f"{r.id} of ") for r in got)
+        assert {r.a.text.split(" of ")[1] for r in got if r.a.text} == {"100", "50"}
+        assert sum(r.a.batch_rows or 0 for r in got) == 2250
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_long_runs_of_failed_rows(spark):
+    df = spark.range(20000).select("id", F.when(F.col("id") % 5000 != 17, "boom").otherwise("").alias("error")).coalesce(1)
+    got = stages.predict(df, "a", stages.Predictor(lambda xs: xs), [F.col("id").cast("string")])
+    assert sorted(r.id for r in got.filter("a.text = cast(id as string)").collect()) == [17, 5017, 10017, 15017]
+    assert got.count() == 20000
+
+
 def test_timing_is_counted_once_per_batch(spark):
     df = spark.range(10).select(F.col("id").cast("string").alias("text"), F.lit("").alias("error")).coalesce(1)
     timed = stages.predict(df, "a", stages.Predictor(lambda t: t, batch_size=4), [F.col("text")])

@@ -75,6 +75,7 @@ def decode_media(
     filename: str = "filename",
     target_rate: int = 16000,
     decoders: dict[str, Decoder] | None = None,
+    max_output_bytes: int = 64 * 1024 * 1024,
 ) -> DataFrame:
     """Replace ``content`` by ``waveform_bytes, sample_rate, duration_seconds, error``.
 
@@ -97,12 +98,22 @@ def decode_media(
         except Exception as e:
             return b"", None, None, f"Preprocessing failed: {e}"
 
+    def frame(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=DECODED.names).astype({"sample_rate": "Int32", "duration_seconds": "Float64"})
+
     @F.pandas_udf(DECODED)
     def decode(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for data, suffix in batches:
-            yield pd.DataFrame(
-                [one(d, s) for d, s in zip(data, suffix)], columns=DECODED.names
-            ).astype({"sample_rate": "Int32", "duration_seconds": "Float64"})
+            # compressed input grows when decoded, so the output is cut by its own size
+            rows, held = [], 0
+            for d, s in zip(data, suffix):
+                rows.append(one(d, s))
+                held += len(rows[-1][0])
+                if held >= max_output_bytes:
+                    yield frame(rows)
+                    rows, held = [], 0
+            if rows:
+                yield frame(rows)
 
     suffix = F.coalesce(decoder_suffix(F.col(filename)), F.lit("mp3"))
     decoded = df.withColumn("_decoded", decode(F.col(content), suffix)).drop(content)

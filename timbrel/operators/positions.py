@@ -94,6 +94,11 @@ def skip_first(df: DataFrame, n: int, key: str, *order: str) -> DataFrame:
     return df.join(first, key, "left_anti")
 
 
+def drop_warmup(df: DataFrame, flag: str = "is_warmup") -> DataFrame:
+    """Rows that are not marked as warm-up; an unmarked row counts as not."""
+    return df.filter(~F.coalesce(flag, F.lit(False)))
+
+
 def first_rows(df: DataFrame, n: int, *order: str) -> DataFrame:
     return df.orderBy(*order).limit(n)
 

@@ -21,7 +21,10 @@ from timbrel.functions.parse import parse_layers
 from timbrel.operators.results import layered_result
 from timbrel.schemas import PREDICTION
 
-ROWS, COLUMNS, ITEMS = "rows", "columns", "items"
+ROWS, COLUMNS, ITEMS, ARROW = "rows", "columns", "items", "arrow"
+
+# Rows a predictor holds back, at most, while it fills a batch or an answer frame.
+MAX_HELD_ROWS = 1024
 
 # Set-up results by stage, kept for as long as the Python worker lives.
 _RESOURCES: dict[str, Any] = {}
@@ -32,9 +35,9 @@ class Stage:
     """A batch function and how to run it.
 
     ``process`` gets a batch in ``batch_format`` (list of dicts, dict of lists,
-    or the bare values of ``item_column``) and, if ``setup`` returned
-    something, that as second argument. It returns a list of dicts of any
-    length, or a dict of lists for ``columns``.
+    the bare values of ``item_column``, or an Arrow table) and, if ``setup``
+    returned something, that as second argument. It returns a list of dicts of
+    any length, a dict of lists for ``columns``, a table for ``arrow``.
     """
 
     name: str
@@ -112,7 +115,7 @@ def map_stage(df: DataFrame, stage: Stage) -> DataFrame:
     the failing batch is repeated row by row and only the rows that fail again
     become ``error_row(item, message)``.
     """
-    if stage.on_error == "row" and (stage.error_row is None or stage.batch_format == COLUMNS):
+    if stage.on_error == "row" and (stage.error_row is None or stage.batch_format in (COLUMNS, ARROW)):
         raise ValueError("on_error='row' needs error_row and a row or item format")
     arrow_schema = to_arrow_schema(stage.schema)
 
@@ -120,7 +123,10 @@ def map_stage(df: DataFrame, stage: Stage) -> DataFrame:
         resource = stage.resource()
         try:
             for table in _rebatch(batches, stage.batch_size):
-                if stage.batch_format == COLUMNS:
+                if stage.batch_format == ARROW:
+                    out = _run_batch(stage, table, resource)
+                    result = out.select(arrow_schema.names).cast(arrow_schema) if out else None
+                elif stage.batch_format == COLUMNS:
                     out = _run_batch(stage, table.to_pydict(), resource) or {}
                     result = pa.Table.from_pydict(out, schema=arrow_schema) if out else None
                 else:
@@ -150,6 +156,11 @@ def chain(df: DataFrame, *stages: Stage | Callable[[DataFrame], DataFrame]) -> D
     return df
 
 
+def _prediction_frame(rows: list[tuple]) -> pd.DataFrame:
+    frame = pd.DataFrame(rows, columns=PREDICTION.names, dtype=object)
+    return frame.astype({"batch_ms": "Float64", "batch_rows": "Int32"})
+
+
 @dataclass(frozen=True)
 class Predictor:
     """A batch model: ``predict(list of inputs[, resource]) -> list of answers``.
@@ -190,31 +201,54 @@ class Predictor:
                 return [(None, f"Prediction failed: {e}")]
             return [self._batch([x], resource)[0] for x in inputs]
 
+    def _held(self, held: list, resource: Any) -> list[tuple]:
+        """Predictions of held rows in order: one call for all that are not null."""
+        todo = [x for x in held if x is not None]
+        if not todo:
+            return [(None, "", None, None)] * len(held)
+        started = time.perf_counter()
+        answers = iter(self._batch(todo, resource))
+        spent = (time.perf_counter() - started) * 1000
+        out = []
+        timing = (spent, len(todo))
+        for x in held:
+            if x is None:
+                out.append((None, "", None, None))
+            else:
+                out.append((*next(answers), *timing))
+                timing = (None, None)
+        return out
+
     def __call__(self, *inputs: Column) -> Column:
         """``struct<text, error, batch_ms, batch_rows>``; a null first input is not predicted.
 
         Only the given columns travel to Python and back, all others stay in
-        the JVM. The expression is marked non-deterministic so that Catalyst
+        the JVM. Batches are filled across Arrow batches, so a model gets
+        ``batch_size`` inputs per call however large these are. The expression is marked non-deterministic so that Catalyst
         neither repeats nor moves the call.
         """
         width = len(inputs)
 
         def run(batches: Iterator) -> Iterator[pd.DataFrame]:
             resource = self._resource()
+            held: list = []
+            valid = 0
+            out: list[tuple] = []
             for batch in batches:
                 columns = [batch] if width == 1 else list(batch)
-                out: list[tuple] = [(None, "", None, None)] * len(columns[0])
-                todo = [i for i, x in enumerate(columns[0]) if x is not None]
-                for at in range(0, len(todo), self.batch_size):
-                    rows = todo[at : at + self.batch_size]
-                    items = [columns[0].iloc[i] if width == 1 else tuple(c.iloc[i] for c in columns) for i in rows]
-                    started = time.perf_counter()
-                    answers = self._batch(items, resource)
-                    spent = (time.perf_counter() - started) * 1000
-                    for n, (i, (text, error)) in enumerate(zip(rows, answers)):
-                        out[i] = (text, error, spent if n == 0 else None, len(rows) if n == 0 else None)
-                frame = pd.DataFrame(out, columns=PREDICTION.names, dtype=object)
-                yield frame.astype({"batch_ms": "Float64", "batch_rows": "Int32"})
+                for item in columns[0] if width == 1 else zip(*columns):
+                    missing = item is None if width == 1 else item[0] is None
+                    held.append(None if missing else item)
+                    valid += not missing
+                    if valid == self.batch_size or len(held) >= max(MAX_HELD_ROWS, self.batch_size):
+                        out += self._held(held, resource)
+                        held, valid = [], 0
+                    if len(out) >= MAX_HELD_ROWS:
+                        yield _prediction_frame(out)
+                        out = []
+            out += self._held(held, resource)
+            if out:
+                yield _prediction_frame(out)
 
         if width == 1:
 

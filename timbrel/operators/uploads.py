@@ -42,7 +42,9 @@ def split_uploads(df: DataFrame, filename: str, size: str) -> tuple[DataFrame, D
     """(accepted, quarantined with code and detail)."""
     checked = df.withColumn("_verdict", validate_upload(F.col(filename), F.col(size)))
     return (
-        checked.filter("_verdict.ok").drop("_verdict"),
+        # the size test once more by itself: in this form it reaches a file scan
+        # and keeps the content of oversized files from being read
+        checked.filter((F.col(size) <= MAX_FILE_BYTES) & F.col("_verdict.ok")).drop("_verdict"),
         checked.filter("NOT _verdict.ok").select(*df.columns, "_verdict.code", "_verdict.detail"),
     )
 

@@ -20,7 +20,7 @@ from timbrel.sources.media import empty_media, scan_media
 
 
 def intake(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(jobs, quarantine) of a binary-file frame; invalid files are cut before their content is read."""
+    """(jobs, quarantine) of a binary-file frame; the content of oversized files is not read."""
     named = files.withColumn("filename", basename(F.col("path")))
     accepted, rejected = split_uploads(named, "filename", "length")
     jobs = make_jobs(accepted, F.col("content"), F.col("filename"), key=[F.col("path")])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,6 +55,18 @@ def stage_columns(spark, folder):
     return stages.map_stage(_lines(spark, folder, "l_quantity"), stage)
 
 
+def _table(batch: pa.Table, factor: float) -> pa.Table:
+    return batch.append_column("amount", pc.add(pc.multiply(batch["l_quantity"], factor), batch["l_linenumber"]))
+
+
+@query("stage_arrow", "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity * 2 + l_linenumber AS amount FROM lineitem")
+def stage_arrow(spark, folder):
+    stage = stages.Stage(
+        "arrow", _table, PRICE.schema, setup=lambda: 2.0, batch_format=stages.ARROW, batch_size=8192
+    )
+    return stages.map_stage(_lines(spark, folder, "l_quantity"), stage)
+
+
 @query("stage_items", "SELECT upper(role) AS item, length(role) AS n FROM conversations")
 def stage_items(spark, folder):
     stage = stages.Stage(
