@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from timbrel.operators import positions
 
 
-@pytest.mark.parametrize("ranges", [1, 2, 7, 64])
+@pytest.mark.parametrize("ranges", [1, 2, 7, 64, 300])
 def test_positions_equal_a_sort(spark, ranges):
     rng = random.Random(ranges)
     rows = [(rng.choice(["a", "b", None, "hot"]), rng.randrange(10**6), i) for i in range(3000)]

@@ -7,6 +7,9 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Leaves of the compiled search tree over range bounds.
+TREE_LEAVES = 64
+
 
 def _range_bounds(df: DataFrame, order: tuple[str, ...], ranges: int, per_range: int = 16) -> list[tuple]:
     """Cut points of about ``ranges`` even ranges, from a sample of 16 keys per range.
@@ -27,25 +30,45 @@ def _range_bounds(df: DataFrame, order: tuple[str, ...], ranges: int, per_range:
 
 
 def _range_of(df: DataFrame, order: tuple[str, ...], bounds: list[tuple]) -> Column:
-    """How many bounds are <= the key: a binary search folded over its step sizes."""
+    """How many bounds are <= the key, as a search tree of comparisons.
+
+    The tree is compiled code; beyond its size, each leaf searches its own part
+    of the bounds by halving steps.
+    """
     if not bounds:
         return F.lit(0)
-    columns = order[: len(bounds[0])]
-    types = [df.schema[c].dataType for c in columns]
-
-    def literals(bound: tuple) -> list[Column]:
-        return [F.lit(v).cast(t).alias(c) for v, t, c in zip(bound, types, columns)]
-
-    if len(columns) == 1:
-        key, cuts = F.col(columns[0]), F.array(*[literals(b)[0] for b in bounds])
-    else:
-        key, cuts = F.struct(*columns), F.array(*[F.struct(*literals(b)) for b in bounds])
-    steps = [1 << s for s in reversed(range(len(bounds).bit_length()))]
-    return F.aggregate(
-        F.lit(steps),
-        F.lit(0),
-        lambda at, step: F.when(F.get(cuts, at + step - 1) <= key, at + step).otherwise(at),
-    )
+    columns = [(F.col(c), df.schema[c].dataType) for c in order[: len(bounds[0])]]
+
+    def before(bound: tuple) -> Column:
+        """The key sorts before the bound; nulls come first, bounds have none."""
+        smaller = F.lit(False)
+        for (column, kind), value in reversed(list(zip(columns, bound))):
+            cut = F.lit(value).cast(kind)
+            smaller = F.coalesce(column < cut, F.lit(True)) | (F.coalesce(column == cut, F.lit(False)) & smaller)
+        return smaller
+
+    def halve(first: int, part: list[tuple]) -> Column:
+        cuts = F.array(*[F.struct(*[F.lit(v).cast(t) for v, (_, t) in zip(b, columns)]) for b in part])
+        key = F.struct(*[c for c, _ in columns])
+        steps = [1 << s for s in reversed(range(len(part).bit_length()))]
+        within = F.aggregate(
+            F.lit(steps),
+            F.lit(0),
+            lambda at, step: F.when(F.get(cuts, at + step - 1) <= key, at + step).otherwise(at),
+        )
+        return within + first
+
+    leaf = -(-len(bounds) // TREE_LEAVES)
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        if high - low < leaf:
+            return halve(low, bounds[low:high])
+        middle = (low + high) // 2
+        return F.when(before(bounds[middle]), search(low, middle)).otherwise(search(middle + 1, high))
+
+    return search(0, len(bounds))
 
 
 def with_position(df: DataFrame, *order: str, name: str = "position", ranges: int | None = None) -> DataFrame:
@@ -68,7 +91,9 @@ def with_position(df: DataFrame, *order: str, name: str = "position", ranges: in
     )
     inside = Window.partitionBy("_range").orderBy(*order)
     return (
-        ranged.withColumn("_row", F.row_number().over(inside) - 1)
+        # one range per task: hashing the range numbers would put several into one
+        ranged.repartitionById(len(bounds) + 1, "_range")
+        .withColumn("_row", F.row_number().over(inside) - 1)
         .join(F.broadcast(offsets), "_range", "left")
         .withColumn(name, F.col("_offset") + F.col("_row"))
         .drop("_range", "_row", "_offset")
