@@ -69,7 +69,7 @@ def _payload(genre, ids, nested):
         }
         for i in ids
     ]
-    return genre, json.dumps({"tracks": {"items": items}} if nested else {"tracks": items})
+    return genre, 0, json.dumps({"tracks": {"items": items}} if nested else {"tracks": items})
 
 
 def test_eval_set(spark, tmp_path):
@@ -77,11 +77,11 @@ def test_eval_set(spark, tmp_path):
     targets = spark.createDataFrame([("Jazz", 0), ("hiphop", 1), ("rock", 2), ("zzz", 3)], "target string, genre_pos int")
     searches = spark.createDataFrame(
         [_payload("rock", ["r0", "s1", "r2"], True), _payload("jazz", ["s1"], True), _payload("hip-hop", [], True)],
-        "genre string, payload string",
+        "genre string, page int, payload string",
     )
     more = spark.createDataFrame(
-        [_payload("jazz", ["j0", "j1", "j2", "j3"], False), _payload("hip-hop", ["j0", "h1"], False), _payload("rock", ["r9"], False)],
-        "genre string, payload string",
+        [("jazz", 1, _payload("jazz", ["j2", "j3"], False)[2]), _payload("jazz", ["j0", "j1"], False), _payload("hip-hop", ["j0", "h1"], False), _payload("rock", ["r9"], False)],
+        "genre string, page int, payload string",
     )
     built = eval_set.build_eval_set(searches, more, targets, available, n=3)
     got = {(r.target_genre, r.track_id) for r in built.collect()}
@@ -97,6 +97,7 @@ def test_catalog_with_one_track_in_most_rows(spark):
     rows = spark.range(20000).select(
         F.concat(F.lit("g"), F.col("id") % 5).alias("genre"),
         F.when(F.col("id") % 3 < 2, "hot").otherwise(F.col("id").cast("string")).alias("track_id"),
+        F.lit(0).alias("page"),
         F.col("id").alias("position"),
     )
     genres = spark.createDataFrame([(f"g{i}", f"t{i}", i) for i in range(5)], "genre string, target_genre string, genre_pos int")

@@ -9,15 +9,23 @@ from pyspark.sql import functions as F
 INVALID_NAME_CHARS = '<>:"/\\|?*'
 
 
-def random_id(prefix: str) -> Column:
-    """``prefix_`` and 12 random hex digits; batch use only, as a retry draws anew."""
-    return F.concat(F.lit(prefix + "_"), F.substr(F.replace(F.uuid(), F.lit("-"), F.lit("")), F.lit(1), F.lit(12)))
+# Fixed value: hex digits of a generated id.
+ID_DIGITS = 12
 
 
-def stable_id(prefix: str, *key: Column) -> Column:
-    """``prefix_`` and 12 hex digits derived from a key: equal on every retry."""
+def random_id(prefix: str, digits: int = ID_DIGITS) -> Column:
+    """``prefix_`` and random hex digits; batch use only, as a retry draws anew."""
+    return F.concat(F.lit(prefix + "_"), F.substr(F.replace(F.uuid(), F.lit("-"), F.lit("")), F.lit(1), F.lit(digits)))
+
+
+def stable_id(prefix: str, *key: Column, digits: int = ID_DIGITS) -> Column:
+    """``prefix_`` and hex digits derived from a key: equal on every retry.
+
+    Twelve digits collide once in some tens of millions of keys; take more for
+    larger sets.
+    """
     seed = F.concat_ws("|", F.lit(prefix), *[k.cast("string") for k in key])
-    return F.concat(F.lit(prefix + "_"), F.substr(F.sha2(seed, 256), F.lit(1), F.lit(12)))
+    return F.concat(F.lit(prefix + "_"), F.substr(F.sha2(seed, 256), F.lit(1), F.lit(digits)))
 
 
 def given_or(value: Column, generated: Column) -> Column:

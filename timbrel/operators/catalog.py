@@ -47,11 +47,12 @@ def build_catalog(
     genres: DataFrame,
     n: int = 50,
     key: str = "track_id",
-    position: tuple[str, ...] = ("position",),
+    position: tuple[str, ...] = ("page", "position"),
 ) -> DataFrame:
     """Tracks of every genre: supplement, tag with ``target_genre``, first wins, cap.
 
-    ``genres`` has ``genre, target_genre, genre_pos``. Supplementing comes
+    ``genres`` has ``genre, target_genre, genre_pos``; ``position`` orders the
+    tracks of one genre and source without ties. Supplementing comes
     first and leaves at most ``n`` rows per genre, so the de-duplication and
     the cap work on a small table whatever the size of the inputs.
     """

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from timbrel.functions.errors import is_error
-from timbrel.functions.names import content_hash, given_or, random_id, stable_id
+from timbrel.functions.names import ID_DIGITS, content_hash, given_or, random_id, stable_id
 from timbrel.functions.parse import flatten_layers
 from timbrel.schemas import LAYERS
 
@@ -21,6 +21,7 @@ def make_jobs(
     song_id: Column | None = None,
     request: list[Column] | None = None,
     random_ids: bool = False,
+    digits: int = ID_DIGITS,
 ) -> DataFrame:
     """Add ``job_id, song_id, song_hash, created_at, filename``.
 
@@ -28,8 +29,9 @@ def make_jobs(
     from the key, so a retried task writes the same ids; ``random_ids`` draws
     them instead.
     """
-    job = random_id("job") if random_ids and not request else stable_id("job", *(request or key))
-    generated = random_id("trk") if random_ids else stable_id("trk", *key)
+    draw = random_ids and not request
+    job = random_id("job", digits) if draw else stable_id("job", *(request or key), digits=digits)
+    generated = random_id("trk", digits) if random_ids else stable_id("trk", *key, digits=digits)
     given = song_id if song_id is not None else F.lit(None).cast("string")
     return df.withColumns(
         {

@@ -278,7 +278,8 @@ def predict(
     out = df.withColumn(name, predictor(F.when(ready, first), *rest))
     if predictor.on_error == "skip":
         out = out.filter(F.col(f"{name}.error").isNotNull())
-    return out.withColumn(error, F.when(is_error(F.col(error)), F.col(error)).otherwise(F.col(f"{name}.error")))
+    failure = F.when(first.isNull(), F.lit("Prediction failed: no input")).otherwise(F.col(f"{name}.error"))
+    return out.withColumn(error, F.when(is_error(F.col(error)), F.col(error)).otherwise(failure))
 
 
 def annotate(

@@ -26,12 +26,12 @@ def validate_upload(
     bad_extension = F.concat(F.lit("File extension '"), extension, F.lit(f"' not allowed. Allowed: {listed}"))
     return (
         F.when(
-            ~F.contains(filename, F.lit(".")),
+            ~F.coalesce(F.contains(filename, F.lit(".")), F.lit(False)),
             verdict(False, 400, F.lit(f"File must have an extension. Allowed: {listed}")),
         )
         .when(~extension.isin(*allowed), verdict(False, 400, bad_extension))
         .when(
-            size > max_bytes,
+            ~F.coalesce(size <= max_bytes, F.lit(False)),
             verdict(False, 413, F.lit(f"File too large. Maximum size: {max_bytes / 1048576:.1f}MB")),
         )
         .otherwise(verdict(True, 200, F.lit("")))

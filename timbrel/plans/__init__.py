@@ -3,6 +3,7 @@
 from timbrel.plans import (  # noqa: F401
     catalog_queries,
     job_queries,
+    whole_job_queries,
     media_queries,
     metric_queries,
     order_queries,

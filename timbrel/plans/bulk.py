@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from timbrel.functions.errors import waveform_error
-from timbrel.functions.names import basename
+from timbrel.functions.names import ID_DIGITS, basename
 from timbrel.functions.parse import parse_layers
 from timbrel.functions.text import fill_template
 from timbrel.operators.media import Decoder, decode_media
@@ -19,11 +19,11 @@ from timbrel.sinks.tables import write_report, write_results_csv
 from timbrel.sources.media import empty_media, scan_media
 
 
-def intake(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+def intake(files: DataFrame, digits: int = ID_DIGITS) -> tuple[DataFrame, DataFrame]:
     """(jobs, quarantine) of a binary-file frame; the content of oversized files is not read."""
     named = files.withColumn("filename", basename(F.col("path")))
     accepted, rejected = split_uploads(named, "filename", "length")
-    jobs = make_jobs(accepted, F.col("content"), F.col("filename"), key=[F.col("path")])
+    jobs = make_jobs(accepted, F.col("content"), F.col("filename"), key=[F.col("path")], digits=digits)
     quarantine = rejected.select("path", "length", "code", "detail")
     return jobs.select(*ID_COLUMNS, "created_at", F.col("content").alias("audio_bytes")), quarantine
 

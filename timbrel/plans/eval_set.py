@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from timbrel.operators.catalog import (
@@ -22,6 +22,34 @@ TARGET_GENRES = (
 )
 SONGS_PER_GENRE = 50
 
+# The genres known to the catalogue when it cannot be asked, in order.
+KNOWN_GENRES = (
+    "acoustic", "afrobeat", "alt-rock", "alternative", "ambient", "anime", "black-metal", "bluegrass",
+    "blues", "bossanova", "brazil", "breakbeat", "british", "cantopop", "chicago-house", "children", "chill",
+    "classical", "club", "comedy", "country", "dance", "dancehall", "death-metal", "deep-house",
+    "detroit-techno", "disco", "disney", "drum-and-bass", "dub", "dubstep", "edm", "electro", "electronic",
+    "emo", "folk", "forro", "french", "funk", "garage", "german", "gospel", "goth", "grindcore", "groove",
+    "grunge", "guitar", "happy", "hard-rock", "hardcore", "hardstyle", "heavy-metal", "hip-hop", "holidays",
+    "honky-tonk", "house", "idm", "indian", "indie", "indie-pop", "industrial", "iranian", "j-dance",
+    "j-idol", "j-pop", "j-rock", "jazz", "k-pop", "kids", "latin", "latino", "malay", "mandopop", "metal",
+    "metal-misc", "metalcore", "minimal-techno", "movies", "mpb", "new-age", "new-release", "opera", "pagode",
+    "party", "philippines-opm", "piano", "pop", "pop-film", "post-dubstep", "power-pop", "progressive-house",
+    "psych-rock", "punk", "punk-rock", "r-n-b", "rainy-day", "reggae", "reggaeton", "road-trip", "rock",
+    "rock-n-roll", "rockabilly", "romance", "sad", "salsa", "samba", "sertanejo", "show-tunes",
+    "singer-songwriter", "ska", "sleep", "songwriter", "soul", "soundtracks", "spanish", "study", "summer",
+    "swedish", "synth-pop", "tango", "techno", "trance", "trip-hop", "turkish", "work-out", "world-music",
+)
+
+
+def known_genres(spark: SparkSession) -> DataFrame:
+    """``name, pos`` of the known genres."""
+    return spark.createDataFrame([(g, i) for i, g in enumerate(KNOWN_GENRES)], "name string, pos int")
+
+
+def target_genres(spark: SparkSession) -> DataFrame:
+    """``target, genre_pos`` of the target genres."""
+    return spark.createDataFrame([(g, i) for i, g in enumerate(TARGET_GENRES)], "target string, genre_pos int")
+
 
 def matched_genres(targets: DataFrame, available: DataFrame) -> DataFrame:
     """``target_genre, genre, genre_pos`` of the targets that have a match.
@@ -37,9 +65,9 @@ def matched_genres(targets: DataFrame, available: DataFrame) -> DataFrame:
 def build_eval_set(
     searches: DataFrame, recommendations: DataFrame, targets: DataFrame, available: DataFrame, n: int = SONGS_PER_GENRE
 ) -> DataFrame:
-    """Tracks per target genre from payload tables ``(genre, payload)``."""
-    found = flatten_search(searches, "payload", "genre")
-    more = flatten_recommendations(recommendations, "payload", "genre")
+    """Tracks per target genre from payload tables ``(genre, page, payload)``."""
+    found = flatten_search(searches, "payload", "genre", "page")
+    more = flatten_recommendations(recommendations, "payload", "genre", "page")
     return build_catalog(found, more, matched_genres(targets, available), n)
 
 

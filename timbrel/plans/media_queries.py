@@ -160,7 +160,7 @@ def pcm_wav(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterat
 _PCM = "transform(embedding, x -> CAST(CAST(x AS DOUBLE) * 32767 AS INT))"
 
 
-def _wav_jobs(spark, folder, channels, rate, *keep):
+def wav_jobs(spark, folder, channels, rate, *keep):
     return table(spark, folder, "embeddings").select(
         "vec_id",
         *keep,
@@ -190,7 +190,7 @@ def _wav_jobs(spark, folder, channels, rate, *keep):
 def decode_wav(spark, folder):
     # odd rows are stereo; two rows of six cannot be decoded and stay as error rows
     channels = (F.col("vec_id") % 2 + 1).cast("int")
-    jobs = _wav_jobs(spark, folder, channels, F.lit(16000)).withColumns(
+    jobs = wav_jobs(spark, folder, channels, F.lit(16000)).withColumns(
         {
             "filename": F.expr("CASE vec_id % 6 WHEN 4 THEN 'clip' || vec_id || '.xyz' ELSE filename END"),
             "audio_bytes": F.when(F.col("vec_id") % 6 == 5, F.lit(b"not a wave file")).otherwise(F.col("audio_bytes")),
@@ -213,7 +213,7 @@ def decode_wav(spark, folder):
 )
 def resample_wav(spark, folder):
     rate = F.when(F.col("label") % 3 == 0, 8000).when(F.col("label") % 3 == 1, 44100).otherwise(16000)
-    jobs = _wav_jobs(spark, folder, F.lit(1), rate, rate.alias("from_rate"))
+    jobs = wav_jobs(spark, folder, F.lit(1), rate, rate.alias("from_rate"))
     decoded = media.decode_media(jobs).filter(F.col("error") == "")
     return decoded.select(
         "vec_id",

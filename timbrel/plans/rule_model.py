@@ -28,6 +28,10 @@ def plan_answers(texts: list[str]) -> list[str]:
     return [f"{t.count('the')} {{times}} in {len(t)}" for t in texts]
 
 
+def sample_counts(waveforms: list[bytes]) -> list[str]:
+    return [f"{len(w) // 4} samples" for w in waveforms]
+
+
 def final_answers(prompts: list[str]) -> list[str]:
     return [f'{{"background": ["{len(p)}"], "foreground": ["{p[:6]}"]}}' for p in prompts]
 

@@ -32,7 +32,7 @@ def export_catalog(df: DataFrame, folder: str) -> tuple[str, str]:
     """
     spark = df.sparkSession
     json_path, csv_path = f"{folder}/json", f"{folder}/csv"
-    df.write.mode("overwrite").json(json_path)
+    df.write.mode("overwrite").option("ignoreNullFields", False).json(json_path)
     write_results_csv(spark.read.schema(df.schema).json(json_path), csv_path)
     return csv_path, json_path
 
