@@ -138,6 +138,17 @@ def test_model_batches_are_filled_across_arrow_batches(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
 
 
+def test_chats_are_plain_values(spark):
+    df = spark.createDataFrame([(b"12", "hi", ""), (None, "yo", "")], "a binary, t string, error string")
+    talk = chat.first_step_chat("sys", None, F.col("a"), F.col("t"))
+
+    def answer(chats):
+        return [f"{c[0]['role']} {[p['type'] for p in c[1]['content']]} {c[1]['content'][0]['audio']}" for c in chats]
+
+    got = stages.predict(df, "x", stages.Predictor(answer), [talk]).collect()
+    assert [r.x.text for r in got] == ["system ['audio', 'text'] b'12'", "system ['text'] None"]
+
+
 def test_long_runs_of_failed_rows(spark):
     df = spark.range(20000).select("id", F.when(F.col("id") % 5000 != 17, "boom").otherwise("").alias("error")).coalesce(1)
     got = stages.predict(df, "a", stages.Predictor(lambda xs: xs), [F.col("id").cast("string")])

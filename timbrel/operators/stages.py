@@ -8,7 +8,6 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from typing import Any
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.resource import ResourceProfile
 from pyspark.sql import Column, DataFrame
@@ -156,9 +155,10 @@ def chain(df: DataFrame, *stages: Stage | Callable[[DataFrame], DataFrame]) -> D
     return df
 
 
-def _prediction_frame(rows: list[tuple]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=PREDICTION.names, dtype=object)
-    return frame.astype({"batch_ms": "Float64", "batch_rows": "Int32"})
+def _prediction_array(rows: list[tuple]) -> pa.Array:
+    fields = to_arrow_schema(PREDICTION)
+    columns = [pa.array(values, field.type) for values, field in zip(zip(*rows), fields)]
+    return pa.StructArray.from_arrays(columns, fields=list(fields))
 
 
 @dataclass(frozen=True)
@@ -224,45 +224,39 @@ class Predictor:
 
         Only the given columns travel to Python and back, all others stay in
         the JVM. Batches are filled across Arrow batches, so a model gets
-        ``batch_size`` inputs per call however large these are. The expression is marked non-deterministic so that Catalyst
+        ``batch_size`` inputs per call however large these are; inputs are plain
+        Python values (texts, bytes, lists of dicts for chats). The expression is marked non-deterministic so that Catalyst
         neither repeats nor moves the call.
         """
-        width = len(inputs)
+        single = len(inputs) == 1
 
-        def run(batches: Iterator) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
             resource = self._resource()
             held: list = []
             valid = 0
             out: list[tuple] = []
             for batch in batches:
-                columns = [batch] if width == 1 else list(batch)
-                for item in columns[0] if width == 1 else zip(*columns):
-                    missing = item is None if width == 1 else item[0] is None
-                    held.append(None if missing else item)
+                for item in zip(*[column.to_pylist() for column in batch]):
+                    missing = item[0] is None
+                    held.append(None if missing else item[0] if single else item)
                     valid += not missing
                     if valid == self.batch_size or len(held) >= max(MAX_HELD_ROWS, self.batch_size):
                         out += self._held(held, resource)
                         held, valid = [], 0
                     if len(out) >= MAX_HELD_ROWS:
-                        yield _prediction_frame(out)
+                        yield _prediction_array(out)
                         out = []
             out += self._held(held, resource)
             if out:
-                yield _prediction_frame(out)
+                yield _prediction_array(out)
 
-        if width == 1:
+        def one(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            yield from run((batch,) for batch in batches)
 
-            def one(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-                yield from run(batches)
+        def many(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+            yield from run(batches)
 
-            udf = F.pandas_udf(one, PREDICTION)
-        else:
-
-            def many(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-                yield from run(batches)
-
-            udf = F.pandas_udf(many, PREDICTION)
-        return udf.asNondeterministic()(*inputs)
+        return F.arrow_udf(one if single else many, PREDICTION).asNondeterministic()(*inputs)
 
 
 def predict(
