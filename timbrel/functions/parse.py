@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import ast
 from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -37,50 +39,40 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _read(slice_: Column, element: str, member: str, options: dict[str, str], body: Callable[[Column], Column]) -> Column:
-    """``body(struct<list, member>)`` of a slice read as a list of one and as a member.
+def _read(slice_: Column, element: str, options: dict[str, str], body: Callable[[Column, Column], Column]) -> Column:
+    """``body(value, slice)`` when the slice is exactly one JSON value, else null.
 
-    The JSON reader stops after the first value. As a list of one the slice
-    cannot have trailing text, unless it closes the list itself (``x][y``);
-    as a member it cannot have that, unless it closes the object (``x}} y``).
-    No slice passes both but a single JSON value. An empty slice is not read.
+    The JSON reader stops after the first value. As a list of one, the slice
+    cannot have trailing text unless it closes the list itself (``x][y``); as
+    the only member of an object it cannot have that either (``x}} y`` fails as
+    a list). No slice passes both but a single value. The second reading only
+    skips over the text; an empty slice is not read at all.
     """
 
     def read(s: Column) -> Column:
-        return F.struct(
-            F.from_json(F.concat(F.lit("["), s, F.lit("]")), f"array<{element}>", options).alias("list"),
-            F.from_json(F.concat(F.lit('{"v":'), s, F.lit("}")), f"struct<v:{member}>", options)["v"].alias("member"),
-        )
-
-    return let(slice_, lambda s: F.when(s != "", let(read(s), body)))
+        whole = F.size(F.json_object_keys(F.concat(F.lit('{"v":'), s, F.lit("}")))) == 1
+        values = F.from_json(F.concat(F.lit("["), s, F.lit("]")), f"array<{element}>", options)
+        return let(values, lambda v: F.when((F.size(v) == 1) & whole, body(F.get(v, F.lit(0)), s)))
 
-
-def _sound(read: Column) -> Column:
-    return F.coalesce((F.size(read["list"]) == 1) & read["member"].isNotNull(), F.lit(False))
+    return let(slice_, lambda s: F.when(s != "", read(s)))
 
 
 def _layers(text: Column, lenient: bool) -> Column:
     element = "struct<" + ",".join(f"{name}:array<string>" for name in LAYERS) + ">"
     empty = F.array().cast("array<string>")
 
-    def lists(read: Column) -> Column:
-        value = F.get(read["list"], F.lit(0))
-        sound = _sound(read)
+    def lists(value: Column, body: Column) -> Column:
         # the key is there, but its value is null or no list
-        unusable = {n: F.map_contains_key(read["member"], n) & value[n].isNull() for n in LAYERS}
-        if not lenient:
-            for name in LAYERS:
-                sound = sound & ~unusable[name]
+        unusable = {
+            n: value[n].isNull() & F.coalesce(F.array_contains(F.json_object_keys(body), n), F.lit(False)) for n in LAYERS
+        }
         found = F.struct(
-            *[
-                F.when(~unusable[n] if lenient else F.lit(True), F.coalesce(value[n], empty)).alias(n)
-                for n in LAYERS
-            ]
+            *[F.when(~unusable[n] if lenient else F.lit(True), F.coalesce(value[n], empty)).alias(n) for n in LAYERS]
         )
-        return F.when(sound, found)
+        return found if lenient else F.when(~reduce(or_, unusable.values()), found)
 
     nothing = F.struct(*[empty.alias(n) for n in LAYERS])
-    return F.coalesce(_read(outer_object(text), element, "map<string,string>", _STRICT, lists), nothing)
+    return F.coalesce(_read(outer_object(text), element, _STRICT, lists), nothing)
 
 
 def parse_layers(text: Column) -> Column:
@@ -115,13 +107,7 @@ def _list_items(text: Column, exact: bool) -> Column:
     body = outer_list(text)
     if exact:
         return F.when(body != "", _literal_list(body))
-    return _read(
-        body,
-        "array<string>",
-        "array<string>",
-        {"allowSingleQuotes": "true"},
-        lambda r: F.when(_sound(r), F.get(r["list"], F.lit(0))),
-    )
+    return _read(body, "array<string>", {"allowSingleQuotes": "true"}, lambda value, _: value)
 
 
 def parse_list(text: Column, exact: bool = False) -> Column:
@@ -140,13 +126,7 @@ def parse_set(text: Column, exact: bool = False) -> Column:
 
 def parse_timeline(text: Column) -> Column:
     """Instrument timeline of an answer; null when it is not one sound JSON object."""
-    return _read(
-        outer_object(text),
-        TIMELINE,
-        "map<string,string>",
-        _STRICT,
-        lambda r: F.when(_sound(r), F.get(r["list"], F.lit(0))),
-    )
+    return _read(outer_object(text), TIMELINE, _STRICT, lambda value, _: value)
 
 
 def clock_seconds(clock: Column) -> Column:
