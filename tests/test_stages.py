@@ -112,6 +112,23 @@ def test_annotate_raise_and_skip(spark):
     assert sorted(r.job_id for r in skipped.collect()) == ["c", "d", "e"]
 
 
+def test_mapped_predictor_gives_the_same_rows(spark, monkeypatch):
+    # a local session takes no resource profile, so the mapped form runs without one
+    mapped = stages._predict_mapped
+    monkeypatch.setattr(stages, "_predict_mapped", lambda *args: mapped(*args[:-1], None))
+
+    def rows(policy, profile):
+        predictor = stages.Predictor(answers, batch_size=1, on_error=policy)
+        df = stages.predict(_rows(spark), "a", predictor, [F.col("text")], profile=profile)
+        return sorted(str((r.job_id, r.a.text, r.a.error, r.error)) for r in df.collect())
+
+    for policy in ("row", "skip"):
+        assert rows(policy, "gpu") == rows(policy, None)
+    two = stages.Predictor(lambda pairs: [f"{text}-{job}" for text, job in pairs])
+    got = stages.predict(_rows(spark), "a", two, [F.col("text"), F.col("job_id")], profile="gpu").collect()
+    assert sorted(r.a.text for r in got if r.a.text) == ["bad y-b", "v-e", "w-d", "x-a"]
+
+
 def test_short_answers_become_errors(spark):
     predictor = stages.Predictor(lambda texts: ["{}"] if len(texts) > 1 else [])
     got = stages.annotate(_rows(spark), predictor, F.col("text"), "job_id").collect()

@@ -36,8 +36,10 @@ def decode_pcm_wav(content: bytes) -> tuple[np.ndarray, int]:
         words = np.zeros((len(raw) // 3, 4), "u1")
         words[:, 1:] = np.frombuffer(raw, "u1").reshape(-1, 3)
         samples = (words.view("<i4").ravel() / 2.0**31).astype("float32")
+    elif width == 2:
+        samples = np.frombuffer(raw, "<i2").astype("float32") / np.float32(2**15)
     else:
-        samples = (np.frombuffer(raw, f"<i{width}") / 2.0 ** (8 * width - 1)).astype("float32")
+        samples = (np.frombuffer(raw, "<i4") / 2.0**31).astype("float32")
     return samples.reshape(-1, channels).T, rate
 
 
@@ -62,7 +64,12 @@ def resample(samples: np.ndarray, rate: int, target: int) -> np.ndarray:
     kernel, reach = _kernel(down, up)
     padded = np.pad(samples.astype("float32"), (reach, reach + down))
     frames = np.lib.stride_tricks.sliding_window_view(padded, kernel.shape[0])[::down]
-    return (frames @ kernel).ravel()[: -(-samples.size * up // down)].astype("float32")
+    out = np.empty((frames.shape[0], up), "float32")
+    # the product copies overlapping frames, so it is taken in blocks of some 16 MB
+    block = max(1, 4_000_000 // kernel.shape[0])
+    for at in range(0, frames.shape[0], block):
+        out[at : at + block] = frames[at : at + block] @ kernel
+    return out.ravel()[: -(-samples.size * up // down)]
 
 
 def to_mono(channels: np.ndarray) -> np.ndarray:

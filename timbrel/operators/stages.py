@@ -259,17 +259,50 @@ class Predictor:
         return F.arrow_udf(one if single else many, PREDICTION).asNondeterministic()(*inputs)
 
 
+def _predict_mapped(
+    df: DataFrame, name: str, predictor: Predictor, inputs: list[Column], profile: ResourceProfile
+) -> DataFrame:
+    """The predictor in a map stage, the form that can ask for resources of its own.
+
+    All columns pass through Python here, batches are ``batch_size`` rows.
+    """
+    given = [f"_input{i}" for i in range(len(inputs))]
+    keep = df.columns
+    schema = T.StructType([*df.schema.fields, T.StructField(name, PREDICTION)])
+    arrow_schema = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        resource = predictor._resource()
+        for table in _rebatch(batches, predictor.batch_size):
+            rows = zip(*[table.column(c).to_pylist() for c in given])
+            held = [None if r[0] is None else r[0] if len(r) == 1 else r for r in rows]
+            answers = _prediction_array(predictor._held(held, resource))
+            columns = [*table.select(keep).columns, answers]
+            yield from pa.Table.from_arrays(columns, names=schema.names).cast(arrow_schema).to_batches()
+
+    return df.withColumns(dict(zip(given, inputs))).mapInArrow(run, schema, profile=profile)
+
+
 def predict(
-    df: DataFrame, name: str, predictor: Predictor, inputs: list[Column], error: str = "error"
+    df: DataFrame,
+    name: str,
+    predictor: Predictor,
+    inputs: list[Column],
+    error: str = "error",
+    profile: ResourceProfile | None = None,
 ) -> DataFrame:
     """Add ``name`` (a prediction struct) for rows without an error; others pass untouched.
 
     ``error`` takes over a failed prediction's message. With ``skip``, rows of
-    failed batches leave the frame here, as the policy says.
+    failed batches leave the frame here, as the policy says. ``profile`` names
+    the resources of the tasks that run the model, such as GPUs.
     """
     ready = ~is_error(F.col(error))
     first, *rest = inputs
-    out = df.withColumn(name, predictor(F.when(ready, first), *rest))
+    if profile is None:
+        out = df.withColumn(name, predictor(F.when(ready, first), *rest))
+    else:
+        out = _predict_mapped(df, name, predictor, [F.when(ready, first), *rest], profile)
     if predictor.on_error == "skip":
         out = out.filter(F.col(f"{name}.error").isNotNull())
     failure = F.when(first.isNull(), F.lit("Prediction failed: no input")).otherwise(F.col(f"{name}.error"))
@@ -283,9 +316,10 @@ def annotate(
     *keep: str,
     parse: Callable[[Column], Column] = parse_layers,
     error: str = "error",
+    profile: ResourceProfile | None = None,
 ) -> DataFrame:
     """One-step annotation: predict on sound rows, parse in the JVM, one envelope for all rows."""
-    answered = predict(df, "_answer", predictor, [prompt], error)
+    answered = predict(df, "_answer", predictor, [prompt], error, profile)
     return layered_result(answered, parse(F.col("_answer.text")), F.lit(""), F.col(error), *keep)
 
 
@@ -294,6 +328,7 @@ def annotate_steps(
     steps: list[tuple[str, Predictor, Callable[[dict[str, Column]], Column]]],
     *,
     error: str = "error",
+    profile: ResourceProfile | None = None,
 ) -> DataFrame:
     """Chained predictions: each step builds its prompt from the answers before it.
 
@@ -302,7 +337,7 @@ def annotate_steps(
     """
     answers: dict[str, Column] = {}
     for name, predictor, prompt in steps:
-        df = predict(df, f"_{name}", predictor, [prompt(answers)], error)
+        df = predict(df, f"_{name}", predictor, [prompt(answers)], error, profile)
         df = df.withColumns(
             {name: F.col(f"_{name}.text"), f"{name}_stats": F.struct(f"_{name}.batch_ms", f"_{name}.batch_rows")}
         ).drop(f"_{name}")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.resource import ResourceProfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,12 +38,14 @@ def annotate_jobs(
     decoders: dict[str, Decoder] | None = None,
     parse: Callable[[Column], Column] = parse_layers,
     width: int | None = None,
+    profile: ResourceProfile | None = None,
 ) -> DataFrame:
     """Jobs to layered results: decode, plan, answer, parse. Works on batches and streams.
 
     ``step_2`` is the template of the second prompt with ``{plan}``. ``width``
     sets how many tasks run the models, where that differs from decoding; only
-    then do waveforms travel through an exchange.
+    then do waveforms travel through an exchange. ``profile`` gives these tasks
+    resources of their own.
     """
     decoded = decode_media(jobs, target_rate=target_rate, decoders=decoders)
     decoded = decoded.withColumn("error", waveform_error(F.col("waveform_bytes"), F.col("error")))
@@ -54,6 +57,7 @@ def annotate_jobs(
             ("plan", planner, lambda _: F.col("waveform_bytes")),
             ("final", responder, lambda a: fill_template(step_2, plan=a["plan"])),
         ],
+        profile=profile,
     )
     return layered_result(answered, parse(F.col("final")), F.col("plan"), F.col("error"), *ID_COLUMNS)
 
