@@ -73,7 +73,11 @@ def resample(samples: np.ndarray, rate: int, target: int) -> np.ndarray:
 
 
 def to_mono(channels: np.ndarray) -> np.ndarray:
-    return channels.mean(axis=0, dtype="float32") if channels.shape[0] > 1 else channels[0]
+    """Mean over channels, added up one by one, which is faster than a mean across strides."""
+    mono = channels[0].copy()
+    for channel in channels[1:]:
+        mono += channel
+    return mono / np.float32(channels.shape[0])
 
 
 def decode_media(

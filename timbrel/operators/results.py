@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from timbrel.functions.errors import is_error
 from timbrel.functions.names import ID_DIGITS, content_hash, given_or, random_id, stable_id
 from timbrel.functions.parse import flatten_layers
+from timbrel.operators.skew import join_spread
 from timbrel.schemas import LAYERS
 
 ID_COLUMNS = ("job_id", "song_id", "song_hash", "filename")
@@ -89,12 +90,12 @@ def unpivot_layers(df: DataFrame, *keep: str) -> DataFrame:
 
 def skip_existing(inputs: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Inputs without an output yet."""
-    return inputs.join(existing.select(key).distinct(), key, "left_anti")
+    return join_spread(inputs, existing.select(key).distinct(), key, "left_anti")
 
 
 def missing_results(jobs: DataFrame, results: DataFrame, key: str) -> DataFrame:
     """Jobs without any result row."""
-    return jobs.join(results.select(key).distinct(), key, "left_anti")
+    return join_spread(jobs, results.select(key).distinct(), key, "left_anti")
 
 
 def completeness(jobs: DataFrame, results: DataFrame, key: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from timbrel.operators.skew import join_spread
+
 # Accepted extensions and the size limit.
 ALLOWED_EXTENSIONS = ("mp3", "wav", "flac", "ogg", "m4a", "aac", "wma", "aiff")
 MAX_FILE_BYTES = 100 * 1024 * 1024
@@ -53,12 +55,12 @@ def accept_prefix(df: DataFrame, batch: str, position: str, ok: Column) -> DataF
     """Add ``accepted``: within a request only the files before its first invalid one.
 
     The first bad position per request is a plain ``min`` (combined map-side),
-    so a request holding most of all files never sits in one window; the join
-    back meets one row per request, and a large request's side is split by AQE.
+    so a request holding most of all files never sits in one window, and the
+    join back with one row per request splits such a request.
     """
     first_bad = df.filter(~ok).groupBy(batch).agg(F.min(position).alias("_first_bad"))
     return (
-        df.join(first_bad, batch, "left")
+        join_spread(df, first_bad, batch, "left")
         .withColumn("accepted", F.col("_first_bad").isNull() | (F.col(position) < F.col("_first_bad")))
         .drop("_first_bad")
     )
