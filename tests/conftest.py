@@ -20,7 +20,7 @@ def spark():
 
     session = build_session(
         "tests",
-        "local[8]",
+        "local[8, 3]",  # a failed task is tried again
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",

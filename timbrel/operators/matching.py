@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from timbrel.operators.skew import join_spread
+
 # Spellings that stand for an available key.
 KEY_ALIASES = {
     "rnb": "r-n-b",
@@ -179,5 +181,10 @@ def match_keys(
     )
 
 
+def tag_matches(df: DataFrame, column: str, matches: DataFrame) -> DataFrame:
+    """Every row with the match and tier of its key; a key in very many rows is split."""
+    return join_spread(df, matches.withColumnRenamed("target", column), column, "left")
+
+
 def unmatched(matches: DataFrame) -> DataFrame:
     return matches.filter(F.col("match").isNull()).select("target")

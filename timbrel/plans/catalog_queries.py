@@ -48,6 +48,26 @@ def genre_match(spark, folder):
     return matching.match_tiers(targets, "spelling", _available(part), "name", "pos", _ALIASES)
 
 
+@query(
+    "genre_tag",
+    f"""
+    WITH {_AVAILABLE_SQL},
+    lowered AS (SELECT lower(name) AS low, arg_min(name, pos) AS name FROM available GROUP BY lower(name)),
+    rows AS (SELECT p_partkey, {_SPELLING} AS spelling FROM part)
+    SELECT p_partkey, spelling, coalesce(e.name, l.name, a.name) AS match,
+           CASE WHEN e.name IS NOT NULL THEN 1 WHEN l.name IS NOT NULL THEN 2 WHEN a.name IS NOT NULL THEN 3 END AS tier
+    FROM rows t
+    LEFT JOIN (SELECT DISTINCT name FROM available) e ON e.name = t.spelling
+    LEFT JOIN lowered l ON l.low = replace(replace(lower(t.spelling), ' ', '-'), '&', 'n')
+    LEFT JOIN available a ON lower(t.spelling) LIKE 'big %' AND a.name = upper(substr(t.spelling, 5))""",
+)
+def genre_tag(spark, folder):
+    part = table(spark, folder, "part")
+    rows = part.select("p_partkey", F.expr(_SPELLING).alias("spelling"))
+    matches = matching.match_tiers(rows, "spelling", _available(part), "name", "pos", _ALIASES)
+    return matching.tag_matches(rows, "spelling", matches)
+
+
 # The similarity measure said in SQL: the longest common block of two words,
 # then the same on both sides of it, until nothing is left in common.
 _SIMILAR_SQL = f"""
