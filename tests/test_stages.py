@@ -133,6 +133,8 @@ def test_short_answers_become_errors(spark):
     predictor = stages.Predictor(lambda texts: ["{}"] if len(texts) > 1 else [])
     got = stages.annotate(_rows(spark), predictor, F.col("text"), "job_id").collect()
     assert sum(r.error.startswith("Prediction failed: predictor returned 0") for r in got) == 4
+    none = stages.annotate(_rows(spark), stages.Predictor(lambda texts: [None] * len(texts)), F.col("text"), "job_id")
+    assert sum(r.error == "Prediction failed: predictor returned no answer" for r in none.collect()) == 4
 
 
 def test_error_rows_never_reach_the_model(spark):

@@ -100,18 +100,24 @@ def test_split_sink_and_a_repeated_batch(spark, tmp_path):
 
 
 def test_progress_listener(spark, tmp_path):
-    _wave(spark, f"{tmp_path}/inbox", 0, 6)
+    for i in range(3):
+        _wave(spark, f"{tmp_path}/inbox", i * 6, 6)
     listener = runs.ProgressListener()
     spark.streams.addListener(listener)
     try:
-        runs.drain(sources.stream_table(spark, f"{tmp_path}/inbox", SCHEMA), f"{tmp_path}/out")
-        for _ in range(50):
-            if listener.total:
+        stream = sources.stream_table(spark, f"{tmp_path}/inbox", SCHEMA, max_files=1)
+        query = runs.start_table(stream, f"{tmp_path}/out", every="0 seconds")
+        query.processAllAvailable()
+        query.stop()
+        for _ in range(100):
+            if listener.total == 18:
                 break
             time.sleep(0.1)
     finally:
         spark.streams.removeListener(listener)
-    assert listener.total == 6 and listener.triggers
+    assert listener.status["rows"] == 18 and listener.status["healthy"]
+    assert [n for _, n, _ in listener.triggers if n] == [6, 6, 6]
+    assert listener.status["sources"] == [{}]
 
 
 def test_media_stream_equals_batch(spark, tmp_path):

@@ -187,6 +187,8 @@ class Predictor:
         answers = self.predict(inputs) if resource is None else self.predict(inputs, resource)
         if len(answers) != len(inputs):
             raise ValueError(f"predictor returned {len(answers)} answers for {len(inputs)} inputs")
+        if any(a is None for a in answers):
+            raise ValueError("predictor returned no answer")
         return answers
 
     def _batch(self, inputs: list, resource: Any) -> list[tuple]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -83,11 +84,17 @@ def read_until(
 
 
 class ProgressListener(StreamingQueryListener):
-    """Input rows per trigger and the running total, for health checks."""
+    """Input rows per trigger, the running total and the sources' own metrics, for health checks.
 
-    def __init__(self) -> None:
-        self.triggers: list[tuple[int, int, float]] = []
+    Only the last ``keep`` triggers are held. Which metrics there are (such as
+    how far a reader is behind) is up to the source; files report none.
+    """
+
+    def __init__(self, keep: int = 1000) -> None:
+        self.triggers: deque[tuple[int, int, float]] = deque(maxlen=keep)
         self.total = 0
+        self.source_metrics: list[dict[str, str]] = []
+        self.healthy = True
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -96,9 +103,21 @@ class ProgressListener(StreamingQueryListener):
         p = event.progress
         self.total += p.numInputRows
         self.triggers.append((p.batchId, p.numInputRows, p.processedRowsPerSecond))
+        self.source_metrics = [dict(s.metrics) for s in p.sources]
+        self.healthy = True
+
+    @property
+    def status(self) -> dict:
+        """Rows so far, triggers held, source metrics, and whether the last query ended in an error."""
+        return {
+            "rows": self.total,
+            "triggers": len(self.triggers),
+            "sources": self.source_metrics,
+            "healthy": self.healthy,
+        }
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self.healthy = event.exception is None
