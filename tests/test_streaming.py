@@ -158,11 +158,17 @@ def test_flat_listing_reads_no_content(spark, tmp_path):
 
 
 def test_empty_files_are_found(spark, tmp_path):
+    deep = tmp_path / "d é+%" / "x y"
+    deep.mkdir(parents=True)
     for name, data in (("a b+c%.wav", b""), ("é.mp3", b""), ("full one.wav", b"x"), ("skip.txt", b"")):
         (tmp_path / name).write_bytes(data)
+        (deep / name).write_bytes(data)
     found = sources.empty_media(spark, str(tmp_path)).collect()
-    assert sorted(r.path.rsplit("/", 1)[1] for r in found) == ["a b+c%.wav", "é.mp3"]
+    assert {r.path for r in found} == {f"file:{d}/{n}" for d in (tmp_path, deep) for n in ("a b+c%.wav", "é.mp3")}
     assert all(r.length == 0 and bytes(r.content) == b"" for r in found)
+    assert sources.empty_media(spark, f"file://{tmp_path}", recursive=False).count() == 2
+    scanned = {r.path for r in sources.list_media(spark, str(tmp_path)).collect()}
+    assert scanned == {f"file:{d}/full one.wav" for d in (tmp_path, deep)}
 
 
 def test_items_with_broken_lines(spark, tmp_path):

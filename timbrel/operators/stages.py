@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import time
 import uuid
 from collections.abc import Callable, Iterator
@@ -20,6 +21,8 @@ from timbrel.functions.parse import parse_layers
 from timbrel.operators.results import layered_result
 from timbrel.schemas import PREDICTION
 
+log = logging.getLogger(__name__)
+
 ROWS, COLUMNS, ITEMS, ARROW = "rows", "columns", "items", "arrow"
 
 # Rows a predictor holds back, at most, while it fills a batch or an answer frame.
@@ -97,6 +100,7 @@ def _run_batch(stage: Stage, batch: Any, resource: Any) -> Any:
         return stage.call(batch, resource)
     except Exception:
         if stage.on_error == "skip":
+            log.exception("stage %s: batch skipped", stage.name)
             return []
     out: list[dict] = []
     for item in batch:
@@ -198,6 +202,7 @@ class Predictor:
             if self.on_error == "raise":
                 raise
             if self.on_error == "skip":
+                log.exception("batch of %d inputs skipped", len(inputs))
                 return [(None, None)] * len(inputs)
             if len(inputs) == 1:
                 return [(None, f"Prediction failed: {e}")]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from timbrel.operators import positions
 from timbrel.plans.registry import query, table
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from timbrel.plans.catalog_queries import _CATALOG_SQL, _catalog
 from timbrel.plans.parse_queries import _STRICT_SQL, _parsed
-from timbrel.plans.registry import query, table
+from timbrel.plans.registry import query
 from timbrel.session import run_dir
 from timbrel.sinks import tables
 

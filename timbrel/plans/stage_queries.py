@@ -11,9 +11,7 @@ from timbrel.functions import parse
 from timbrel.functions.text import fill_template
 from timbrel.operators import ensemble, metrics, results, stages, uploads
 from timbrel.plans import rule_model
-from timbrel.plans.job_queries import DOC_NAME
 from timbrel.plans.registry import query, table
-from timbrel.schemas import LAYERS
 
 _LINE = [
     T.StructField("l_orderkey", T.LongType()),

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
+from urllib.parse import quote, unquote
+
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,21 +44,50 @@ def scan_media(
     )
 
 
+def _list_folder(recursive: bool):
+    """Map function from folder URIs to ``uri, is_folder, size`` of what lies in them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for uri in batch.column("uri").to_pylist():
+                system, path = pafs.FileSystem.from_uri(uri)
+                prefix = unquote(uri).removesuffix(path)
+                found = system.get_file_info(pafs.FileSelector(path, recursive=recursive))
+                for at in range(0, len(found), 10_000):
+                    part = found[at : at + 10_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([prefix + f.path for f in part], pa.string()),
+                            pa.array([f.type == pafs.FileType.Directory for f in part], pa.bool_()),
+                            pa.array([f.size for f in part], pa.int64()),
+                        ],
+                        names=["uri", "is_folder", "size"],
+                    )
+
+    return run
+
+
 def empty_media(
     spark: SparkSession, folder: str, extensions: tuple[str, ...] = MEDIA_EXTENSIONS, recursive: bool = True
 ) -> DataFrame:
-    """Zero-length files of a folder, which Spark's file sources pass over.
+    """Zero-length files below a folder, which Spark's file sources pass over.
 
-    They are the files of the scan's own listing, which the driver holds
-    anyway, that the scan does not return. Same columns as :func:`scan_media`.
+    Tasks list the folders, one per subfolder of ``folder``. Same columns as
+    :func:`scan_media`; ``folder`` is a URI or a path of the local file system.
     """
-    scan = scan_media(spark, folder, extensions, recursive)
-    listed = spark.createDataFrame([(p,) for p in scan.inputFiles()], "path string").select(
-        # the listing gives encoded URIs, the scan plain paths
-        F.regexp_replace(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/").alias("path")
-    )
-    return listed.join(scan.select("path"), "path", "left_anti").select(
-        "path",
+    root = folder if "://" in folder else "file://" + quote(os.path.abspath(folder.removeprefix("file:")))
+    listing = "uri string, is_folder boolean, size long"
+    top = spark.createDataFrame([(root,)], "uri string").mapInArrow(_list_folder(False), listing)
+    found = top.filter("NOT is_folder")
+    if recursive:
+        below = top.filter("is_folder").select(F.replace(F.url_encode("uri"), F.lit("+"), F.lit("%20")).alias("uri"))
+        # only the path is encoded, and its separators stay
+        below = below.select(F.replace(F.replace("uri", F.lit("%2F"), F.lit("/")), F.lit("%3A"), F.lit(":")).alias("uri"))
+        width = spark.sparkContext.defaultParallelism
+        deep = below.repartition(width).mapInArrow(_list_folder(True), listing).filter("NOT is_folder")
+        found = found.unionByName(deep)
+    return found.filter((F.col("size") == 0) & F.substring_index("uri", ".", -1).isin(*extensions)).select(
+        F.regexp_replace("uri", "^file:/+", "file:/").alias("path"),
         F.lit(None).cast("timestamp").alias("modificationTime"),
         F.lit(0).cast("bigint").alias("length"),
         F.lit(b"").alias("content"),
