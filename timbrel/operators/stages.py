@@ -98,9 +98,9 @@ def _run_batch(stage: Stage, batch: Any, resource: Any) -> Any:
         return stage.call(batch, resource)
     try:
         return stage.call(batch, resource)
-    except Exception:
+    except Exception as e:
         if stage.on_error == "skip":
-            log.exception("stage %s: batch skipped", stage.name)
+            log.warning("stage %s: batch skipped: %s", stage.name, e)
             return []
     out: list[dict] = []
     for item in batch:
@@ -202,7 +202,7 @@ class Predictor:
             if self.on_error == "raise":
                 raise
             if self.on_error == "skip":
-                log.exception("batch of %d inputs skipped", len(inputs))
+                log.warning("batch of %d inputs skipped: %s", len(inputs), e)
                 return [(None, None)] * len(inputs)
             if len(inputs) == 1:
                 return [(None, f"Prediction failed: {e}")]
