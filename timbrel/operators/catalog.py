@@ -63,12 +63,17 @@ def build_catalog(
     return capped.drop("_source")
 
 
+def _two_decimals(value: Column) -> Column:
+    """Rounded as numpy rounds: scaled, to the nearest even integer, scaled back."""
+    return F.rint(value * 100) / 100
+
+
 def genre_summary(df: DataFrame, genre: str = "genre") -> DataFrame:
     """Track count, mean popularity and mean minutes per genre, two decimals."""
     return df.groupBy(genre).agg(
         F.count("track_id").alias("track_count"),
-        F.round(F.avg("popularity"), 2).alias("avg_popularity"),
-        F.round(F.avg("duration_ms") / 60000, 2).alias("avg_duration_min"),
+        _two_decimals(F.avg("popularity")).alias("avg_popularity"),
+        _two_decimals(F.avg("duration_ms") / 60000).alias("avg_duration_min"),
     )
 
 

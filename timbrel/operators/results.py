@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from timbrel.functions.errors import is_error
-from timbrel.functions.names import ID_DIGITS, content_hash, given_or, random_id, stable_id
-from timbrel.functions.parse import flatten_layers
+from timbrel.functions.names import ID_DIGITS, content_hash, given_or, random_id, stable_id, stem_to_last_dot
+from timbrel.functions.parse import flatten_layers, parse_layers_lenient
 from timbrel.operators.skew import join_spread
 from timbrel.schemas import LAYERS
 
@@ -67,6 +67,21 @@ def layered_result(df: DataFrame, layers: Column, planning: Column, error: Colum
     )
 
 
+def script_result(df: DataFrame, filename: Column, plan: Column, answer: Column, *keep: str) -> DataFrame:
+    """``filename, song_name``, leniently parsed layers, both texts: the row of a scoring script."""
+    parsed = df.select(
+        *keep,
+        filename.alias("filename"),
+        stem_to_last_dot(filename).alias("song_name"),
+        parse_layers_lenient(answer).alias("_layers"),
+        plan.alias("planning_response"),
+        answer.alias("raw_response"),
+    )
+    return parsed.select(
+        *keep, "filename", "song_name", "_layers.*", "planning_response", "raw_response"
+    )
+
+
 def flat_result(df: DataFrame, items: Column, error: Column, *keep: str) -> DataFrame:
     """Envelope of a plain instrument list."""
     return df.select(

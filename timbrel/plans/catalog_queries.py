@@ -231,8 +231,8 @@ def catalog_build(spark, folder):
 @query(
     "genre_summary",
     """
-    SELECT p_type AS genre, count(*) AS track_count, round(avg(p_size), 2) AS avg_popularity,
-           round(avg(p_partkey * 100) / 60000, 2) AS avg_duration_min FROM part GROUP BY p_type""",
+    SELECT p_type AS genre, count(*) AS track_count, round_even(avg(p_size) * 100, 0) / 100 AS avg_popularity,
+           round_even(avg(p_partkey * 100) / 60000 * 100, 0) / 100 AS avg_duration_min FROM part GROUP BY p_type""",
 )
 def genre_summary(spark, folder):
     tracks = table(spark, folder, "part").select(

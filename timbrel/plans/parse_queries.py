@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from timbrel.functions import chat, parse
-from timbrel.operators.results import unpivot_layers
+from timbrel.operators.results import script_result, unpivot_layers
 from timbrel.plans.registry import query, table
 from timbrel.schemas import LAYERS
 
@@ -91,6 +91,24 @@ def parse_layers_lenient(spark, folder):
     return layers.select("p_partkey", *[F.array_join(F.col(f"l.{n}"), "|").alias(n) for n in LAYERS])
 
 
+@query(
+    "script_rows",
+    f"""
+    WITH {_LAYER_SQL},
+    l AS (SELECT p_partkey, {_lenient_sql('background', 'tb')}, {_lenient_sql('middle_ground', 'tm')},
+                 {_lenient_sql('foreground', 'tf')} FROM typed)
+    SELECT l.*, 'songs/' || p.p_name || '.' || p.p_partkey || '.wav' AS filename, p.p_name || '.' || p.p_partkey AS song_name,
+           p.p_type AS planning_response, {LAYER_TEXT.replace('p_', 'p.p_')} AS raw_response
+    FROM l JOIN part p ON p.p_partkey = l.p_partkey""",
+)
+def script_rows(spark, folder):
+    answers = table(spark, folder, "part").withColumns(
+        {"answer": F.expr(LAYER_TEXT), "path": F.expr("'songs/' || p_name || '.' || p_partkey || '.wav'")}
+    )
+    rows = script_result(answers, F.col("path"), F.col("p_type"), F.col("answer"), "p_partkey")
+    return rows.withColumns({n: F.array_join(n, "|") for n in LAYERS})
+
+
 @query(
     "layer_unpivot",
     f"""
