@@ -71,14 +71,19 @@ def annotate_folder(
     step_2: str,
     load_seconds: float = 0.0,
     run_seconds: float = 0.0,
+    include_empty: bool = True,
     **options,
 ) -> dict[str, str]:
     """Run the whole job; returns the paths written.
 
     The model runs once: its results are written as a table, and the CSV, the
-    failure table and the report are made from that table.
+    failure table and the report are made from that table. Zero-length files
+    become failures, too, unless ``include_empty`` is off, as it has to be
+    where the folder lies on a file system that Arrow cannot list.
     """
-    files = scan_media(spark, folder).unionByName(empty_media(spark, folder))
+    files = scan_media(spark, folder)
+    if include_empty:
+        files = files.unionByName(empty_media(spark, folder))
     jobs, quarantine = intake(files)
     paths = {n: f"{out}/{n}" for n in ("results", "quarantine", "failures", "csv", "report")}
     annotate_jobs(jobs, planner, responder, step_2, **options).write.mode("overwrite").parquet(paths["results"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from urllib.parse import quote, unquote
 
@@ -44,13 +45,23 @@ def scan_media(
     )
 
 
+def _folder_uri(spark: SparkSession, folder: str, extensions: tuple[str, ...]) -> str:
+    """The folder with the scheme and host under which Spark finds its files."""
+    if "://" in folder:
+        return folder
+    plain = folder.removeprefix("file:")
+    found = scan_media(spark, folder, extensions).select("path").first()
+    host = re.match("[a-z0-9+.-]+://[^/]*", found.path) if found else None
+    return (host.group() if host else "file://") + quote(os.path.abspath(plain))
+
+
 def _list_folder(recursive: bool):
     """Map function from folder URIs to ``uri, is_folder, size`` of what lies in them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for uri in batch.column("uri").to_pylist():
-                system, path = pafs.FileSystem.from_uri(uri)
+                system, path = pafs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", uri))
                 prefix = unquote(uri).removesuffix(path)
                 found = system.get_file_info(pafs.FileSelector(path, recursive=recursive))
                 for at in range(0, len(found), 10_000):
@@ -72,10 +83,11 @@ def empty_media(
 ) -> DataFrame:
     """Zero-length files below a folder, which Spark's file sources pass over.
 
-    Tasks list the folders, one per subfolder of ``folder``. Same columns as
-    :func:`scan_media`; ``folder`` is a URI or a path of the local file system.
+    Tasks list the folders, one per subfolder of ``folder``, through Arrow's
+    file systems (local, HDFS, S3 and others it knows). Same columns as
+    :func:`scan_media`.
     """
-    root = folder if "://" in folder else "file://" + quote(os.path.abspath(folder.removeprefix("file:")))
+    root = _folder_uri(spark, folder, extensions)
     listing = "uri string, is_folder boolean, size long"
     top = spark.createDataFrame([(root,)], "uri string").mapInArrow(_list_folder(False), listing)
     found = top.filter("NOT is_folder")
