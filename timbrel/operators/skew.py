@@ -7,20 +7,20 @@ from pyspark.sql import functions as F
 
 # A key counts as hot from this share of the rows on.
 HOT_SHARE = 0.01
-SAMPLE_ROWS = 100_000
+# Keys the frequent-items sketch keeps track of; its error is far below HOT_SHARE.
+TRACKED_KEYS = 10_000
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Keys that hold about ``share`` of the rows or more, judged by a sample of the key column.
+    """Keys that hold at least ``share`` of the rows, of which there are at most ``1 / share``.
 
-    Keys of half the share are included, so that few are missed; there can be
-    no more than ``2 / share`` of them.
+    One pass over the key column with a frequent-items sketch: tasks send
+    their sketches, no key is shuffled.
     """
-    fraction = min(1.0, SAMPLE_ROWS / max(df.count(), 1))
-    counts = df.select(key).sample(fraction, seed=11).groupBy(key).count()
-    total = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).scalar()
-    frequent = counts.filter((F.col("count") >= total * (share / 2)) & (F.col("count") > 1))
-    return [row[0] for row in frequent.select(key).limit(int(2 / share)).collect() if row[0] is not None]
+    top = F.expr(f"approx_top_k(`{key}`, {int(1 / share)}, {TRACKED_KEYS})")
+    row = df.agg(F.count("*").alias("n"), top.alias("top")).first()
+    least = max(2, row.n * share)
+    return [item for item, count in row.top or [] if item is not None and count >= least]
 
 
 def join_spread(
