@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from timbrel.llm.exact_dedup import exact_dedup, normalised
+from timbrel.llm.line_frequency import LEFT, LINE_DOCUMENTS, LINE_SHARE, line_rules
+from timbrel.llm.mixing import mix
 from timbrel.llm.registry import QUERIES, SQL, documents, query  # noqa: F401
 from timbrel.llm.rows import keyed, text_of
 
@@ -29,3 +31,43 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     digest = rows.select("row", F.sha2(normalised(text_of(rows)), 256).alias("text_sha256"))
     found = exact_dedup(rows).join(digest, "row")
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query(
+    "op7_line_frequency_rules",
+    rf"""
+    WITH t AS (
+        SELECT doc_id, source, coalesce(text, '') AS x,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    g AS (SELECT doc_id, i, w[i:i+2] AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM t)),
+    r AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, gram) > 1),
+    rep AS (SELECT doc_id, count(DISTINCT i + d) AS n FROM r, (SELECT unnest([0, 1, 2]) AS d) GROUP BY 1),
+    l AS (SELECT doc_id, source, x, unnest(string_split(x, chr(10))) AS line FROM t),
+    m AS (SELECT *, lower(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS plain FROM l
+          WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+    dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM m GROUP BY 1),
+    host AS (SELECT source, greatest({LINE_DOCUMENTS}, {LINE_SHARE} * count(DISTINCT x)) AS most FROM m GROUP BY 1),
+    f AS (SELECT source, plain FROM m JOIN host USING (source) GROUP BY source, plain, most
+          HAVING count(DISTINCT x) > most),
+    cut AS (SELECT doc_id, sum(length(plain)) AS n FROM m JOIN f USING (source, plain) GROUP BY 1),
+    c AS (SELECT t.doc_id, len(w) AS n_words,
+                 length(regexp_replace(x, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+                 length(regexp_replace(x, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+                 coalesce(dup.n, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
+                 CAST(coalesce(cut.n, 0) AS BIGINT) AS removed_chars
+          FROM t LEFT JOIN rep USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN cut USING (doc_id))
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+           NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+           AND word_chars - removed_chars >= {LEFT} * word_chars AS kept
+    FROM c
+    """,
+)
+def op7_line_frequency_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return line_rules(documents(spark, folder)).drop("row")
+
+
+@query("op5_pivotal_mix")
+def op5_pivotal_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """The words that the mix takes of every document."""
+    return mix(documents(spark, folder)).drop("row")
