@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from timbrel.llm.bpe import bpe
 from timbrel.llm.exact_dedup import exact_dedup, normalised
+from timbrel.llm.language import language
 from timbrel.llm.line_frequency import LEFT, LINE_DOCUMENTS, LINE_SHARE, line_rules
 from timbrel.llm.mixing import mix
 from timbrel.llm.registry import QUERIES, SQL, documents, query  # noqa: F401
 from timbrel.llm.rows import keyed, text_of
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Where the vocabulary file of the public tokenizers lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query(
     "op8_exact_dedup",
     r"""
@@ -71,3 +80,18 @@ def op7_line_frequency_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op5_pivotal_mix(spark: SparkSession, folder: str) -> DataFrame:
     """The words that the mix takes of every document."""
     return mix(documents(spark, folder)).drop("row")
+
+
+@query("op4_bpe_pair_index")
+def op4_bpe_pair_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of the ids and of the decoded text of every document."""
+    coded = bpe(documents(spark, folder), tokenizer_path())
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+@query("op2_byte_cnn_language")
+def op2_byte_cnn_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document."""
+    return language(documents(spark, folder)).drop("row")
