@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from timbrel.llm.bpe import bpe
+from timbrel.llm.chosen_path import jaccard_join
 from timbrel.llm.exact_dedup import exact_dedup, normalised
 from timbrel.llm.language import language
+from timbrel.llm.lattice import lattice_score
 from timbrel.llm.line_frequency import LEFT, LINE_DOCUMENTS, LINE_SHARE, line_rules
 from timbrel.llm.mixing import mix
 from timbrel.llm.registry import QUERIES, SQL, documents, query  # noqa: F401
@@ -95,3 +97,15 @@ def op4_bpe_pair_index(spark: SparkSession, folder: str) -> DataFrame:
 def op2_byte_cnn_language(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document."""
     return language(documents(spark, folder)).drop("row")
+
+
+@query("op9_lattice_likelihood")
+def op9_lattice_likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    """Base and lattice score of every document."""
+    return lattice_score(documents(spark, folder), tokenizer_path("piece_bpe_32k.model")).drop("row")
+
+
+@query("op10_chosen_path_join")
+def op10_chosen_path_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Class, links and group of every document."""
+    return jaccard_join(documents(spark, folder)).drop("row")

@@ -79,13 +79,14 @@ def without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
     return marked.filter("not maybe").select("row", "doc").union(doubt.select("row", "doc"))
 
 
-def with_groups(df: DataFrame, keys: list[str], first: Column) -> DataFrame:
+def with_groups(df: DataFrame, keys: list[str], first: Column, by: str = "row") -> DataFrame:
     """Adds ``size`` and ``best`` (the least ``first``) of each row's group.
 
     A group is aggregated by shares of its rows, and its totals go back by the
-    same shares, so that no task gets a hot group as a whole.
+    same shares, so that no task gets a hot group as a whole. Column ``by``
+    tells the rows of a group apart.
     """
-    shared = df.withColumn("_share", F.pmod(F.xxhash64("row"), F.lit(SHARES)))
+    shared = df.withColumn("_share", F.pmod(F.xxhash64(by), F.lit(SHARES)))
     parts = shared.groupBy(*keys, "_share").agg(F.count("*").alias("n"), F.min(first).alias("best"))
     whole = parts.groupBy(*keys).agg(
         F.sum("n").alias("size"), F.min("best").alias("best"), F.collect_list("_share").alias("_shares")
