@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from timbrel.llm.bpe import bpe
@@ -10,8 +10,11 @@ from timbrel.llm.chosen_path import jaccard_join
 from timbrel.llm.exact_dedup import exact_dedup, normalised
 from timbrel.llm.language import language
 from timbrel.llm.lattice import lattice_score
+from timbrel.llm.line_chunks import line_chunks
 from timbrel.llm.line_frequency import LEFT, LINE_DOCUMENTS, LINE_SHARE, line_rules
 from timbrel.llm.mixing import mix
+from timbrel.llm.personal_data import KINDS, personal_data, span_list
+from timbrel.llm.repeated_bytes import repeated_bytes
 from timbrel.llm.registry import QUERIES, SQL, documents, query  # noqa: F401
 from timbrel.llm.rows import keyed, text_of
 
@@ -109,3 +112,33 @@ def op9_lattice_likelihood(spark: SparkSession, folder: str) -> DataFrame:
 def op10_chosen_path_join(spark: SparkSession, folder: str) -> DataFrame:
     """Class, links and group of every document."""
     return jaccard_join(documents(spark, folder)).drop("row")
+
+
+@query("op1_line_chunks")
+def op1_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """What stays of every document, as a digest."""
+    found = line_chunks(documents(spark, folder))
+    return found.select(
+        "doc_id", "n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
+@query("op6_boosted_personal_data")
+def op6_boosted_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Base counts, the digest of the base spans, and all spans of every document."""
+    found = personal_data(documents(spark, folder))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint")
+
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    return found.select(
+        "doc_id", *counts, F.sha2(span_list(base), 256).alias("base_sha256"), span_list(F.col("spans")).alias("spans")
+    )
+
+
+@query("op3_repeated_bytes")
+def op3_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """What every document loses, and the digest of what stays."""
+    return repeated_bytes(documents(spark, folder)).drop("row")
