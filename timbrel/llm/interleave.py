@@ -39,8 +39,7 @@ def merge(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndar
     """
     sizes = [len(t) for t in transforms]
     n = sum(sizes)
-    shard = np.repeat(np.arange(len(transforms), dtype=np.int32), sizes)
-    begins = np.r_[0, np.cumsum(sizes)[:-1]]
+    shard = np.repeat(np.arange(len(transforms), dtype=np.uint8 if len(transforms) < 256 else np.int32), sizes)
     symbols_of = np.concatenate(transforms).astype(np.int16)
     common = np.full(n, depth, dtype=np.int32)
     common[0] = 0
@@ -60,5 +59,24 @@ def merge(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndar
             break
         shard = moved
     common[0] = 0
-    del begins
     return shard, common
+
+
+def repeated_places(texts: list[np.ndarray], length: int, per_shard: int = 8) -> list[np.ndarray]:
+    """For each text, which places begin a string of ``length`` that occurs twice or more in the texts.
+
+    The texts are cut into shards; neighbours in the merged order with a common
+    prefix of ``length`` begin the same string.
+    """
+    shards = [texts[k : k + per_shard] for k in range(0, len(texts), per_shard)]
+    built = [shard_transform(s) for s in shards]
+    shard, common = merge([t for t, _ in built], length)
+    twice = common >= length
+    twice[:-1] |= common[1:] >= length
+    out: list[np.ndarray] = []
+    for k, (own, (_, order)) in enumerate(zip(shards, built, strict=True)):
+        marks = np.zeros(len(order), dtype=bool)
+        marks[order] = twice[shard == k]
+        ends = np.cumsum([len(t) + 1 for t in own])
+        out += [part[:-1] for part in np.split(marks, ends[:-1])]
+    return out

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from timbrel.llm.interleave import repeated_places
 from timbrel.llm.rows import field, keyed, sieve, sifted, text_of, with_groups, written
 
 #: Bytes of a string that must not repeat, and of the part by which such strings meet.
@@ -160,6 +161,12 @@ def repeated_windows(group: list[tuple[int, bytes]], rollers: list[Roller]) -> l
     return np.split(twice, np.cumsum([len(w) for w in each])[:-1])
 
 
+def merged_windows(group: list[tuple[int, bytes]]) -> list[np.ndarray]:
+    """The same from the merged transforms of the group's texts."""
+    raws = [np.frombuffer(raw, dtype=np.uint8) for _, raw in group]
+    return [m[: len(m) - LENGTH + 1] for m in repeated_places(raws, LENGTH)]
+
+
 def _runs(marks: np.ndarray) -> list[dict[str, int]]:
     edge = np.flatnonzero(np.diff(np.r_[False, marks, False].astype(np.int8)))
     return [{"a": a, "b": b} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)]
@@ -168,8 +175,13 @@ def _runs(marks: np.ndarray) -> list[dict[str, int]]:
 _RUNS = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
 
-def compared(found: DataFrame) -> DataFrame:
-    """same, runs: begins of the windows, from the first one, that occur elsewhere, as half-open runs."""
+def compared(found: DataFrame, transforms: bool = False) -> DataFrame:
+    """same, runs: begins of the windows, from the first one, that occur elsewhere, as half-open runs.
+
+    Surroundings that occur twice repeat as a whole. The different ones of one
+    anchor are compared in a task: by the hashes of their windows or, with
+    ``transforms``, by merging the transforms of shards of them.
+    """
     surroundings = found.groupBy("key", "same").agg(
         F.count("*").alias("n"), F.first("off").alias("off"), F.max("raw").alias("raw"))
     surroundings = written(surroundings, "bytes-around")
@@ -189,7 +201,8 @@ def compared(found: DataFrame) -> DataFrame:
         def close() -> list[tuple]:
             if len(group) < 2:
                 return []
-            marks = repeated_windows([g[1:] for g in group], rollers)
+            own = [g[1:] for g in group]
+            marks = merged_windows(own) if transforms else repeated_windows(own, rollers)
             return [(i, _runs(m)) for i, g, m in zip(ids, group, marks, strict=True) if g[0] == 1 and m.any()]
 
         for frame in frames:
@@ -235,7 +248,7 @@ def compared(found: DataFrame) -> DataFrame:
     return whole.union(inside).union(spread_runs)
 
 
-def repeated_bytes(docs: DataFrame) -> DataFrame:
+def repeated_bytes(docs: DataFrame, transforms: bool = False) -> DataFrame:
     """One row per row of ``docs``: row, doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
     Every byte covered by a string of 200 bytes that begins anywhere else too,
@@ -244,14 +257,14 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
     empty result; rows that repeat a doc_id are texts of their own, so both
     copies of a long text go.
     """
-    return cleaned(docs).drop("kept")
+    return cleaned(docs, transforms).drop("kept")
 
 
-def cleaned(docs: DataFrame) -> DataFrame:
+def cleaned(docs: DataFrame, transforms: bool = False) -> DataFrame:
     """The same with ``kept``, the remaining bytes."""
     rows = docs if "doc" in docs.columns and "row" in docs.columns else keyed(docs)
     found = occurrences(rows, repeated_map(rows))
-    runs = compared(found)
+    runs = compared(found, transforms)
     spans = found.select("row", "lo", "same").join(runs, "same").select("row", "lo", F.explode("runs").alias("r"))
     per_row = written(spans.groupBy("row").agg(
         F.collect_list((F.col("lo") + F.col("r.a"))).alias("a"), F.collect_list(F.col("lo") + F.col("r.b") - 1 + LENGTH).alias("b")
