@@ -12,12 +12,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from timbrel.llm.rows import field, keyed, text_of, without  # noqa: F401
+from timbrel.llm.rows import field, keyed, text_of
 
 #: The pattern that splits a text before the merges (fixed value).
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words whose ids a worker remembers before it starts again.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -204,10 +204,11 @@ class Coder:
             yield ids, b"".join(map(self.decoded.__getitem__, at)).decode("utf-8", "replace")
 
 
-def batches(texts: list[str], most: int = 8_000_000) -> Iterator[list[str]]:
+def batches(values: pa.Array, most: int = 2_000_000) -> Iterator[list[str]]:
     """Runs of texts of about so many characters; a longer text is a run of its own."""
     out, size = [], 0
-    for text in texts:
+    for value in values:
+        text = value.as_py()
         if out and size + len(text) > most:
             yield out
             out, size = [], 0
@@ -232,7 +233,7 @@ def bpe(docs: DataFrame, tokenizer: str, decode: bool = True) -> DataFrame:
         coder = Coder(shared.value)
         for frame in frames:
             begin = 0
-            for texts in batches(frame.column(2).to_pylist()):
+            for texts in batches(frame.column(2)):
                 part = frame.slice(begin, len(texts))
                 begin += len(texts)
                 ids, decoded = zip(*coder.encode(texts), strict=True)

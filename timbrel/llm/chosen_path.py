@@ -97,10 +97,10 @@ def paths(tokens: np.ndarray, runs: int, similarity: float = SIMILARITY) -> list
     return out
 
 
-def _text_parts(frame: pa.RecordBatch, column: int, most: int = 4_000_000) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    texts, begin, size = [], 0, 0
-    for k, text in enumerate(frame.column(column).to_pylist()):
-        raw = text.encode()
+def _text_parts(frame: pa.RecordBatch, column: int, most: int = 1_000_000) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    texts, begin, size, values = [], 0, 0, frame.column(column)
+    for k in range(frame.num_rows):
+        raw = values[k].as_buffer().to_pybytes()
         if texts and size + len(raw) > most:
             yield frame.slice(begin, len(texts)), texts
             texts, begin, size = [], k, 0
