@@ -13,26 +13,34 @@ def _frames(spark, targets, available):
     )
 
 
-def _loop(target, available, threshold=0.6):
-    """The four tiers for one target, in plain Python."""
-    if target in available:
-        return target, 1
-    normal = target.lower().replace(" ", "-").replace("&", "n")
-    lowered = [a for a in available if a.lower() == normal]
-    if lowered:
-        return lowered[0], 2
-    alias = matching.KEY_ALIASES.get(target.lower())
-    if alias in available:
-        return alias, 3
-    close = difflib.get_close_matches(normal, available, 1, threshold)
-    return (close[0], 4) if close else (None, None)
-
-
-def _check(spark, targets, available, **options):
-    t, a = _frames(spark, targets, available)
+def _closest(word, available, threshold):
+    return next(iter(difflib.get_close_matches(word, available, 1, threshold)), None)
+
+
+def _built(rng, available):
+    """Targets made for a tier each, with the match and the tier they were made for."""
+    plain = [a for a in available if a == a.lower() and " " not in a and "&" not in a]
+    made = {a: (a, 1) for a in available}
+    for a in plain:
+        made.setdefault(a.upper(), (a, 2))
+        made.setdefault(a.replace("-", " ").title(), (a, 2))
+    for alias, key in matching.KEY_ALIASES.items():
+        if key in available and alias not in available and alias.replace(" ", "-").replace("&", "n") not in plain:
+            made.setdefault(alias.upper(), (key, 3))
+    for a in plain:
+        cut = rng.randrange(len(a) + 1)
+        near = a[:cut] + rng.choice(["", "x", "e"]) + a[cut + 1 :]
+        if near and near not in plain and near not in matching.KEY_ALIASES:
+            close = _closest(near, available, 0.6)
+            made.setdefault(near, (close, 4 if close else None))
+    return made
+
+
+def _check(spark, want, available, **options):
+    t, a = _frames(spark, list(want), available)
     rows = matching.match_keys(t, "t", a, "name", "pos", **options).collect()
-    assert len(rows) == len(set(targets))
-    wrong = [(r, _loop(r.target, available)) for r in rows if (r.match, r.tier) != _loop(r.target, available)]
+    assert len(rows) == len(want)
+    wrong = [(r, want[r.target]) for r in rows if (r.match, r.tier) != want[r.target]]
     assert not wrong, wrong[:5]
 
 
@@ -48,35 +56,29 @@ def test_literal_cases(spark):
         assert {r.target: r.match for r in rows} == want
 
 
-def test_both_ways_equal_a_plain_loop(spark):
+def test_targets_made_for_each_tier(spark):
     rng = random.Random(3)
-
-    def word():
-        return "".join(rng.choice("aabcdeeinorst- &") for _ in range(rng.randrange(1, 12)))
-
-    available = sorted({word() for _ in range(150)} | {"Rock", "rock", "r-n-b"})
-    near = []
-    for a in available:
-        cut = rng.randrange(len(a) + 1)
-        near.append(a[:cut] + rng.choice(["", "x", "e"]) + a[cut + 1 :])
-    targets = [t for t in near + [word() for _ in range(100)] + [a.upper() for a in available[:20]] if t]
-    _check(spark, targets, available)
-    _check(spark, targets, available, max_candidates=0)
+    available = sorted({"".join(rng.choice("aabcdeeinorst-") for _ in range(rng.randrange(3, 12))) for _ in range(150)})
+    available += [k for k in ("r-n-b", "electronic", "hip-hop") if k not in available]
+    want = _built(rng, available)
+    assert {tier for _, tier in want.values()} >= {1, 2, 3, 4}
+    _check(spark, want, available)
+    _check(spark, want, available, max_candidates=0)
 
 
 def test_equal_scores_take_the_larger_word(spark):
-    _check(spark, ["abcx"], ["abca", "abcb"])
-    _check(spark, ["abcx"], ["abca", "abcb"], max_candidates=0)
+    _check(spark, {"abcx": ("abcb", 4)}, ["abca", "abcb"])
+    _check(spark, {"abcx": ("abcb", 4)}, ["abca", "abcb"], max_candidates=0)
 
 
 def test_other_thresholds(spark):
     available = ["piano", "piano forte", "pianos", "organ"]
-    targets = ["pian", "fortepiano", "orgn"]
     for threshold in (0.3, 0.75, 0.9):
+        want = {t: _closest(t, available, threshold) for t in ("pian", "fortepiano", "orgn")}
         for limit in (10, 0):
-            t, a = _frames(spark, targets, available)
+            t, a = _frames(spark, list(want), available)
             rows = matching.match_keys(t, "t", a, "name", "pos", threshold=threshold, max_candidates=limit).collect()
-            assert {r.target: r.match for r in rows} == {x: _loop(x, available, threshold)[0] for x in targets}
+            assert {r.target: r.match for r in rows} == want
 
 
 def test_hot_target(spark):

@@ -1,6 +1,5 @@
-"""Literal cases and a generated comparison with Python's own parsers."""
+"""Literal cases, and generated answers whose content is known."""
 
-import ast
 import json
 import random
 
@@ -12,22 +11,36 @@ from timbrel.functions.errors import is_error
 from timbrel.functions.text import fill_template, strip
 from timbrel.schemas import LAYERS
 
+NOTHING = ([], [], [])
+
+
+def layered(low=None, mid=None, top=None):
+    """An answer with these layers, and what has to come out of it."""
+    given = [(n, x) for n, x in zip(LAYERS, (low, mid, top)) if x is not None]
+    return json.dumps(dict(given)), (low or [], mid or [], top or [])
+
+
+ONE = layered(["drone", "rain"], ["oboe"], ["alto"])
+TWO = layered(["tabla"], [], ["sitar"])
 CASES = [
-    ('{"background": ["pad", "strings"], "middle_ground": ["piano"], "foreground": ["vocals"]}', (["pad", "strings"], ["piano"], ["vocals"])),
-    ('Here is it:\n{"background": ["drums"], "middle_ground": [], "foreground": ["guitar"]}\nbye', (["drums"], [], ["guitar"])),
-    ('{"background": [], "middle_ground": [], "foreground": []}', ([], [], [])),
-    ('{"background": ["synth"]}', (["synth"], [], [])),
-    ("no braces at all", ([], [], [])),
-    ('{"background": ["synth"', ([], [], [])),
-    ('{"background": ["a"]} words {"background": ["b"]}', ([], [], [])),
-    ('{"background": null, "foreground": ["x"]}', ([], [], [])),
-    ("} {", ([], [], [])),
-    ('{"background": "guitar", "foreground": ["x"]}', ([], [], [])),
-    ('{"background": ["a"]}][{"foreground": ["b"]}', ([], [], [])),
-    ('{"background": ["a"]}} x {"foreground": {}}', ([], [], [])),
-    ('{"background": ["a"]}, "foreground": {"b": 1}', ([], [], [])),
-    ("{'background': ['a']}", ([], [], [])),
-    ("", ([], [], [])),
+    ONE,
+    ("I can hear these.\n\n" + TWO[0] + "\n\nThat is all of it.", TWO[1]),
+    layered([], [], []),
+    layered(low=["theremin"]),
+    ("nothing but words", NOTHING),
+    (ONE[0][:-9], NOTHING),
+    (ONE[0] + " or else " + TWO[0], NOTHING),
+    ('{"background": null, "foreground": ["x"]}', NOTHING),
+    ("} {", NOTHING),
+    ('{"background": "guitar", "foreground": ["x"]}', NOTHING),
+    ('{"background": ["a"]}][{"foreground": ["b"]}', NOTHING),
+    ('{"background": ["a"]}} x {"foreground": {}}', NOTHING),
+    ('{"background": ["a"]}, "foreground": {"b": 1}', NOTHING),
+    ("{'background': ['a']}", NOTHING),
+    ("", NOTHING),
+    ('{"background": [{"a": 1}], "foreground": ["x"]}', NOTHING),
+    ('{"middle_ground": [["n"]], "foreground": ["x"]}', NOTHING),
+    ('{"background": ["a [b] {c}"], "foreground": ["x]"]}', (["a [b] {c}"], [], ["x]"])),
 ]
 
 
@@ -81,86 +94,70 @@ def test_lenient(spark):
     assert rows[1].asDict() == {"background": [], "middle_ground": [], "foreground": []}
 
 
-def _model(text):
-    """What a Python reader makes of an answer; any layer that is no list empties all."""
-    start, end = text.find("{"), text.rfind("}") + 1
-    empty = ([], [], [])
-    if start == -1 or end <= start:
-        return empty
-    try:
-        value = json.loads(text[start:end])
-    except ValueError:
-        return empty
-    lists = tuple(value.get(n, []) for n in LAYERS)
-    return lists if all(isinstance(x, list) for x in lists) else empty
+WORDS = ["piano", "kick drum", 'qu"ote', "back\\slash", "é", "a,b", "", "{x}", "[y]", "]", "}"]
 
 
 def _answer(rng):
-    def word():
-        return rng.choice(["piano", "kick drum", 'qu"ote', "back\\slash", "é", "a,b", "", "{x}", "[y]", "]", "}"])
-
-    value = {}
+    """A text and its layers: the generator knows what it breaks."""
+    given, want = {}, {n: [] for n in LAYERS}
+    sound = True
     for name in LAYERS:
         kind = rng.random()
         if kind < 0.7:
-            value[name] = [word() for _ in range(rng.randrange(3))]
-        elif kind < 0.78:
-            value[name] = rng.choice([None, "text", 3, {"k": "v"}])
+            given[name] = want[name] = [rng.choice(WORDS) for _ in range(rng.randrange(3))]
+        elif kind < 0.8:
+            given[name] = rng.choice([None, "text", 3, {"k": "v"}, [["n"]], ["m", {"k": 1}]])
+            sound = False
     if rng.random() < 0.2:
-        value["other"] = rng.choice([1, None, [1, 2], {"a": {"b": []}}])
-    text = json.dumps(value, ensure_ascii=rng.random() < 0.5, indent=rng.choice([None, 2]))
-    kind = rng.random()
-    if kind < 0.15:
-        text = text[: rng.randrange(len(text) + 1)]
-    elif kind < 0.3:
-        text += rng.choice([" and ", ",", "", "][", "}} ", '}, "foreground": ']) + json.dumps(value)
-    elif kind < 0.4:
-        text = text.replace('"', "'")
-    if rng.random() < 0.4:
-        text = rng.choice(["Sure: ", "```json\n", "{", "[", "} "]) + text + rng.choice(["", "\n```", " done.", "}", "]"])
-    return text
+        given["other"] = rng.choice([1, None, [1, 2], {"a": {"b": []}}])
+    text = json.dumps(given, ensure_ascii=rng.random() < 0.5, indent=rng.choice([None, 2]))
+    harm = rng.choice(["none"] * 6 + ["cut", "twice", "open", "single"])
+    if harm == "cut":  # the closing brace is lost, and no other one is left to stand in for it
+        text = text[:-1].replace("}", "")
+    elif harm == "twice":
+        text += rng.choice([" and ", ",", "][", "}} ", '}, "foreground": ']) + text
+    elif harm == "open":
+        text = "{" + text
+    elif harm == "single":
+        text = text.replace("{", "{'", 1) if text != "{}" else "{'}"
+    sound = sound and harm == "none"
+    text = rng.choice(["", "Sure: ", "```json\n", "[", "} "]) + text + rng.choice(["", "\n```", " done.", "]"])
+    return text, tuple(want[n] for n in LAYERS) if sound else NOTHING
 
 
 def test_generated_answers(spark):
     rng = random.Random(5)
-    texts = [_answer(rng) for _ in range(4000)]
-    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    cases = [_answer(rng) for _ in range(4000)]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, t string")
     rows = df.select("i", parse.parse_layers(F.col("t")).alias("l")).collect()
-    wrong = [
-        (texts[r.i], got, _model(texts[r.i]))
-        for r in rows
-        if (got := tuple(r.l[n] for n in LAYERS)) != _model(texts[r.i])
-    ]
+    wrong = [(cases[r.i], got) for r in rows if (got := tuple(r.l[n] for n in LAYERS)) != cases[r.i][1]]
     assert not wrong, wrong[:3]
 
 
+def _listed(rng):
+    """A text with a list of quoted words, and the items: those of the list, or the whole text if it is broken."""
+    items = [rng.choice(["a", "b c", "d", "é", "", "[x]"]) for _ in range(rng.randrange(4))]
+    quoted = [f'"{x}"' if x == "d" else f"'{x}'" for x in items]
+    body = "[" + ", ".join(quoted) + "]"
+    harm = rng.choice(["none"] * 4 + ["cut", "twice"])
+    if harm == "cut":
+        body = body[:-1].replace("]", ")")
+    elif harm == "twice":
+        body += rng.choice([" ", " or ", "]["]) + "['z']"
+    text = rng.choice(["", "I hear ", "\n "]) + body + rng.choice(["", " ok\n"])
+    if harm == "twice" and "]['z']" in body and not items:
+        return _listed(rng)
+    return text, items if harm == "none" else [text.strip()]
+
+
 def test_generated_lists(spark):
     rng = random.Random(6)
-    words = ["'a'", "'b c'", '"d"', "'é'", "''", "'[x]'"]
-    texts = []
-    for _ in range(1500):
-        t = "[" + ", ".join(rng.choice(words) for _ in range(rng.randrange(4))) + "]"
-        if rng.random() < 0.2:
-            t = t[: rng.randrange(len(t))]
-        if rng.random() < 0.2:
-            t += rng.choice([" ", " or ", "]["]) + "['z']"
-        texts.append(rng.choice(["", "I hear ", "\n "]) + t + rng.choice(["", " ok\n"]))
-
-    def model(text):
-        start, end = text.find("["), text.rfind("]") + 1
-        if start != -1 and end > start:
-            try:
-                return ast.literal_eval(text[start:end])
-            except Exception:
-                pass
-        return [text.strip()]
-
-    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    cases = [_listed(rng) for _ in range(1500)]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, t string")
     rows = df.select("i", parse.parse_list(F.col("t")).alias("n"), parse.parse_list(F.col("t"), True).alias("e")).collect()
     for r in rows:
-        want = model(texts[r.i])
-        assert r.e == want, texts[r.i]
-        assert r.n == want, texts[r.i]
+        assert r.e == cases[r.i][1], cases[r.i]
+        assert r.n == cases[r.i][1], cases[r.i]
 
 
 def test_real_errors(spark):

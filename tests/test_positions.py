@@ -57,3 +57,9 @@ def test_first_and_skip(spark):
     assert sorted(r.pos for r in positions.skip_first(df, 1, "pos", "pos").collect()) == [2, 3]
     assert [r.pos for r in positions.first_rows(df, 2, "pos").collect()] == [1, 2]
     assert sorted(r.pos for r in positions.first_per_key(df, "name", "pos").collect()) == [1, 2]
+
+
+def test_skip_first_keeps_other_rows_of_a_key(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4), (None, 0)], "k string, at int")
+    left = positions.skip_first(df, 2, "k", "at").collect()
+    assert sorted((r.k, r.at) for r in left) == [("a", 2), ("b", 3), ("c", 4)]

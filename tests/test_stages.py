@@ -238,3 +238,14 @@ def test_chats(spark):
     assert first[1].c[1].content == []
     second = df.select(chat.next_step_chat("sys", "A {x} {{}}", F.col("a"), "steps", x=F.col("t")).alias("c")).first()
     assert second.c[0].content[0].text == "sys" and second.c[1].content[1].text == "steps\n\nA hi {}"
+
+
+def test_failed_runs_are_told(spark):
+    def answer(batch):
+        if any(run == 1 for _, run in batch):
+            raise ValueError("no")
+        return [str(x) for x, _ in batch]
+
+    df = spark.createDataFrame([("x", "")], "t string, error string")
+    row = stages.predict_runs(df, "responses", stages.Predictor(answer, batch_size=1), F.col("t"), 3).first()
+    assert row.responses == ["x", "x"] and "run 1" in row.error and "run 0" not in row.error

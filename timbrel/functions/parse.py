@@ -57,6 +57,17 @@ def _read(slice_: Column, element: str, options: dict[str, str], body: Callable[
     return let(slice_, lambda s: F.when(s != "", read(s)))
 
 
+def _nested_items(body: Column) -> Column:
+    """A layer has an item that is itself an object or a list; looked into only where a bracket allows for it."""
+    element = "struct<" + ",".join(f"{name}:array<variant>" for name in LAYERS) + ">"
+
+    def look(value: Column) -> Column:
+        each = [F.exists(value[n], lambda x: F.schema_of_variant(x).rlike("^(OBJECT|ARRAY)")) for n in LAYERS]
+        return F.coalesce(reduce(or_, [F.coalesce(e, F.lit(False)) for e in each]), F.lit(False))
+
+    return F.when(body.rlike(r"(?s)\[.*[\[{].*\]"), let(F.from_json(body, element, _STRICT), look)).otherwise(F.lit(False))
+
+
 def _layers(text: Column, lenient: bool) -> Column:
     element = "struct<" + ",".join(f"{name}:array<string>" for name in LAYERS) + ">"
     empty = F.array().cast("array<string>")
@@ -69,7 +80,9 @@ def _layers(text: Column, lenient: bool) -> Column:
         found = F.struct(
             *[F.when(~unusable[n] if lenient else F.lit(True), F.coalesce(value[n], empty)).alias(n) for n in LAYERS]
         )
-        return found if lenient else F.when(~reduce(or_, unusable.values()), found)
+        if lenient:
+            return found
+        return F.when(~reduce(or_, unusable.values()) & ~_nested_items(body), found)
 
     nothing = F.struct(*[empty.alias(n) for n in LAYERS])
     return F.coalesce(_read(outer_object(text), element, _STRICT, lists), nothing)

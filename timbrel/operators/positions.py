@@ -114,9 +114,16 @@ def with_batch_id(df: DataFrame, size: int, *order: str) -> DataFrame:
 
 
 def skip_first(df: DataFrame, n: int, key: str, *order: str) -> DataFrame:
-    """Drop the first ``n`` rows of the order; the ``n`` keys are a top-k, never a full sort."""
-    first = df.orderBy(*order).limit(n).select(key)
-    return df.join(first, key, "left_anti")
+    """Drop the first ``n`` rows of the order, and no other row that shares a key with them.
+
+    The ``n`` keys are a top-k, never a full sort; only rows with one of these
+    keys are numbered.
+    """
+    first = df.orderBy(*order).limit(n).groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"))
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    left = df.join(first, same).withColumn("_place", place).filter("_place > _n").select(*df.columns)
+    return df.join(first, same, "left_anti").unionByName(left)
 
 
 def drop_warmup(df: DataFrame, flag: str = "is_warmup") -> DataFrame:

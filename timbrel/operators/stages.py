@@ -353,9 +353,21 @@ def annotate_steps(
 
 
 def predict_runs(df: DataFrame, name: str, predictor: Predictor, prompt: Column, runs: int, error: str = "error") -> DataFrame:
-    """Array of ``runs`` answers per row; the predictor gets ``(input, run)`` pairs."""
+    """Array of ``runs`` answers per row; the predictor gets ``(input, run)`` pairs.
+
+    A failed run has no answer; its message, with the number of the run, goes
+    into ``error``, and the answers of the other runs stay.
+    """
     ready = ~is_error(F.col(error))
     for run in range(runs):
         df = df.withColumn(f"_run{run}", predictor(F.when(ready, prompt), F.lit(run)))
     texts = F.array_compact(F.array(*[F.col(f"_run{run}.text") for run in range(runs)]))
-    return df.withColumn(name, texts).drop(*[f"_run{run}" for run in range(runs)])
+
+    def message(run: int) -> Column:
+        failed = is_error(F.col(f"_run{run}.error"))
+        return F.when(ready & failed, F.concat(F.lit(f"run {run}: "), F.col(f"_run{run}.error")))
+
+    said = F.concat_ws("; ", *[message(run) for run in range(runs)])
+    return df.withColumns({name: texts, error: F.when(said != "", said).otherwise(F.col(error))}).drop(
+        *[f"_run{run}" for run in range(runs)]
+    )

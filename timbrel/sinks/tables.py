@@ -69,30 +69,38 @@ def report_rows(results: DataFrame, error: str = "error") -> Column:
 def report_lines(results: DataFrame, load_seconds: float, run_seconds: float, order: str) -> DataFrame:
     """``(part, position, line)``: the lines of one JSON document ``{summary, results[]}``.
 
-    The document is a text file in order of ``part, position``; it is never
-    held in one row. ``order`` identifies a result.
+    The document is a text file in order of ``part``, ``position`` and, for
+    repeated positions, lines without a leading comma first; it is never held
+    in one row. One element has no comma before it: the least one, once.
+    ``order`` may repeat or be null.
     """
-    first = results.agg(F.min(order)).scalar()
+    place = results.schema[order].dataType
+    elements = results.select(F.col(order).alias("position"), report_rows(results).alias("json"))
+    least = elements.agg(F.min(F.struct(F.col("position").isNotNull(), "position", "json")).alias("x")).select("x").scalar()
+    is_least = F.col("position").eqNullSafe(least["position"]) & F.col("json").eqNullSafe(least["json"])
     head = report_summary(results, load_seconds, run_seconds).select(
         F.lit(0).alias("part"),
-        F.lit(None).cast(results.schema[order].dataType).alias("position"),
+        F.lit(None).cast(place).alias("position"),
         F.concat(F.lit('{"summary": '), F.to_json("summary"), F.lit(', "results": [')).alias("line"),
     )
-    body = results.select(
-        F.lit(1).alias("part"),
-        F.col(order).alias("position"),
-        F.concat(F.when(F.col(order) == first, F.lit("")).otherwise(F.lit(",")), report_rows(results)).alias("line"),
+    following = elements.filter(~is_least).select(
+        F.lit(1).alias("part"), "position", F.concat(F.lit(","), F.col("json")).alias("line")
+    )
+    equal = elements.filter(is_least).groupBy("position", "json").agg(F.count("*").alias("n"))
+    leading = equal.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).select(
+        F.lit(1).alias("part"), "position", F.concat(F.when(F.col("i") > 1, ",").otherwise(""), "json").alias("line")
     )
     tail = results.sparkSession.range(1).select(
-        F.lit(2).alias("part"), F.lit(None).cast(results.schema[order].dataType).alias("position"), F.lit("]}").alias("line")
+        F.lit(2).alias("part"), F.lit(None).cast(place).alias("position"), F.lit("]}").alias("line")
     )
-    return head.unionAll(body).unionAll(tail)
+    return head.unionAll(leading).unionAll(following).unionAll(tail)
 
 
 def write_report(results: DataFrame, load_seconds: float, run_seconds: float, order: str, path: str) -> None:
     """Write the document as text parts which, read in name order, are one JSON document."""
     lines = report_lines(results, load_seconds, run_seconds, order)
-    lines.orderBy("part", "position").select("line").write.mode("overwrite").text(path)
+    ordered = lines.orderBy("part", "position", F.col("line").startswith(","))
+    ordered.select("line").write.mode("overwrite").text(path)
 
 
 def iterate_results(df: DataFrame, size: int = 1) -> Iterator[list[Row]]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections import deque
 from collections.abc import Callable
 
@@ -46,40 +47,52 @@ def start_split(
     )
 
 
+class _Enough(Exception):
+    """Ends a query before a micro-batch that is not wanted any more is committed."""
+
+
 def read_until(
     stream: DataFrame, sink: Callable[[DataFrame, int], None], max_items: int, checkpoint: str, every: str = "1 second"
 ) -> int:
     """Stop after the micro-batch that reaches ``max_items``; returns the rows read.
 
     The count is looked at between micro-batches only, so at least
-    ``max_items`` rows are delivered if that many arrive.
+    ``max_items`` rows are delivered if that many arrive. A later micro-batch is
+    refused, so it is not committed, and a run on the same checkpoint starts
+    with it. The query is stopped only after the last delivered batch is
+    committed.
     """
-    seen = 0
-    query: StreamingQuery | None = None
+    seen, last = 0, -1
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        nonlocal seen
-        if seen < max_items:
-            batch.persist()
-            try:
-                sink(batch, batch_id)
-                seen += batch.count()
-            finally:
-                batch.unpersist()
-
-    query = (
+        nonlocal seen, last
+        if seen >= max_items:
+            raise _Enough
+        batch.persist()
+        try:
+            sink(batch, batch_id)
+            seen, last = seen + batch.count(), batch_id
+        finally:
+            batch.unpersist()
+
+    query: StreamingQuery = (
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(processingTime=every)
         .start()
     )
+
+    def committed() -> bool:
+        return any(p["batchId"] >= last for p in query.recentProgress)
+
     try:
-        while query.isActive and seen < max_items:
-            query.awaitTermination(0.2)
+        while query.isActive and not (seen >= max_items and committed()):
+            time.sleep(0.2)
     finally:
         query.stop()
-    if query.exception() is not None:
-        raise query.exception()
+    failure = query.exception()
+    if failure is not None and not (seen >= max_items and _Enough.__name__ in str(failure)):
+        raise failure
     return seen
 
 
@@ -111,7 +124,7 @@ class ProgressListener(StreamingQueryListener):
         """Rows so far, triggers held, source metrics, and whether the last query ended in an error."""
         return {
             "rows": self.total,
-            "triggers": len(self.triggers),
+            "held": len(self.triggers),
             "sources": self.source_metrics,
             "healthy": self.healthy,
         }
