@@ -1,9 +1,11 @@
 import random
+import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from timbrel.operators import positions
+from timbrel.operators import positions, results, settled, stages, uploads
 
 
 @pytest.mark.parametrize("ranges", [1, 2, 7, 64, 300])
@@ -63,3 +65,42 @@ def test_skip_first_keeps_other_rows_of_a_key(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4), (None, 0)], "k string, at int")
     left = positions.skip_first(df, 2, "k", "at").collect()
     assert sorted((r.k, r.at) for r in left) == [("a", 2), ("b", 3), ("c", 4)]
+
+
+def _answered(spark, folder, n=600):
+    """Rows with the answer of a model that draws it, and the number of rows it was asked for."""
+
+    def draw(texts):
+        Path(folder, uuid.uuid4().hex).write_text(str(len(texts)))
+        return [str(random.SystemRandom().random()) for _ in texts]
+
+    rows = spark.range(0, n, 1, 4).select("id", F.col("id").cast("string").alias("t"), F.lit("").alias("error"))
+    told = stages.predict(rows, "a", stages.Predictor(draw), [F.col("t")])
+    return told.select("id", F.col("a.text").cast("double").alias("x")), lambda: sum(int(p.read_text()) for p in Path(folder).iterdir())
+
+
+def test_positions_by_drawn_answers(spark, tmp_path):
+    rows, asked = _answered(spark, tmp_path)
+    placed = positions.with_position(rows, "x", "id").collect()
+    assert sorted(r.position for r in placed) == list(range(600)) and asked() == 600
+    assert [r.x for r in sorted(placed, key=lambda r: r.position)] == sorted(r.x for r in placed)
+
+
+@pytest.mark.parametrize("use", ["skip", "prefix"])
+def test_a_model_before_a_spread_join_is_asked_once(spark, tmp_path, use):
+    rows, asked = _answered(spark, tmp_path)
+    if use == "skip":
+        assert results.skip_existing(rows, spark.range(0, 600, 2), "id").count() == 300
+    else:
+        by = rows.withColumn("request", F.col("id") % 3)
+        assert uploads.accept_prefix(by, "request", "id", F.col("x") < 2).filter("accepted").count() == 600
+    assert asked() == 600
+
+
+def test_a_selection_from_a_table_is_not_written(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    chosen = orders.filter("o_totalprice > 10").select("o_orderkey", (F.col("o_custkey") + 1).alias("c"))
+    assert settled.settled(chosen) is chosen
+    for other in (chosen.withColumn("r", F.rand()), chosen.distinct(), chosen.join(orders.select("o_orderkey"), "o_orderkey")):
+        again = settled.settled(other)
+        assert again is not other and again.schema.names == other.schema.names and again.count() == again.distinct().count()

@@ -17,6 +17,9 @@ def test_validation_order_and_limits(spark):
     assert [r.v.ok for r in rows] == [r.want == 200 for r in rows]
     good, bad = uploads.split_uploads(df, "name", "size")
     assert (good.count(), bad.count()) == (4, 4)
+    good, bad = uploads.split_uploads(df, "name", "size", allowed=("txt", "wav"), max_bytes=150 * MIB)
+    assert sorted(r.size for r in good.collect()) == [100 * MIB, 100 * MIB + 1]
+    assert {r.code for r in bad.filter("name = 'a.txt'").collect()} == {413}
 
 
 def test_prefix_of_a_request(spark):

@@ -7,6 +7,8 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from timbrel.operators.settled import settled
+
 # Leaves of the compiled search tree over range bounds.
 TREE_LEAVES = 64
 
@@ -77,9 +79,10 @@ def with_position(df: DataFrame, *order: str, name: str = "position", ranges: in
     Rows are numbered inside ranges of the key, and each range is shifted by
     the sizes of the ranges before it. ``order`` must identify a row, which
     also keeps the ranges even. Only the counts per range, at most ``ranges``
-    rows, are brought together. ``df`` is read three times (sample, sizes,
-    rows), the first two with the order columns only.
+    rows, are brought together. Sample, sizes and rows are taken from one
+    settled frame, the first two with the order columns only.
     """
+    df = settled(df, "positions")
     ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bounds = _range_bounds(df, order, ranges)
     ranged = df.withColumn("_range", _range_of(df, order, bounds))

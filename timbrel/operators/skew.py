@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from timbrel.operators.settled import settled
+
 # A key counts as hot from this share of the rows on.
 HOT_SHARE = 0.01
 # Keys the frequent-items sketch keeps track of; its error is far below HOT_SHARE.
@@ -31,12 +33,15 @@ def join_spread(
     A row of a hot key, or without a key, gets the share of the task that reads
     it, and only the lookup rows of hot keys are repeated per share. All other
     rows join as usual. Splitting skewed partitions is left undone by AQE when
-    the lookup comes straight from an aggregate on the key, hence this. A
-    stream cannot be sampled and joins as it is.
+    the lookup comes straight from an aggregate on the key, hence this. The hot
+    keys are looked for in a settled frame, so that what comes before is run
+    once. A stream cannot be sampled and joins as it is.
     """
     if large.isStreaming:
         return large.join(lookup, key, how)
-    hot = hot_keys(large, key) if hot is None else hot
+    if hot is None:
+        large = settled(large, "join")
+        hot = hot_keys(large, key)
     if not hot and not large.schema[key].nullable:
         return large.join(lookup, key, how)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from timbrel.operators.settled import settled
 from timbrel.operators.skew import join_spread
 
 # Accepted extensions and the size limit.
@@ -40,13 +41,19 @@ def validate_upload(
     )
 
 
-def split_uploads(df: DataFrame, filename: str, size: str) -> tuple[DataFrame, DataFrame]:
+def split_uploads(
+    df: DataFrame,
+    filename: str,
+    size: str,
+    allowed: tuple[str, ...] = ALLOWED_EXTENSIONS,
+    max_bytes: int = MAX_FILE_BYTES,
+) -> tuple[DataFrame, DataFrame]:
     """(accepted, quarantined with code and detail)."""
-    checked = df.withColumn("_verdict", validate_upload(F.col(filename), F.col(size)))
+    checked = df.withColumn("_verdict", validate_upload(F.col(filename), F.col(size), allowed, max_bytes))
     return (
         # the size test once more by itself: in this form it reaches a file scan
         # and keeps the content of oversized files from being read
-        checked.filter((F.col(size) <= MAX_FILE_BYTES) & F.col("_verdict.ok")).drop("_verdict"),
+        checked.filter((F.col(size) <= max_bytes) & F.col("_verdict.ok")).drop("_verdict"),
         checked.filter("NOT _verdict.ok").select(*df.columns, "_verdict.code", "_verdict.detail"),
     )
 
@@ -58,6 +65,7 @@ def accept_prefix(df: DataFrame, batch: str, position: str, ok: Column) -> DataF
     so a request holding most of all files never sits in one window, and the
     join back with one row per request splits such a request.
     """
+    df = settled(df, "accept")
     first_bad = df.filter(~ok).groupBy(batch).agg(F.min(position).alias("_first_bad"))
     return (
         join_spread(df, first_bad, batch, "left")

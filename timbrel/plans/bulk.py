@@ -20,10 +20,13 @@ from timbrel.sinks.tables import write_report, write_results_csv
 from timbrel.sources.media import empty_media, scan_media
 
 
-def intake(files: DataFrame, digits: int = ID_DIGITS) -> tuple[DataFrame, DataFrame]:
-    """(jobs, quarantine) of a binary-file frame; the content of oversized files is not read."""
+def intake(files: DataFrame, digits: int = ID_DIGITS, **limits) -> tuple[DataFrame, DataFrame]:
+    """(jobs, quarantine) of a binary-file frame; the content of oversized files is not read.
+
+    ``limits`` are those of :func:`split_uploads`: ``allowed`` extensions and ``max_bytes``.
+    """
     named = files.withColumn("filename", basename(F.col("path")))
-    accepted, rejected = split_uploads(named, "filename", "length")
+    accepted, rejected = split_uploads(named, "filename", "length", **limits)
     jobs = make_jobs(accepted, F.col("content"), F.col("filename"), key=[F.col("path")], digits=digits)
     quarantine = rejected.select("path", "length", "code", "detail")
     return jobs.select(*ID_COLUMNS, "created_at", F.col("content").alias("audio_bytes")), quarantine
