@@ -50,9 +50,9 @@ def test_literal_cases(spark):
         "rock": "rock", "Hip Hop": "hip-hop", "r&b": "r-n-b", "edm": "electronic", "reggea": "reggae",
         "zzzz": None, "rnb": "r-n-b", "DnB": None,
     }
-    for limit in (100, 0):
+    for share in (matching.WORDS_PER_SHARE, 1):
         t, a = _frames(spark, list(want) * 3, available)
-        rows = matching.match_keys(t, "t", a, "name", "pos", max_candidates=limit).collect()
+        rows = matching.match_keys(t, "t", a, "name", "pos", words_per_share=share).collect()
         assert {r.target: r.match for r in rows} == want
 
 
@@ -63,22 +63,21 @@ def test_targets_made_for_each_tier(spark):
     want = _built(rng, available)
     assert {tier for _, tier in want.values()} >= {1, 2, 3, 4}
     _check(spark, want, available)
-    _check(spark, want, available, max_candidates=0)
+    _check(spark, want, available, words_per_share=10)
 
 
 def test_equal_scores_take_the_larger_word(spark):
     _check(spark, {"abcx": ("abcb", 4)}, ["abca", "abcb"])
-    _check(spark, {"abcx": ("abcb", 4)}, ["abca", "abcb"], max_candidates=0)
+    _check(spark, {"abcx": ("abcb", 4)}, ["abca", "abcb"], words_per_share=10)
 
 
 def test_other_thresholds(spark):
     available = ["piano", "piano forte", "pianos", "organ"]
     for threshold in (0.3, 0.75, 0.9):
         want = {t: _closest(t, available, threshold) for t in ("pian", "fortepiano", "orgn")}
-        for limit in (10, 0):
-            t, a = _frames(spark, list(want), available)
-            rows = matching.match_keys(t, "t", a, "name", "pos", threshold=threshold, max_candidates=limit).collect()
-            assert {r.target: r.match for r in rows} == want
+        t, a = _frames(spark, list(want), available)
+        rows = matching.match_keys(t, "t", a, "name", "pos", threshold=threshold).collect()
+        assert {r.target: r.match for r in rows} == want
 
 
 def test_hot_target(spark):
@@ -87,3 +86,25 @@ def test_hot_target(spark):
     a = spark.createDataFrame([(x, i) for i, x in enumerate(available)], "name string, pos int")
     rows = matching.match_keys(targets, "t", a, "name", "pos").collect()
     assert {r.target: r.match for r in rows} == {"Rock": "rock", **{f"jaz{i}": "jazz" for i in range(7)}}
+
+
+def test_few_pairs_are_scored_and_none_is_lost(spark):
+    rng = random.Random(5)
+    words = sorted({"".join(rng.choice("eeeaaiotnsrhldcump") for _ in range(rng.randrange(4, 15))) for _ in range(400)})
+    targets, available = words[::2], words[1::2] + ["", "é", "ab" * 40]
+    frame = spark.createDataFrame([(w, w in set(targets)) for w in words + available[-2:]], "word string, wanted boolean")
+    pairs = [tuple(r) for r in matching.similar_pairs(frame, 0.6, words_per_share=50).collect()]
+    assert len(pairs) == len(set(pairs)) < 0.25 * len(targets) * len(available)
+    ratio = {(t, a): difflib.SequenceMatcher(None, a, t).ratio() for t in targets for a in available}
+    assert {p for p, r in ratio.items() if r >= 0.6} <= set(pairs)
+    t, a = _frames(spark, targets, available)
+    found = {r.target: r.match for r in matching.closest(t, "t", a, "name").collect()}
+    assert found == {t: c for t in targets if (c := _closest(t, available, 0.6))}
+
+
+def test_no_words(spark):
+    t, a = _frames(spark, ["rock", "", None], [])
+    assert {tuple(r) for r in matching.match_keys(t, "t", a, "name", "pos").collect()} == {
+        ("rock", None, None), ("", None, None), (None, None, None)}
+    t, a = _frames(spark, [], ["rock"])
+    assert matching.match_keys(t, "t", a, "name", "pos").count() == 0

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import difflib
-from collections.abc import Iterator
+import math
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from timbrel.operators.settled import settled
 from timbrel.operators.skew import join_spread
 
 # Spellings that stand for an available key.
@@ -24,8 +25,10 @@ KEY_ALIASES = {
 }
 SIMILARITY_THRESHOLD = 0.6
 
-# Largest candidate list handed to every Python worker; longer ones are joined.
-MAX_CANDIDATES_PER_WORKER = 5000
+# Words are told apart by length classes, each this much longer than the one before.
+LENGTH_STEP = 1.25
+# Words with the same character in one share of its pairs.
+WORDS_PER_SHARE = 4096
 
 
 def normalise_key(key: Column) -> Column:
@@ -53,11 +56,13 @@ def match_tiers(
             )
         ),
     )
-    names = available.select(F.col(candidate).alias("match"), F.col(position).alias("_pos"))
-    lowered = names.groupBy(F.lower("match").alias("probe")).agg(F.min_by("match", "_pos").alias("match"))
-    index = names.select("match").distinct().select(
-        "match", F.col("match").alias("probe"), F.explode(F.array(F.lit(1), F.lit(3))).alias("tier")
-    ).unionByName(lowered.withColumn("tier", F.lit(2)))
+    name = F.col(candidate)
+    entries = [F.struct(F.lit(tier).alias("tier"), key.alias("probe")) for tier, key in ((1, name), (2, F.lower(name)), (3, name))]
+    index = (
+        available.select(name.alias("match"), F.col(position).alias("_pos"), F.inline(F.array(*entries)))
+        .groupBy("tier", "probe")
+        .agg(F.min_by("match", "_pos").alias("match"))
+    )
     return (
         probes.join(index, ["tier", "probe"], "left")
         .groupBy("target")
@@ -68,17 +73,6 @@ def match_tiers(
     )
 
 
-def _closest_of(candidates: list[str], threshold: float):
-    @F.pandas_udf(T.StringType())
-    def closest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield batch.map(
-                lambda t: None if t is None else next(iter(difflib.get_close_matches(t, candidates, 1, threshold)), None)
-            )
-
-    return closest
-
-
 @F.pandas_udf(T.DoubleType())
 def similarity(candidate: pd.Series, target: pd.Series) -> pd.Series:
     """``difflib`` ratio with the target as second sequence."""
@@ -93,55 +87,82 @@ def _numbered_chars(word: Column) -> Column:
     )
 
 
-def _rarest_tokens(words: DataFrame, frequency: DataFrame, threshold: float) -> DataFrame:
-    """The rarest characters of each word that every similar word must touch.
+def _length_class(length: Column) -> Column:
+    return F.floor(F.log(length) / F.lit(math.log(LENGTH_STEP)) + F.lit(1e-9)).cast("int")
+
+
+def _needed(a: Column, b: Column, threshold: float) -> Column:
+    """The characters that words of lengths a and b share if their ratio reaches the threshold."""
+    return F.ceil(F.lit(threshold / 2) * (a + b) - F.lit(1e-6))
 
-    Words of lengths a and b whose ratio reaches the threshold share at least
-    ``threshold / 2 * (a + b)`` characters, so b is at least
-    ``threshold / (2 - threshold) * a`` and so is the shared part. With that
-    many shared, the rarest ``a - shared + 1`` characters of the two words
-    cannot be disjoint: joining on those loses no pair.
+
+def _prefixes(words: DataFrame, frequency: DataFrame, threshold: float, own: str, other: str) -> DataFrame:
+    """``(word, tokens, own, other, n, token)``: the rarest characters of each word
+    that every similar word of a length class must touch.
+
+    Similar words share at least :func:`_needed` characters. With that many of
+    its characters shared, the rarest one in common is among the first
+    ``length - needed + 1`` of either word, in one order for all words: joining
+    on those loses no pair.
     """
     share = threshold / (2 - threshold)
-    ranked = (
+    length = F.char_length("word")
+    ordered = (
         words.select("word", F.explode(_numbered_chars(F.col("word"))).alias("token"))
-        .join(frequency, "token", "left")
+        .join(frequency, "token")
         .groupBy("word")
-        .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token"))).alias("_tokens"))
+        .agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("_tokens"))
     )
-    shared = F.ceil(F.size("_tokens") * F.lit(share) - F.lit(1e-9))
-    keep = (F.size("_tokens") - shared + 1).cast("int")
-    return ranked.select("word", F.explode(F.slice("_tokens", F.lit(1), keep)).alias("_t")).select(
-        "word", F.col("_t.token").alias("token")
+    classes = F.sequence(F.greatest(F.lit(0), _length_class(length * share)), _length_class(length / share))
+    near = ordered.select("word", "_tokens", _length_class(length).alias(own), F.explode(classes).alias(other))
+    least = F.greatest(F.pow(F.lit(LENGTH_STEP), F.col(other)), length * share)
+    keep = F.greatest(F.size("_tokens") - _needed(length, least, threshold) + 1, F.lit(0)).cast("int")
+    return near.select(
+        "word", F.col("_tokens.token").alias("tokens"), own, other, F.inline(F.slice("_tokens", F.lit(1), keep))
     )
 
 
-def closest_by_join(
-    targets: DataFrame, target: str, available: DataFrame, candidate: str, threshold: float = SIMILARITY_THRESHOLD
+def similar_pairs(
+    words: DataFrame, threshold: float = SIMILARITY_THRESHOLD, words_per_share: int = WORDS_PER_SHARE
 ) -> DataFrame:
-    """``(target, match)`` by similarity where the candidate list is too long for a worker.
+    """``(target, match)``: the pairs of ``(word, wanted)`` rows that are worth scoring, each once.
 
-    Candidates meet targets through shared rare characters (an equi-join) and
-    a length test before any pair is scored; the best pair is a ``max``.
+    Words meet through a shared rare character within their length classes. A
+    pair stays where the rarest character in common is the one it met by, and
+    where enough characters are in common for the threshold. The words of a
+    frequent character are split in shares.
     """
-    wanted = targets.select(F.col(target).alias("word")).filter(F.col("word") != "").distinct()
-    offered = available.select(F.col(candidate).alias("word")).filter(F.col("word") != "").distinct()
+    if not 0 < threshold <= 1:
+        raise ValueError("the threshold lies above 0 and is at most 1")
     frequency = (
-        offered.select(F.explode(_numbered_chars(F.col("word"))).alias("token"))
-        .groupBy("token")
-        .agg(F.count("*").alias("n"))
-    )
-    left = _rarest_tokens(wanted, frequency, threshold).withColumnRenamed("word", "target")
-    right = _rarest_tokens(offered, frequency, threshold).withColumnRenamed("word", "match")
-    a, b = F.char_length("match"), F.char_length("target")
-    pairs = (
-        left.join(right, "token")
-        .filter(2 * F.least(a, b) >= F.lit(threshold) * (a + b) - F.lit(1e-9))
-        .select("target", "match")
-        .distinct()
+        words.select(F.explode(_numbered_chars(F.col("word"))).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
     )
+    shares = (F.floor(F.col("n") / words_per_share) + 1).cast("int")
+    left = _prefixes(words.filter("wanted"), frequency, threshold, "_a", "_b").select(
+        F.col("word").alias("target"), F.col("tokens").alias("_left"), "_a", "_b", "token",
+        F.pmod(F.xxhash64("word"), shares).cast("int").alias("_share"))
+    right = _prefixes(words.filter("NOT wanted"), frequency, threshold, "_b", "_a").select(
+        F.col("word").alias("match"), F.col("tokens").alias("_right"), "_a", "_b", "token",
+        F.explode(F.sequence(F.lit(0), shares - 1)).alias("_share"))
+    common = F.array_intersect("_left", "_right")
+    enough = F.size(common) >= _needed(F.char_length("target"), F.char_length("match"), threshold)
+    met = left.join(right, ["token", "_a", "_b", "_share"])
+    return met.filter(enough & (F.get(common, F.lit(0)) == F.col("token"))).select("target", "match")
+
+
+def closest(
+    targets: DataFrame, target: str, available: DataFrame, candidate: str, threshold: float = SIMILARITY_THRESHOLD, **split
+) -> DataFrame:
+    """``(target, match)``: the most similar candidate of every distinct target that has one.
+
+    Only :func:`similar_pairs` are scored; of equal scores the larger word wins.
+    """
+    wanted = targets.select(F.col(target).alias("word"), F.lit(True).alias("wanted"))
+    offered = available.select(F.col(candidate).alias("word"), F.lit(False).alias("wanted"))
+    words = settled(wanted.unionAll(offered).filter("word <> ''").distinct(), "words")
     return (
-        pairs.withColumn("score", similarity("match", "target"))
+        similar_pairs(words, threshold, **split)
+        .withColumn("score", similarity("match", "target"))
         .filter(F.col("score") >= threshold)
         .groupBy("target")
         .agg(F.max(F.struct("score", "match")).alias("_best"))
@@ -157,24 +178,17 @@ def match_keys(
     position: str,
     aliases: dict[str, str] = KEY_ALIASES,
     threshold: float = SIMILARITY_THRESHOLD,
-    max_candidates: int = MAX_CANDIDATES_PER_WORKER,
+    words_per_share: int = WORDS_PER_SHARE,
 ) -> DataFrame:
     """``(target, match, tier)`` with all four tiers; ``match`` is null without any.
 
-    Only distinct targets left over by the first three tiers reach Python. The
-    candidate list goes to the workers when it is counted to be short, else
-    the pairs are found by :func:`closest_by_join`.
+    Only distinct targets left over by the first three tiers are compared by
+    similarity, in one way for any number of candidates.
     """
-    tiers = match_tiers(targets, target, available, candidate, position, aliases)
-    probe = F.when(F.col("match").isNull(), normalise_key(F.col("target")))
-    short = [r[0] for r in available.select(candidate).distinct().limit(max_candidates + 1).collect()]
-    probed = tiers.withColumn("_probe", probe)
-    if len(short) <= max_candidates:
-        found = probed.withColumn("_found", _closest_of(short, threshold)("_probe"))
-    else:
-        pairs = closest_by_join(probed, "_probe", available, candidate, threshold)
-        found = probed.join(pairs.toDF("_probe", "_found"), "_probe", "left")
-    return found.select(
+    tiers = settled(match_tiers(targets, target, available, candidate, position, aliases), "tiers")
+    probed = tiers.withColumn("_probe", F.when(F.col("match").isNull(), normalise_key(F.col("target"))))
+    pairs = closest(probed, "_probe", available, candidate, threshold, words_per_share=words_per_share)
+    return probed.join(pairs.toDF("_probe", "_found"), "_probe", "left").select(
         "target",
         F.coalesce("match", "_found").alias("match"),
         F.coalesce("tier", F.when(F.col("_found").isNotNull(), F.lit(4))).alias("tier"),

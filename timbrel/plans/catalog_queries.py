@@ -121,9 +121,9 @@ def genre_match_similar(spark, folder):
 
 @query("genre_match_similar_join", _SIMILAR_SQL)
 def genre_match_similar_join(spark, folder):
-    # the way for candidate lists too long for one worker, forced here
+    # frequent characters split in many shares, as with very many words
     part = table(spark, folder, "part")
-    return matching.match_keys(_misspelt(part), "spelling", _available(part), "name", "pos", _ALIASES, max_candidates=0)
+    return matching.match_keys(_misspelt(part), "spelling", _available(part), "name", "pos", _ALIASES, words_per_share=2)
 
 
 @query(
@@ -172,14 +172,15 @@ N = 50
     f"""
     WITH pool AS (
         SELECT o_orderpriority, o_orderkey, 0 AS src FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 480000
-        UNION ALL SELECT o_orderpriority, o_orderkey, 1 FROM orders WHERE o_orderstatus = 'O')
+        UNION ALL SELECT o_orderpriority, o_orderkey, 1 FROM orders WHERE NOT (o_orderstatus = 'F' AND o_totalprice > 480000))
     SELECT o_orderpriority, o_orderkey FROM (
         SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY src, o_orderkey) AS rn FROM pool) WHERE rn <= {N}""",
 )
 def supplement_union(spark, folder):
     orders = table(spark, folder, "orders")
-    primary = orders.filter("o_orderstatus = 'F' AND o_totalprice > 480000").select("o_orderpriority", "o_orderkey")
-    fallback = orders.filter("o_orderstatus = 'O'").select("o_orderpriority", "o_orderkey")
+    first = "o_orderstatus = 'F' AND o_totalprice > 480000"
+    primary = orders.filter(first).select("o_orderpriority", "o_orderkey")
+    fallback = orders.filter(f"NOT ({first})").select("o_orderpriority", "o_orderkey")
     filled = catalog.supplement(primary, fallback, N, "o_orderpriority", "o_orderkey")
     return filled.select("o_orderpriority", "o_orderkey")
 
