@@ -15,7 +15,8 @@ from timbrel.functions import waveform
 from timbrel.functions.errors import waveform_error
 from timbrel.operators import media, results
 from timbrel.plans.registry import query, table
-from timbrel.sources.media import list_media
+from timbrel.session import run_dir
+from timbrel.sources.media import scan_media
 
 # Some rows get no samples, some an upstream error, some lose their ids.
 _SAMPLES = "CASE WHEN vec_id % 7 = 3 THEN NULL WHEN vec_id % 7 = 5 THEN CAST(array() AS array<float>) ELSE embedding END"
@@ -223,8 +224,26 @@ def resample_wav(spark, folder):
     )
 
 
-@query("media_scan")
+@query(
+    "media_scan",
+    "SELECT page_id, url, length(html) AS n_chars, md5(html) AS digest, page_id % 2 = 0 AS at_top FROM pages",
+)
 def media_scan(spark, folder):
-    """Lists the table files themselves, without reading their content."""
-    listed = list_media(spark, folder, extensions=("parquet",))
-    return listed.select(F.substring_index("path", "/", -1).alias("name"), "length").orderBy("name")
+    """The pages as files, half of them in deeper folders, found again by a recursive and a flat scan."""
+    pages, root = table(spark, folder, "pages"), run_dir(spark, "pages")
+    line = F.to_json(F.struct("page_id", "url", "html")).alias("value")
+    pages.filter("page_id % 2 = 0").select(line).write.text(root)
+    for rest in (1, 3):
+        pages.filter(f"page_id % 4 = {rest}").select(line).write.text(f"{root}/more/deep{rest}")
+    every = scan_media(spark, root, ("txt",)).select("path", "content")
+    top = scan_media(spark, root, ("txt",), recursive=False).select("path", F.lit(True).alias("at_top"))
+    text = F.decode("content", "UTF-8")
+    lines = every.join(top, "path", "left").select("at_top", F.explode(F.split(text, "\n")).alias("line")).filter("line <> ''")
+    found = lines.select("at_top", F.from_json("line", "page_id long, url string, html string").alias("page"))
+    return found.select(
+        F.col("page.page_id").cast(pages.schema["page_id"].dataType).alias("page_id"),
+        "page.url",
+        F.char_length("page.html").cast("bigint").alias("n_chars"),
+        F.md5("page.html").alias("digest"),
+        F.coalesce("at_top", F.lit(False)).alias("at_top"),
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 REFUSED = 7  # texts of such a length (mod 13) are refused, which fails their batch
 
 
@@ -33,7 +35,8 @@ def sample_counts(waveforms: list[bytes]) -> list[str]:
 
 
 def final_answers(prompts: list[str]) -> list[str]:
-    return [f'{{"background": ["{len(p)}"], "foreground": ["{p[:6]}"]}}' for p in prompts]
+    """Length and digest of the whole prompt."""
+    return [f'{{"background": ["{len(p)}"], "foreground": ["{hashlib.md5(p.encode()).hexdigest()}"]}}' for p in prompts]
 
 
 def timeline_answers(prompts: list[str]) -> list[str]:

@@ -200,7 +200,7 @@ _PLAN_SQL = f"{_THE} || ' {{times}} in ' || length(text)"
     f AS (SELECT *, 'About ' || plan || ': answer {{json}}' AS prompt FROM p)
     SELECT doc_id, CASE WHEN error = '' THEN plan ELSE '' END AS planning_response,
            CASE WHEN error = '' THEN CAST(length(prompt) AS VARCHAR) ELSE '' END AS background,
-           CASE WHEN error = '' THEN 'About ' ELSE '' END AS foreground, error FROM f""",
+           CASE WHEN error = '' THEN md5(prompt) ELSE '' END AS foreground, error FROM f""",
 )
 def annotate_two_step(spark, folder):
     rows = table(spark, folder, "documents").withColumn("error", F.expr(_UPSTREAM))
@@ -227,7 +227,7 @@ def annotate_two_step(spark, folder):
     "annotate_three_step",
     f"""
     WITH p AS (SELECT doc_id, {_UPSTREAM} AS error, {_PLAN_SQL} AS step_1 FROM documents),
-    q AS (SELECT *, '{{"background": ["' || length('When: ' || step_1) || '"], "foreground": ["When: "]}}' AS step_2 FROM p),
+    q AS (SELECT *, '{{"background": ["' || length('When: ' || step_1) || '"], "foreground": ["' || md5('When: ' || step_1) || '"]}}' AS step_2 FROM p),
     t AS (SELECT *, length(step_1 || ' / ' || step_2) AS n FROM q)
     SELECT doc_id, CASE WHEN error = '' THEN step_1 END AS step_1, CASE WHEN error = '' THEN step_2 END AS step_2,
            CASE WHEN error = '' AND n % 2 = 1 THEN 1 ELSE 0 END::INTEGER AS n_instruments,

@@ -71,7 +71,7 @@ _RATE_SQL = "CASE label % 3 WHEN 0 THEN 8000 WHEN 1 THEN 44100 ELSE 16000 END"
     p AS (SELECT *, 'Of ' || plan || ': list the layers {{json}}' AS prompt FROM j)
     SELECT job_id, filename, CASE WHEN error = '' THEN plan ELSE '' END AS planning_response,
            CASE WHEN error = '' THEN CAST(length(prompt) AS VARCHAR) ELSE '' END AS background,
-           CASE WHEN error = '' THEN substr(prompt, 1, 6) ELSE '' END AS foreground, error FROM p""",
+           CASE WHEN error = '' THEN md5(prompt) ELSE '' END AS foreground, error FROM p""",
 )
 def bulk_media(spark, folder):
     """Files made from the embeddings: jobs, decode, resample, two prompts, parse, envelope."""
