@@ -5,12 +5,13 @@ import math
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from timbrel.llm import bpe, chosen_path, exact_dedup, language, lattice, line_chunks, line_frequency, mixing, personal_data
+from timbrel.llm import bpe, chosen_path, exact_dedup, interleave, language, lattice, line_chunks, line_frequency, mixing, personal_data
 from timbrel.llm import repeated_bytes as rb
 from timbrel.llm.queries import tokenizer_path
 
@@ -98,10 +99,21 @@ def test_repeated_strings(docs, found):
                 cover[k : k + 200] = b"\1" * 200
         left = bytes(b for b, c in zip(raw, cover) if not c)
         want[(i, len(raw), sum(cover), hashlib.sha256(left).hexdigest())] += 1
-    for rows in (found["bytes"], rb.repeated_bytes(docs, transforms=True).collect()):
+    for rows in (found["bytes"], rb.repeated_bytes(docs, transforms=False).collect()):
         assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in rows) == want
 
 
+def test_merged_transforms_beside_a_loop():
+    draw = np.random.default_rng(3)
+    for _ in range(60):
+        texts = [draw.integers(0, draw.integers(1, 4), draw.integers(0, 30)).astype(np.uint8) for _ in range(draw.integers(1, 9))]
+        length = int(draw.integers(2, 9))
+        seen = Counter(bytes(t[k : k + length]) for t in texts for k in range(len(t) - length + 1))
+        got = interleave.repeated_places(texts, length, per_shard=int(draw.integers(1, 4)))
+        for t, marks in zip(texts, got):
+            assert marks.tolist() == [k + length <= len(t) and seen[bytes(t[k : k + length])] > 1 for k in range(len(t))]
+
+
 def test_base_spans(found):
     got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans if s.base] for r in found["pii"]}
     text = TEXTS[6][1]

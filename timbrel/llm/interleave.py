@@ -28,41 +28,66 @@ def shard_transform(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def merge(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which shard each suffix of the merged order comes from, and the common prefix with the one before.
+    """Where each suffix stands in the merged order, and its common prefix with the one before.
+
+    Suffixes are numbered shard by shard, in the order of each shard; the first
+    array gives their numbers in the merged order.
 
     Round h turns an interleave that is right for the first h - 1 characters
-    into one that is right for h: the symbols in front of the suffixes are dealt
-    out by value, in the order in which they stand. A border between suffixes
-    that differ for the first time in round h has a common prefix of h - 1;
-    borders not found after ``depth`` rounds have at least ``depth``. No suffix
-    is sorted anew.
+    into one that is right for h: the suffixes are passed in the order in which
+    they stand, and the one that is longer by the symbol in front goes to the
+    next free place of its block. A border between suffixes that differ for the
+    first time in round h has a common prefix of h - 1; borders not found after
+    ``depth`` rounds have at least ``depth``. A block can be split only by one
+    that was split in the round before, so only those are passed. No suffix is
+    sorted anew.
     """
     sizes = [len(t) for t in transforms]
     n = sum(sizes)
-    shard = np.repeat(np.arange(len(transforms), dtype=np.uint8 if len(transforms) < 256 else np.int32), sizes)
-    symbols_of = np.concatenate(transforms).astype(np.int16)
-    common = np.full(n, depth, dtype=np.int32)
-    common[0] = 0
-    block = np.zeros(n, dtype=np.int64)
-    for h in range(1, depth + 1):
-        order = np.argsort(shard, kind="stable")
-        at = np.empty(n, dtype=np.int64)
-        at[order] = np.arange(n)  # the next symbol of each shard, in the order of the interleave
-        symbols = symbols_of[at]
-        dealt = np.argsort(symbols, kind="stable")
-        moved, ordered = shard[dealt], symbols[dealt]
-        source = block[dealt]
-        fresh = np.r_[True, (ordered[1:] != ordered[:-1]) | (source[1:] != source[:-1]) | (ordered[1:] == 0)]
-        common[fresh & (common == depth)] = h - 1
-        block = np.cumsum(fresh)
-        if (moved == shard).all() and h > 1 and fresh.all():
+    ahead = np.empty(n, dtype=np.int32)  # the suffix that is longer by the symbol in front, -1 before a text
+    head = np.empty(n, dtype=np.int16)
+    begin = 0
+    for t in transforms:
+        dealt = np.argsort(t.astype(np.int16), kind="stable")
+        head[begin : begin + len(t)] = t[dealt]
+        ahead[begin + dealt] = np.arange(begin, begin + len(t), dtype=np.int32)
+        ahead[begin : begin + len(t)][t == 0] = -1
+        begin += len(t)
+    order = np.argsort(head, kind="stable").astype(np.int32)
+    ordered = head[order]
+    fresh = np.r_[True, (ordered[1:] != ordered[:-1]) | (ordered[1:] == 0)]
+    common = np.where(fresh, 0, depth).astype(np.int32)
+    block = np.empty(n, dtype=np.int32)  # where the block of a suffix begins
+    block[order] = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+    passed = np.arange(n)
+    for h in range(2, depth + 1):
+        here = order[passed]
+        longer = ahead[here]
+        some = longer >= 0
+        longer, source = longer[some], block[here[some]]
+        into = block[longer]
+        dealt = np.argsort(into, kind="stable")
+        longer, source, into = longer[dealt], source[dealt], into[dealt]
+        first = np.r_[True, into[1:] != into[:-1]]
+        border = ~first & np.r_[False, source[1:] != source[:-1]]
+        if not border.any():
             break
-        shard = moved
-    common[0] = 0
-    return shard, common
+        group = np.cumsum(first) - 1
+        place = into + (np.arange(len(into)) - np.flatnonzero(first)[group])
+        split = np.bincount(group[border], minlength=group[-1] + 1)[group] > 0
+        place, longer, starts = place[split], longer[split], (first | border)[split]
+        order[place] = longer
+        common[place[border[split]]] = h - 1
+        block[longer] = place[starts][np.cumsum(starts) - 1]
+        passed = place
+    return order, common
+
+
+#: Texts of a shard.
+PER_SHARD = 64
 
 
-def repeated_places(texts: list[np.ndarray], length: int, per_shard: int = 8) -> list[np.ndarray]:
+def repeated_places(texts: list[np.ndarray], length: int, per_shard: int = PER_SHARD) -> list[np.ndarray]:
     """For each text, which places begin a string of ``length`` that occurs twice or more in the texts.
 
     The texts are cut into shards; neighbours in the merged order with a common
@@ -70,13 +95,17 @@ def repeated_places(texts: list[np.ndarray], length: int, per_shard: int = 8) ->
     """
     shards = [texts[k : k + per_shard] for k in range(0, len(texts), per_shard)]
     built = [shard_transform(s) for s in shards]
-    shard, common = merge([t for t, _ in built], length)
+    merged, common = merge([t for t, _ in built], length)
     twice = common >= length
     twice[:-1] |= common[1:] >= length
+    of = np.empty(len(merged), dtype=bool)
+    of[merged] = twice
     out: list[np.ndarray] = []
-    for k, (own, (_, order)) in enumerate(zip(shards, built, strict=True)):
-        marks = np.zeros(len(order), dtype=bool)
-        marks[order] = twice[shard == k]
+    begin = 0
+    for own, (_, order) in zip(shards, built, strict=True):
+        marks = np.empty(len(order), dtype=bool)
+        marks[order] = of[begin : begin + len(order)]
+        begin += len(order)
         ends = np.cumsum([len(t) + 1 for t in own])
         out += [part[:-1] for part in np.split(marks, ends[:-1])]
     return out

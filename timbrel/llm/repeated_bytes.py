@@ -1,4 +1,4 @@
-"""Long byte strings that occur more than once: a sieve of anchors, then exact comparison of what is left."""
+"""Long byte strings that occur more than once: a sieve of anchors, then merged transforms of what is left."""
 
 from __future__ import annotations
 
@@ -19,6 +19,8 @@ LENGTH, ANCHOR = 200, 64
 BITS = 1 << 26
 #: Different surroundings of one anchor that a task compares; those of other anchors are dealt out window by window.
 TOGETHER = 4096
+#: Bytes whose transforms a task merges at once, up to the end of the anchor's surroundings that reach them.
+MERGED = 1 << 20
 
 _VALUES = np.random.default_rng(2024).integers(1, 1 << 63, size=(2, 256), dtype=np.uint64) | np.uint64(1)
 _FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -175,12 +177,14 @@ def _runs(marks: np.ndarray) -> list[dict[str, int]]:
 _RUNS = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
 
-def compared(found: DataFrame, transforms: bool = False) -> DataFrame:
+def compared(found: DataFrame, transforms: bool = True) -> DataFrame:
     """same, runs: begins of the windows, from the first one, that occur elsewhere, as half-open runs.
 
     Surroundings that occur twice repeat as a whole. The different ones of one
     anchor are compared in a task: by the hashes of their windows or, with
-    ``transforms``, by merging the transforms of shards of them.
+    ``transforms``, by merging the transforms of shards of them. Anchors share a
+    merge of about ``MERGED`` bytes: equal windows have equal anchors, so what
+    other anchors bring along adds no match.
     """
     surroundings = found.groupBy("key", "same").agg(
         F.count("*").alias("n"), F.first("off").alias("off"), F.max("raw").alias("raw"))
@@ -196,11 +200,9 @@ def compared(found: DataFrame, transforms: bool = False) -> DataFrame:
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rollers = [Roller(0), Roller(1)]
-        at, ids, group = None, [], []
+        at, ids, group, held, begin = None, [], [], 0, 0
 
         def close() -> list[tuple]:
-            if len(group) < 2:
-                return []
             own = [g[1:] for g in group]
             marks = merged_windows(own) if transforms else repeated_windows(own, rollers)
             return [(i, _runs(m)) for i, g, m in zip(ids, group, marks, strict=True) if g[0] == 1 and m.any()]
@@ -209,13 +211,19 @@ def compared(found: DataFrame, transforms: bool = False) -> DataFrame:
             out = []
             for key, same, n, off, raw in zip(*[c.to_pylist() for c in frame.columns], strict=True):
                 if key != at:
-                    out += close()
-                    at, ids, group = key, [], []
+                    if len(group) - begin == 1:  # the sieve let an anchor through whose surroundings are all equal
+                        ids.pop()
+                        held -= len(group.pop()[2])
+                    if group and (held >= MERGED or not transforms):
+                        out += close()
+                        ids, group, held = [], [], 0
+                    at, begin = key, len(group)
                 ids.append(same)
                 group.append((n, off, raw))
+                held += len(raw)
             if out:
                 yield _frame(out)
-        out = close()
+        out = close() if group else []
         if out:
             yield _frame(out)
 
@@ -233,9 +241,8 @@ def compared(found: DataFrame, transforms: bool = False) -> DataFrame:
         for frame in frames:
             for k in range(frame.num_rows):
                 pair = _windows(frame.column(3)[k].as_py(), rollers).view(np.int64)
-                n, m = len(pair), frame.num_rows
+                n = len(pair)
                 at = pa.array(np.full(n, k), pa.int64())
-                del m
                 place = np.arange(n, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [frame.column(0).take(at), frame.column(1).take(at), pa.array(place), pa.array(place - frame.column(2)[k].as_py(), pa.int32()),
@@ -248,19 +255,20 @@ def compared(found: DataFrame, transforms: bool = False) -> DataFrame:
     return whole.union(inside).union(spread_runs)
 
 
-def repeated_bytes(docs: DataFrame, transforms: bool = False) -> DataFrame:
+def repeated_bytes(docs: DataFrame, transforms: bool = True) -> DataFrame:
     """One row per row of ``docs``: row, doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
     Every byte covered by a string of 200 bytes that begins anywhere else too,
     in the same text or another, is removed; strings never cross texts. A null
     text counts as empty; texts under 200 bytes stay; an empty table gives an
     empty result; rows that repeat a doc_id are texts of their own, so both
-    copies of a long text go.
+    copies of a long text go. Without ``transforms`` what the sieve leaves is
+    compared by pairs of hashes, with the same result.
     """
     return cleaned(docs, transforms).drop("kept")
 
 
-def cleaned(docs: DataFrame, transforms: bool = False) -> DataFrame:
+def cleaned(docs: DataFrame, transforms: bool = True) -> DataFrame:
     """The same with ``kept``, the remaining bytes."""
     rows = docs if "doc" in docs.columns and "row" in docs.columns else keyed(docs)
     found = occurrences(rows, repeated_map(rows))
