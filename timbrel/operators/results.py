@@ -92,6 +92,11 @@ def flat_result(df: DataFrame, items: Column, error: Column, *keep: str) -> Data
     )
 
 
+def flat_envelope(df: DataFrame, items: Column, planning: Column, error: Column, *keep: str) -> DataFrame:
+    """:func:`flat_result` in the form that jobs call: a plain list has no plan."""
+    return flat_result(df, items, error, *keep)
+
+
 def split_errors(df: DataFrame, error: str = "error") -> tuple[DataFrame, DataFrame]:
     """(successes, failures)."""
     failed = is_error(F.col(error))

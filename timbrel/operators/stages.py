@@ -322,12 +322,17 @@ def annotate(
     prompt: Column,
     *keep: str,
     parse: Callable[[Column], Column] = parse_layers,
+    envelope: Callable[..., DataFrame] = layered_result,
     error: str = "error",
     profile: ResourceProfile | None = None,
 ) -> DataFrame:
-    """One-step annotation: predict on sound rows, parse in the JVM, one envelope for all rows."""
+    """One-step annotation: predict on sound rows, parse in the JVM, one envelope for all rows.
+
+    ``envelope(frame, parsed answer, plan, error, *keep)`` gives the fields of
+    successes and errors.
+    """
     answered = predict(df, "_answer", predictor, [prompt], error, profile)
-    return layered_result(answered, parse(F.col("_answer.text")), F.lit(""), F.col(error), *keep)
+    return envelope(answered, parse(F.col("_answer.text")), F.lit(""), F.col(error), *keep)
 
 
 def annotate_steps(

@@ -36,17 +36,21 @@ def annotate_jobs(
     jobs: DataFrame,
     planner: Predictor,
     responder: Predictor,
-    step_2: str,
+    step_2: str | Callable[[Column, Column], Column],
     target_rate: int = 16000,
     decoders: dict[str, Decoder] | None = None,
+    step_1: Callable[[Column], Column] | None = None,
     parse: Callable[[Column], Column] = parse_layers,
+    envelope: Callable[..., DataFrame] = layered_result,
     width: int | None = None,
     profile: ResourceProfile | None = None,
 ) -> DataFrame:
     """Jobs to layered results: decode, plan, answer, parse. Works on batches and streams.
 
-    ``step_2`` is the template of the second prompt with ``{plan}``. ``width``
-    sets how many tasks run the models, where that differs from decoding; only
+    ``step_2`` is the template of the second prompt with ``{plan}``, or makes
+    the second input of waveform and plan, such as a chat with both; ``step_1``
+    makes the first input of the waveform, which goes as it is without.
+    ``envelope`` is that of :func:`annotate`. ``width`` sets how many tasks run the models, where that differs from decoding; only
     then do waveforms travel through an exchange. ``profile`` gives these tasks
     resources of their own.
     """
@@ -54,15 +58,18 @@ def annotate_jobs(
     decoded = decoded.withColumn("error", waveform_error(F.col("waveform_bytes"), F.col("error")))
     if width:
         decoded = decoded.repartition(width)
+    audio = F.col("waveform_bytes")
+
+    def second(answers: dict[str, Column]) -> Column:
+        plan = answers["plan"]
+        return fill_template(step_2, plan=plan) if isinstance(step_2, str) else step_2(audio, plan)
+
     answered = annotate_steps(
         decoded,
-        [
-            ("plan", planner, lambda _: F.col("waveform_bytes")),
-            ("final", responder, lambda a: fill_template(step_2, plan=a["plan"])),
-        ],
+        [("plan", planner, lambda _: step_1(audio) if step_1 else audio), ("final", responder, second)],
         profile=profile,
     )
-    return layered_result(answered, parse(F.col("final")), F.col("plan"), F.col("error"), *ID_COLUMNS)
+    return envelope(answered, parse(F.col("final")), F.col("plan"), F.col("error"), *ID_COLUMNS)
 
 
 def annotate_folder(
@@ -71,7 +78,7 @@ def annotate_folder(
     out: str,
     planner: Predictor,
     responder: Predictor,
-    step_2: str,
+    step_2: str | Callable[[Column, Column], Column],
     load_seconds: float = 0.0,
     run_seconds: float = 0.0,
     include_empty: bool = True,

@@ -174,6 +174,24 @@ def annotate(spark, folder):
     return flat_layers(annotated(table(spark, folder, "documents")))
 
 
+@query(
+    "annotate_flat",
+    f"""
+    WITH {_LAYER_SQL}
+    SELECT doc_id, error,
+           CASE WHEN error <> '' THEN '' WHEN len % 3 = 0 THEN n || ' drums' ELSE 'the ' || n || '|drums' END AS instruments
+    FROM r""",
+)
+def annotate_flat(spark, folder):
+    """A plain list in an envelope of its own."""
+    rows = table(spark, folder, "documents").withColumn("error", F.expr(_UPSTREAM))
+    predictor = stages.Predictor(rule_model.list_answers)
+    flat = stages.annotate(
+        rows, predictor, F.col("text"), "doc_id", parse=parse.parse_list, envelope=results.flat_envelope
+    )
+    return flat.select("doc_id", "error", F.array_join("instruments", "|").alias("instruments"))
+
+
 @query("annotate_skip", f"WITH {_LAYER_SQL} SELECT doc_id, background, foreground, instruments, error FROM r WHERE error NOT LIKE 'Pred%'")
 def annotate_skip(spark, folder):
     # with batches of one, skipping a failing batch drops exactly the refused rows

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from timbrel.functions import chat
 from timbrel.operators import results
 from timbrel.operators.stages import Predictor
 from timbrel.plans import bulk, eval_set, rule_model
@@ -91,3 +92,44 @@ def bulk_media(spark, folder):
         F.array_join("foreground", "|").alias("foreground"),
         "error",
     )
+
+
+SYSTEM, FIRST, SECOND = "You label recordings.", "Say what you hear.", "You heard a recording."
+
+
+@query(
+    "bulk_media_chat",
+    f"""
+    WITH s AS (
+        SELECT vec_id, list_transform(embedding, lambda x: CAST(trunc(CAST(x AS DOUBLE) * 32767) AS INTEGER)) AS s,
+               CASE WHEN vec_id % 6 = 5 THEN 'Preprocessing failed: file does not start with RIFF id' ELSE '' END AS error
+        FROM embeddings),
+    h AS (SELECT *, len(s) || ' samples of ' || CAST(list_sum(s) AS BIGINT) AS sound FROM s),
+    p AS (SELECT *, sound || ' for ' || md5('{SYSTEM}' || chr(10) || chr(10) || '{FIRST}') AS plan FROM h)
+    SELECT vec_id, CASE WHEN error = '' THEN plan ELSE '' END AS planning_response,
+           CASE WHEN error = '' THEN sound ELSE '' END AS background,
+           CASE WHEN error = '' THEN md5('{SYSTEM}{SECOND}' || chr(10) || chr(10) || 'Of ' || plan || ': list the layers {{json}}')
+                ELSE '' END AS foreground, error FROM p""",
+)
+def bulk_media_chat(spark, folder):
+    """The whole job with chats: the first has the recording, the second has it again beside the plan."""
+    files = wav_jobs(spark, folder, F.lit(1), F.lit(16000)).withColumn(
+        "audio_bytes", F.when(F.col("vec_id") % 6 == 5, F.lit(b"not a wave file")).otherwise(F.col("audio_bytes"))
+    )
+    jobs = results.make_jobs(
+        files, F.col("audio_bytes"), F.col("filename"), key=[F.col("vec_id")], song_id=F.col("vec_id").cast("string")
+    )
+    done = bulk.annotate_jobs(
+        jobs,
+        Predictor(rule_model.chat_plans, batch_size=8),
+        Predictor(rule_model.chat_finals, batch_size=8),
+        lambda audio, plan: chat.next_step_chat(SYSTEM, STEP_2, audio, SECOND, plan=plan),
+        step_1=lambda audio: chat.first_step_chat(SYSTEM, FIRST, audio),
+    )
+    return done.select(
+        F.col("song_id").cast(files.schema["vec_id"].dataType).alias("vec_id"),
+        "planning_response",
+        F.array_join("background", "|").alias("background"),
+        F.array_join("foreground", "|").alias("foreground"),
+        "error",
+    )
