@@ -249,3 +249,42 @@ def test_stages(spark, docs):
         assert now.columns == columns, name
     last = corpus_pipeline.STAGES[-1][1](spark, now, "").collect()
     assert {r.doc_id for r in last} <= {1, 2, 3, 6, 8, 10}
+
+
+def _loop_lines(rows, chunks):
+    """The text that stays of each row (doc_id, text), by a plain loop; chunks: doc_id to (first line, lines) of the first set."""
+    gone, lines = {i: set() for i, _ in rows}, {i: t.split("\n") for i, t in rows}
+    for least in (2, 0):
+        first = {}
+        for i, own in lines.items():
+            full = [k for k, x in enumerate(own) if x.strip(" \t\n\v\f\r")]
+            for at, n in chunks[i] if least else [(a, b - a + 1) for a, b in zip(full, full[1:])]:
+                part = "\n".join(own[at : at + n])
+                if n < least or not part.strip(" \t\n\v\f\r"):
+                    continue
+                j, k = first.setdefault(part, (i, at))
+                if j != i or at >= k + n:
+                    gone[i] |= set(range(at, at + n))
+    return {i: "\n".join(x for k, x in enumerate(own) if k not in gone[i]) for i, own in lines.items()}
+
+
+def test_short_passages(spark):
+    draw = np.random.default_rng(5)
+    rows = []
+    for i in range(60):
+        now = [f"own {i} {k}" for k in range(3)]
+        for p in draw.integers(0, 8, 3):
+            now += [f"passage {p} line {k}" for k in range(2 + p % 4)] + [f"after {i} {p}", *[""] * int(draw.integers(0, 2))]
+        rows.append((i, "\n".join(now)))
+    rows += [(60, "\n".join(["same"] * 5)), (61, "a one\n\n\nb two\nlast"), (62, "x\na one\n\n\nb two"), (63, ""), (64, "single 1\nown 3 0")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    cut = docs.select("doc_id", F.transform(line_chunks._chunks(F.col("text")), lambda c: F.struct(c["at"], c["n"])).alias("c"))
+    chunks = {r.doc_id: [tuple(c) for c in r.c] for r in cut.collect()}
+    got = {r.doc_id: r for r in line_chunks.line_chunks(docs).collect()}
+    assert {i: r.kept_text for i, r in got.items()} == _loop_lines(rows, chunks)
+    # no line of a passage is there twice, and none is lost
+    every = Counter(x for r in got.values() for x in r.kept_text.split("\n") if x.startswith("passage"))
+    assert set(every.values()) == {1} and set(every) == {x for _, t in rows for x in t.split("\n") if x.startswith("passage")}
+    assert got[60].kept_text == "same\nsame" and got[62].kept_text == "x" and got[64].n_removed_lines == 0
+    for i, t in rows:
+        assert got[i].n_lines - got[i].n_removed_lines == (0 if not got[i].kept_text and got[i].n_removed_lines else got[i].kept_text.count("\n") + 1)
