@@ -288,3 +288,111 @@ def test_short_passages(spark):
     assert got[60].kept_text == "same\nsame" and got[62].kept_text == "x" and got[64].n_removed_lines == 0
     for i, t in rows:
         assert got[i].n_lines - got[i].n_removed_lines == (0 if not got[i].kept_text and got[i].n_removed_lines else got[i].kept_text.count("\n") + 1)
+
+
+def _shingles(text):
+    words = text.split()
+    return frozenset(tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4)))
+
+
+def _loop_links(texts):
+    """doc_id to its number of links, and to its group, of texts that all differ in their sets, by a plain loop."""
+    sets = {i: _shingles(t) for i, t in texts.items()}
+    having, links, group = {}, Counter(), {i: i for i in texts}
+    for i, s in sets.items():
+        near = Counter(j for x in s for j in having.get(x, ()))
+        for j, n in near.items():
+            if n >= 0.8 * (len(s) + len(sets[j]) - n) - 1e-9:
+                links.update([i, j])
+                a, b = sorted((group[i], group[j]))
+                group = {k: a if g == b else g for k, g in group.items()} if a != b else group
+        for x in s:
+            having.setdefault(x, []).append(i)
+    return links, group
+
+
+def test_links_beside_a_loop(spark, monkeypatch):
+    monkeypatch.setattr(chosen_path, "LIMIT", 4)
+    monkeypatch.setattr(chosen_path, "BLOCK", 8)
+    draw, texts = np.random.default_rng(11), {}
+    for family in range(130):
+        base = [f"f{family}w{k}" for k in range(int(draw.integers(80, 140)))]
+        for member in range(20 if family < 100 else 3):
+            own = list(base)
+            for place in draw.integers(0, len(own), int(draw.integers(1, 3))):
+                own[place] = f"edit{family}x{member}x{place}"
+            texts[len(texts)] = " ".join(own)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(4)
+    links, group = _loop_links(texts)
+    got = {r.doc_id: r for r in chosen_path.jaccard_join(docs).collect()}
+    assert len(got) == len(texts) and all(r.n_links <= links[i] for i, r in got.items())
+    n_found = sum(r.n_links for r in got.values())
+    assert n_found >= 0.999 * sum(links.values()) > 5_000, (n_found, sum(links.values()))
+    assert {i: r.group_id for i, r in got.items()} == group
+    assert {i for i, r in got.items() if r.kept} == set(group.values())
+    # a leaf over LIMIT is one of the last level, and one over BLOCK is compared block by block
+    sets = chosen_path.signed_sets(chosen_path.keyed(docs), chosen_path.runs_for(), 5, 0.8)
+    sizes = [r.n for r in chosen_path.buckets(sets).select("key", "n").distinct().collect()]
+    assert max(sizes) > chosen_path.BLOCK and min(sizes) <= chosen_path.LIMIT
+
+
+def _loop_quality(rows):
+    lines = {i: [x for x in t.split("\n") if x.strip()] for i, t, _ in rows}
+    plain = {i: ["".join(x.lower().split()) for x in own] for i, own in lines.items()}
+    hosts = {s for *_, s in rows}
+    often = set()
+    for host in hosts:
+        by_text = {t: set(plain[i]) for i, t, s in rows if s == host}
+        seen = Counter(x for own in by_text.values() for x in own)
+        often |= {(host, x) for x, n in seen.items() if n > max(20, 0.005 * len(by_text))}
+    for i, t, s in rows:
+        words = t.split()
+        grams = [tuple(words[k : k + 3]) for k in range(len(words) - 2)]
+        many = Counter(grams)
+        repeated = {k + d for k, g in enumerate(grams) if many[g] > 1 for d in range(3)}
+        chars = len("".join(words))
+        left = chars - sum(len(x) for x in plain[i] if (s, x) in often)
+        if len(words) >= 50 and 100 * len(repeated) <= 50 * len(words) and left >= 0.25 * chars:
+            yield i
+
+
+def _loop_exact(rows):
+    best = {}
+    for i, t, _ in rows:
+        best.setdefault("".join(t.split()), []).append((-len(t), i))
+    return {min(x)[1] for x in best.values()}
+
+
+def test_stages_beside_loops(spark):
+    draw, rows = np.random.default_rng(23), []
+    for k in range(40):
+        words = [f"w{k}x{n}" for n in range(int(draw.integers(60, 200)))]
+        near = [*words[:30], "edited", *words[31:]]
+        kinds = [" ".join(words), "\n".join(words), " ".join(near), " ".join(words[:40]), "again and again " * 20]
+        rows += [(len(rows) + n, kinds[n], "abc"[k % 3]) for n in range(2 + k % 4)]
+    menu = " ".join(f"menu{n}" for n in range(60))
+    rows += [(1000 + n, f"{menu}\nonly {n}", "h") for n in range(25)] + [(2000, menu + "\n" + PASSAGE, "a")]
+    texts, sources = {i: t for i, t, _ in rows}, {i: s for i, _, s in rows}
+    now = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3)
+    want = []
+    want.append(set(_loop_quality(rows)))
+    want.append(_loop_exact([r for r in rows if r[0] in want[0]]))
+    want.append(set(_loop_links({i: texts[i] for i in sorted(want[1])})[1].values()))
+    assert len(rows) > len(want[0]) > len(want[1]) > len(want[2]) > 20
+    for (name, stage), ids in zip(corpus_pipeline.STAGES[:3], want):
+        now = stage(spark, now, "")
+        assert sorted(r.doc_id for r in now.collect()) == sorted(ids), name
+    sizes = {i: len(texts[i].split()) for i in want[2]}
+    targets = spark.createDataFrame([(sources[i], n) for i, n in sizes.items()], "source string, size bigint")
+    goals = {r.source: (r.target, r.source_size) for r in mixing.targets(targets).collect()}
+    mixed = corpus_pipeline.STAGES[3][1](spark, now, "")
+    taken = Counter(r.doc_id for r in mixed.collect())
+    assert set(taken) <= want[2]
+    for i in want[2]:
+        target, whole = goals[sources[i]]
+        assert math.floor(target / whole + 1e-9) <= taken[i] <= math.ceil(target / whole - 1e-9), i
+    for source, (target, _) in goals.items():
+        assert abs(sum(n * sizes[i] for i, n in taken.items() if sources[i] == source) - target) <= max(sizes.values())
+    last = corpus_pipeline.STAGES[4][1](spark, mixed, "").collect()
+    assert Counter(r.doc_id for r in last) == taken
+    assert all(r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest() and r.n_tokens > 0 for r in last)

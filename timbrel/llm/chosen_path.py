@@ -167,7 +167,7 @@ def buckets(sets: DataFrame) -> DataFrame:
 def _links(group: list[tuple], similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """Number of links of each set that this bucket answers for, and the first set it is connected with here.
 
-    ``group`` has (key, block, blocks, keys of the set's buckets, tokens). Only
+    ``group`` has (key, block, whether two blocks meet, keys of the set's buckets, tokens). Only
     tokens that two sets share are compared, a part of them at a time. Of the
     buckets that two sets share, the one with the least key answers.
     """
@@ -189,7 +189,7 @@ def _links(group: list[tuple], similarity: float) -> tuple[np.ndarray, np.ndarra
     linked = common >= similarity * (sizes[:, None] + sizes[None, :] - common) - 1e-6
     np.fill_diagonal(linked, False)
     block = np.array([g[1] for g in group])
-    if (block != block[0]).any():
+    if group[0][2]:  # also where one of the two is empty: pairs of one block are counted there
         linked &= block[:, None] != block[None, :]
     label = np.arange(n)
     while True:
@@ -256,7 +256,7 @@ def found_links(rows: DataFrame, leaves: DataFrame, words: int, similarity: floa
                     close(rows_, group)
                     at, rows_, group = (key, i, j), [], []
                 rows_.append(row)
-                group.append((key, block, None, keys, np.frombuffer(sets[k].as_py(), dtype=np.uint64)))
+                group.append((key, block, i != j, keys, np.frombuffer(sets[k].as_py(), dtype=np.uint64)))
             if len(out) > 10_000:
                 yield flush()
         close(rows_, group)
