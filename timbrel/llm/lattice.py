@@ -208,10 +208,11 @@ def word_counts(rows: DataFrame) -> DataFrame:
 def lattice_score(docs: DataFrame, model: str) -> DataFrame:
     """One row per row of ``docs``: row, doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    ``model`` is the path of a sentencepiece file whose pieces and scores are
-    taken as they are; what the pieces weigh is learnt from the word counts of
-    all training documents by one step of expectation and maximisation over the
-    lattice. ``score`` is the base-10 logarithm of the text's probability: for
+    ``model`` is the path of a sentencepiece file whose pieces are taken as they
+    are. Its scores only order them (those of a BPE file are merge ranks, not log
+    probabilities): the first weights follow from the place in that order, and
+    what the pieces weigh is learnt from the word counts of all training
+    documents by one step of expectation and maximisation over the lattice. ``score`` is the base-10 logarithm of the text's probability: for
     each word the sum over all its segmentations, by the forward recursion in
     log space, and one end. Characters that are no piece are spelled in bytes.
     ``base_score`` is the add-one unigram score. A null text counts as empty and
