@@ -17,7 +17,7 @@ from timbrel.llm.personal_data import KINDS, personal_data, span_list
 from timbrel.llm.repeated_bytes import repeated_bytes
 from timbrel.llm.registry import QUERIES, SQL, documents, query  # noqa: F401
 from timbrel.llm.rows import keyed, text_of
-from timbrel.llm import middle_queries, url_queries  # noqa: F401
+from timbrel.llm import middle_queries, url_queries, vector_queries  # noqa: F401
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
