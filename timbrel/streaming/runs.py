@@ -47,6 +47,17 @@ def start_split(
     )
 
 
+def wait_for(ready: Callable[[], bool], query: StreamingQuery | None = None, seconds: float = 120.0, pause: float = 0.3) -> None:
+    """Wait until something holds; an ended query raises its error, and so does a wait that takes too long."""
+    limit = time.monotonic() + seconds
+    while not ready():
+        if query is not None and not query.isActive and query.exception() is not None:
+            raise query.exception()
+        if time.monotonic() > limit:
+            raise TimeoutError(f"not so after {seconds} s")
+        time.sleep(pause)
+
+
 class _Enough(Exception):
     """Ends a query before a micro-batch that is not wanted any more is committed."""
 
