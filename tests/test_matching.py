@@ -102,6 +102,17 @@ def test_few_pairs_are_scored_and_none_is_lost(spark):
     assert found == {t: c for t in targets if (c := _closest(t, available, 0.6))}
 
 
+def test_any_key_size_gives_the_same_pairs_and_few_pairs_meet(spark):
+    rng = random.Random(1)
+    words = sorted({"".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(4, 13))) for _ in range(1000)})
+    rng.shuffle(words)
+    frame = spark.createDataFrame([(w, i % 2 == 0) for i, w in enumerate(words)], "word string, wanted boolean")
+    met = matching.met_pairs(frame, 0.6).count()
+    assert met < 0.1 * (len(words) / 2) ** 2
+    sizes = [{tuple(r) for r in matching.similar_pairs(frame, 0.6, together=k).collect()} for k in (None, 1, 3)]
+    assert sizes[0] == sizes[1] == sizes[2] and sizes[0]
+
+
 def test_no_words(spark):
     t, a = _frames(spark, ["rock", "", None], [])
     assert {tuple(r) for r in matching.match_keys(t, "t", a, "name", "pos").collect()} == {

@@ -27,8 +27,13 @@ SIMILARITY_THRESHOLD = 0.6
 
 # Words are told apart by length classes, each this much longer than the one before.
 LENGTH_STEP = 1.25
-# Words with the same character in one share of its pairs.
+# Words with the same key in one share of its pairs.
 WORDS_PER_SHARE = 4096
+# Shared characters that make a key together, and the keys of a word in a length class, at most.
+MOST_TOGETHER = 4
+MOST_KEYS = 300
+# Frequent letters, the most frequent first.
+USUAL_LETTERS = "etaoinshrdlcumwfgypbvkjxqz"
 
 
 def normalise_key(key: Column) -> Column:
@@ -79,12 +84,30 @@ def similarity(candidate: pd.Series, target: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, c, t).ratio() for c, t in zip(candidate, target)])
 
 
-def _numbered_chars(word: Column) -> Column:
-    """Characters with a running number per character, so repeats stay distinct."""
+def _tokens(word: Column) -> Column:
+    """Characters with a running number, so that repeats stay distinct; those that are rare by rule come first.
+
+    A higher number is rarer, and so is a letter further down the usual order.
+    Any one order for all words serves; this one only makes pairs meet less often.
+    """
     chars = F.split(word, "")
-    return F.transform(
-        chars, lambda c, i: F.concat(c, F.size(F.filter(F.slice(chars, F.lit(1), i + 1), lambda x: x == c)).cast("string"))
-    )
+
+    def token(c: Column, i: Column) -> Column:
+        number = F.size(F.filter(F.slice(chars, F.lit(1), i + 1), lambda x: x == c))
+        return F.struct((-number).alias("again"), (-F.instr(F.lit(USUAL_LETTERS), c)).alias("usual"), c.alias("c"))
+
+    # a letter that is not in the list has place 0 there and must come before the others
+    rare = F.array_sort(F.transform(chars, lambda c, i: token(c, i)), _rarer)
+    return F.transform(rare, lambda t: F.concat(t["c"], (-t["again"]).cast("string")))
+
+
+def _rarer(x: Column, y: Column) -> Column:
+    """Order of two tokens: higher numbers, then unlisted letters, then those further down the list."""
+
+    def key(t: Column) -> Column:
+        return F.struct(t["again"], F.when(t["usual"] == 0, -len(USUAL_LETTERS) - 1).otherwise(t["usual"]).alias("usual"), t["c"])
+
+    return F.when(key(x) < key(y), -1).when(key(x) > key(y), 1).otherwise(0)
 
 
 def _length_class(length: Column) -> Column:
@@ -96,58 +119,105 @@ def _needed(a: Column, b: Column, threshold: float) -> Column:
     return F.ceil(F.lit(threshold / 2) * (a + b) - F.lit(1e-6))
 
 
-def _prefixes(words: DataFrame, frequency: DataFrame, threshold: float, own: str, other: str) -> DataFrame:
-    """``(word, tokens, own, other, n, token)``: the rarest characters of each word
-    that every similar word of a length class must touch.
+def _classes(words: DataFrame, threshold: float, wanted: bool) -> DataFrame:
+    """``word, tokens, _a, _b, missed, shared``: each word in its length class, for each class of similar words.
 
-    Similar words share at least :func:`_needed` characters. With that many of
-    its characters shared, the rarest one in common is among the first
-    ``length - needed + 1`` of either word, in one order for all words: joining
-    on those loses no pair.
+    ``_a`` is the class of the wanted word, ``_b`` that of the other one.
+    ``missed`` is how many of its tokens a similar word of that class may lack,
+    ``shared`` how many all similar words of the two classes share at least.
     """
+    own, other = ("_a", "_b") if wanted else ("_b", "_a")
     share = threshold / (2 - threshold)
     length = F.char_length("word")
-    ordered = (
-        words.select("word", F.explode(_numbered_chars(F.col("word"))).alias("token"))
-        .join(frequency, "token")
-        .groupBy("word")
-        .agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("_tokens"))
-    )
     classes = F.sequence(F.greatest(F.lit(0), _length_class(length * share)), _length_class(length / share))
-    near = ordered.select("word", "_tokens", _length_class(length).alias(own), F.explode(classes).alias(other))
+    near = words.filter(F.col("wanted") == wanted).select(
+        "word", _tokens(F.col("word")).alias("tokens"), _length_class(length).alias(own), F.explode(classes).alias(other))
     least = F.greatest(F.pow(F.lit(LENGTH_STEP), F.col(other)), length * share)
-    keep = F.greatest(F.size("_tokens") - _needed(length, least, threshold) + 1, F.lit(0)).cast("int")
+    a, b = (F.ceil(F.pow(F.lit(LENGTH_STEP), F.col(c)) - F.lit(1e-6)) for c in ("_a", "_b"))
     return near.select(
-        "word", F.col("_tokens.token").alias("tokens"), own, other, F.inline(F.slice("_tokens", F.lit(1), keep))
+        "word", "tokens", "_a", "_b", F.greatest(length - _needed(length, least, threshold), F.lit(0)).cast("int").alias("missed"),
+        F.greatest(_needed(a, b, threshold), F.lit(1)).cast("int").alias("shared"))
+
+
+def _subsets(tokens: Column, size: Column) -> Column:
+    """All subsets of so many tokens, in their order; hashed."""
+    grown = F.aggregate(
+        tokens, F.array(F.array().cast("array<string>")),
+        lambda done, t: F.concat(done, F.transform(F.filter(done, lambda d: F.size(d) < size), lambda d: F.concat(d, F.array(t)))),
+    )
+    return F.transform(F.filter(grown, lambda d: F.size(d) == size), lambda d: F.xxhash64(d))
+
+
+def _with_keys(classed: DataFrame) -> DataFrame:
+    """One row per key of a word: subsets of ``size`` tokens of its prefix.
+
+    Similar words share all but ``missed`` tokens of either, at least. The first
+    ``size`` shared ones are then among the first ``missed + size`` of either
+    word, so both have them as a key: no pair is lost.
+    """
+    prefix = F.slice("tokens", F.lit(1), F.col("missed") + F.col("size"))
+    return classed.withColumn("key", F.explode(_subsets(prefix, F.col("size"))))
+
+
+def _together(threshold: float) -> Column:
+    """How many tokens make a key, for length classes ``_a`` and ``_b``: as many as give a word up to ``MOST_KEYS`` keys.
+
+    More tokens make pairs meet less often, and more subsets to send. How many
+    subsets there are follows from the lengths alone, so that both sides know
+    the number without a look at the data. Any number gives the same result.
+    """
+    share = threshold / (2 - threshold)
+
+    def missed(own: str, other: str) -> Column:
+        longest = F.pow(F.lit(LENGTH_STEP), F.col(own) + 1)
+        least = F.greatest(F.pow(F.lit(LENGTH_STEP), F.col(other)), longest * share)
+        return F.greatest(F.floor(longest - F.lit(threshold / 2) * (longest + least)), F.lit(0))
+
+    most = F.greatest(missed("_a", "_b"), missed("_b", "_a"))
+    subsets, out = F.lit(1.0), F.lit(1)
+    for k in range(1, MOST_TOGETHER + 1):
+        subsets = subsets * (most + k) / k
+        out = F.when(subsets <= MOST_KEYS, k).otherwise(out)
+    return out
+
+
+def met_pairs(words: DataFrame, threshold: float, words_per_share: int = WORDS_PER_SHARE, together: int | None = None) -> DataFrame:
+    """``target, match, _left, _right, key, size``: the pairs that meet, some more than once, before any of them leaves."""
+    chosen = _together(threshold) if together is None else F.lit(together)
+    left, right = (
+        _with_keys(_classes(words, threshold, wanted).withColumn("size", F.least(chosen, F.col("shared"))))
+        for wanted in (True, False)
     )
+    left = left.select(F.col("word").alias("target"), F.col("tokens").alias("_left"), "_a", "_b", "size", "key")
+    right = right.select(F.col("word").alias("match"), F.col("tokens").alias("_right"), "_a", "_b", "key")
+    hot = right.groupBy("_a", "_b", "key").agg(F.count("*").alias("n")).filter(F.col("n") > words_per_share)
+    hot = hot.select("_a", "_b", "key", (F.floor(F.col("n") / words_per_share) + 1).cast("int").alias("_shares"))
+    keys, shares = ["_a", "_b", "key"], F.coalesce("_shares", F.lit(1))
+    left = left.join(hot, keys, "left").withColumn("_share", F.explode(F.sequence(F.lit(0), shares - 1))).drop("_shares")
+    right = right.join(hot, keys, "left").withColumn("_share", F.pmod(F.xxhash64("match"), shares).cast("int")).drop("_shares")
+    return left.join(right, [*keys, "_share"])
 
 
 def similar_pairs(
-    words: DataFrame, threshold: float = SIMILARITY_THRESHOLD, words_per_share: int = WORDS_PER_SHARE
+    words: DataFrame,
+    threshold: float = SIMILARITY_THRESHOLD,
+    words_per_share: int = WORDS_PER_SHARE,
+    together: int | None = None,
 ) -> DataFrame:
     """``(target, match)``: the pairs of ``(word, wanted)`` rows that are worth scoring, each once.
 
-    Words meet through a shared rare character within their length classes. A
-    pair stays where the rarest character in common is the one it met by, and
-    where enough characters are in common for the threshold. The words of a
-    frequent character are split in shares.
+    Words meet within their length classes through the rarest characters that
+    they share, several of them together: how many follows from the number of
+    keys this costs (``together`` sets it). A pair stays where it met by the first of its shared
+    characters, and where enough are shared for the threshold. The words of a
+    frequent key are split in shares.
     """
     if not 0 < threshold <= 1:
         raise ValueError("the threshold lies above 0 and is at most 1")
-    frequency = (
-        words.select(F.explode(_numbered_chars(F.col("word"))).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
-    )
-    shares = (F.floor(F.col("n") / words_per_share) + 1).cast("int")
-    left = _prefixes(words.filter("wanted"), frequency, threshold, "_a", "_b").select(
-        F.col("word").alias("target"), F.col("tokens").alias("_left"), "_a", "_b", "token",
-        F.pmod(F.xxhash64("word"), shares).cast("int").alias("_share"))
-    right = _prefixes(words.filter("NOT wanted"), frequency, threshold, "_b", "_a").select(
-        F.col("word").alias("match"), F.col("tokens").alias("_right"), "_a", "_b", "token",
-        F.explode(F.sequence(F.lit(0), shares - 1)).alias("_share"))
     common = F.array_intersect("_left", "_right")
     enough = F.size(common) >= _needed(F.char_length("target"), F.char_length("match"), threshold)
-    met = left.join(right, ["token", "_a", "_b", "_share"])
-    return met.filter(enough & (F.get(common, F.lit(0)) == F.col("token"))).select("target", "match")
+    first = F.xxhash64(F.slice(common, F.lit(1), F.col("size")))
+    return met_pairs(words, threshold, words_per_share, together).filter(enough & (first == F.col("key"))).select("target", "match")
 
 
 def closest(
@@ -157,9 +227,10 @@ def closest(
 
     Only :func:`similar_pairs` are scored; of equal scores the larger word wins.
     """
-    wanted = targets.select(F.col(target).alias("word"), F.lit(True).alias("wanted"))
-    offered = available.select(F.col(candidate).alias("word"), F.lit(False).alias("wanted"))
-    words = settled(wanted.unionAll(offered).filter("word <> ''").distinct(), "words")
+    # both sides are read more than once; plain tables stay where they are
+    wanted = settled(targets.select(F.col(target).alias("word")), "wanted").withColumn("wanted", F.lit(True))
+    offered = settled(available.select(F.col(candidate).alias("word")), "offered").withColumn("wanted", F.lit(False))
+    words = wanted.unionAll(offered).filter("word <> ''").distinct()
     return (
         similar_pairs(words, threshold, **split)
         .withColumn("score", similarity("match", "target"))
