@@ -107,7 +107,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = 7) ->
     children settle those, level by level. Documents without words are not
     taken; null is a source of its own, the last one; an empty table gives an
     empty result; rows that repeat a doc_id are rounded one by one. The draws
-    depend on doc_id, size and source alone, so reruns agree.
+    depend on doc_id, text, size and source alone, so reruns agree.
     """
     rows = docs if "doc" in docs.columns and "row" in docs.columns else keyed(docs)
     text = text_of(rows)
@@ -117,7 +117,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = 7) ->
     sized = written(sized, "mix-sized")
     goal = written(targets(sized, weights), "mix-targets")
     named = goal.withColumnRenamed("source", "of")
-    with_goal = sized.join(F.broadcast(named) if goal.count() <= 10_000 else named, F.col("source").eqNullSafe(F.col("of")))
+    with_goal = sized.join(named, F.col("source").eqNullSafe(F.col("of")))
     rate = F.col("target") / F.col("source_size")
     whole = F.floor(rate + TINY)
     leaves = F.greatest(F.lit(1), F.ceil(F.col("n") / LEAF))

@@ -73,9 +73,13 @@ def sifted(df: DataFrame, key: str, bits: DataFrame) -> DataFrame:
 
 
 def without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Rows whose ``row`` is not in ``dropped``; only rows that the sieve cannot clear are shuffled."""
+    """Rows whose ``row`` is not in ``dropped``; only rows that the sieve cannot clear are shuffled.
+
+    The keys in ``dropped`` are read twice, so they are written first: what finds them runs once.
+    """
+    dropped = written(dropped.select("row"), "dropped")
     marked = sifted(rows, "row", sieve(dropped, "row"))
-    doubt = marked.filter("maybe").join(dropped.select("row"), "row", "left_anti")
+    doubt = marked.filter("maybe").join(dropped, "row", "left_anti")
     return marked.filter("not maybe").select("row", "doc").union(doubt.select("row", "doc"))
 
 
