@@ -120,8 +120,10 @@ def skip_first(df: DataFrame, n: int, key: str, *order: str) -> DataFrame:
     """Drop the first ``n`` rows of the order, and no other row that shares a key with them.
 
     The ``n`` keys are a top-k, never a full sort; only rows with one of these
-    keys are numbered.
+    keys are numbered. What is read more than once is settled first, so that no
+    row is lost or doubled if the input would differ between the reads.
     """
+    df = settled(df, "skip")
     first = df.orderBy(*order).limit(n).groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"))
     same = F.col(key).eqNullSafe(F.col("_key"))
     place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
@@ -146,20 +148,17 @@ def find_first(df: DataFrame, column: str, value, *order: str) -> DataFrame:
 def top_per_group(df: DataFrame, n: int, groups: list[str], *order: str, spread: int = 64) -> DataFrame:
     """First ``n`` rows of every group.
 
-    For small ``n``, ``row_number() <= n`` is cut to ``n`` rows per group and
-    task before the shuffle. Beyond the limit up to which Spark does that, a
-    group is first cut in ``spread`` shares, so one holding most rows is not
-    sorted by one task.
+    A group is first cut to ``n`` rows in each of ``spread`` shares, so one
+    holding most rows is not sorted by one task, whatever ``n`` is; for small
+    ``n`` Spark cuts the rows of a task before it sends them.
     """
-    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n >= limit:
-        share = Window.partitionBy(*groups, "_share").orderBy(*order)
-        df = (
-            df.withColumn("_share", F.pmod(F.xxhash64(*order), F.lit(spread)))
-            .withColumn("_rn", F.row_number().over(share))
-            .filter(F.col("_rn") <= n)
-            .drop("_share", "_rn")
-        )
+    share = Window.partitionBy(*groups, "_share").orderBy(*order)
+    df = (
+        df.withColumn("_share", F.pmod(F.xxhash64(*order), F.lit(spread)))
+        .withColumn("_rn", F.row_number().over(share))
+        .filter(F.col("_rn") <= n)
+        .drop("_share", "_rn")
+    )
     w = Window.partitionBy(*groups).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from timbrel.functions.errors import is_error
 from timbrel.schemas import LAYERS
+from timbrel.session import run_dir
 
 
 def csv_ready(df: DataFrame) -> DataFrame:
@@ -37,8 +38,10 @@ def export_catalog(df: DataFrame, folder: str) -> tuple[str, str]:
     return csv_path, json_path
 
 
-def report_summary(results: DataFrame, load_seconds: float, run_seconds: float, error: str = "error") -> DataFrame:
-    """One ``summary`` struct over all results."""
+def report_summary(
+    results: DataFrame, load_seconds: float, run_seconds: float, error: str = "error", **more: Column
+) -> DataFrame:
+    """One ``summary`` struct over all results, and other aggregates of the same pass."""
     failed = is_error(F.col(error))
     ok = F.count_if(~failed)
     rate = F.coalesce(F.try_divide(ok, F.lit(float(run_seconds))), F.lit(0.0))
@@ -50,7 +53,8 @@ def report_summary(results: DataFrame, load_seconds: float, run_seconds: float,
             F.lit(float(load_seconds)).alias("model_load_time_sec"),
             F.lit(float(run_seconds)).alias("inference_time_sec"),
             rate.alias("throughput_files_per_sec"),
-        ).alias("summary")
+        ).alias("summary"),
+        *[column.alias(name) for name, column in more.items()],
     )
 
 
@@ -73,27 +77,35 @@ def report_lines(results: DataFrame, load_seconds: float, run_seconds: float, or
     repeated positions, lines without a leading comma first; it is never held
     in one row. One element has no comma before it: the least one, once.
     ``order`` may repeat or be null.
+
+    The elements are written first, so that ``results`` are computed once: one
+    pass over what was written sums up and finds the least element by its place
+    in the files, another one writes the lines.
     """
-    place = results.schema[order].dataType
-    elements = results.select(F.col(order).alias("position"), report_rows(results).alias("json"))
-    least = elements.agg(F.min(F.struct(F.col("position").isNotNull(), "position", "json")).alias("x")).select("x").scalar()
-    is_least = F.col("position").eqNullSafe(least["position"]) & F.col("json").eqNullSafe(least["json"])
-    head = report_summary(results, load_seconds, run_seconds).select(
+    spark, place = results.sparkSession, results.schema[order].dataType
+    elements = results.select(F.col(order).alias("position"), report_rows(results).alias("json"), F.col("error"))
+    path = run_dir(spark, "report")
+    elements.write.parquet(path)
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    kept = spark.read.schema(elements.schema).parquet(path).select("*", at.alias("at"))
+    order_of_all = F.struct(F.col("position").isNotNull(), "position", "json", "at")
+    known = report_summary(kept, load_seconds, run_seconds, least=F.min(order_of_all)["at"])
+    found = known.first()
+    head = spark.createDataFrame([(found.summary,)], known.select("summary").schema).select(
         F.lit(0).alias("part"),
         F.lit(None).cast(place).alias("position"),
         F.concat(F.lit('{"summary": '), F.to_json("summary"), F.lit(', "results": [')).alias("line"),
     )
-    following = elements.filter(~is_least).select(
-        F.lit(1).alias("part"), "position", F.concat(F.lit(","), F.col("json")).alias("line")
-    )
-    equal = elements.filter(is_least).groupBy("position", "json").agg(F.count("*").alias("n"))
-    leading = equal.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).select(
-        F.lit(1).alias("part"), "position", F.concat(F.when(F.col("i") > 1, ",").otherwise(""), "json").alias("line")
+    first = F.lit(False)
+    if found.least is not None:
+        first = (F.col("at.file") == found.least.file) & (F.col("at.row") == found.least.row)
+    body = kept.select(
+        F.lit(1).alias("part"), "position", F.concat(F.when(first, "").otherwise(","), "json").alias("line")
     )
     tail = results.sparkSession.range(1).select(
         F.lit(2).alias("part"), F.lit(None).cast(place).alias("position"), F.lit("]}").alias("line")
     )
-    return head.unionAll(leading).unionAll(following).unionAll(tail)
+    return head.unionAll(body).unionAll(tail)
 
 
 def write_report(results: DataFrame, load_seconds: float, run_seconds: float, order: str, path: str) -> None:
