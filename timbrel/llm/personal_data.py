@@ -19,12 +19,15 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: Wider patterns: spelled-out addresses, other separators, no country code.
+#: Wider patterns: spelled-out or bracketed separators, other groupings, no country code.
 WIDE = {
-    "email": r"[^\x20\x09-\x0D@<>(),;:]++(?:@| ?[\[({]at[\])}] ?)[^\x20\x09-\x0D@<>(),;:\[{]++(?: ?[\[({]dot[\])}] ?[A-Za-z0-9-]++)*",
-    "ip": r"[0-9]{1,3}(?:(?:\.|\[\.\]|\(\.\))[0-9]{1,3}){3}",
-    "card": r"[0-9](?:[\x20.-]{0,2}[0-9]){12,18}",
-    "phone": r"(?:\+|\b00)?\(?[0-9]{1,4}\)?(?:[\x20./-]\(?[0-9]{2,4}\)?){2,4}",
+    "email": (
+        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:@| ?[\[({] ?(?:at|AT|@) ?[\])}] ?| at | AT )[A-Za-z0-9-]++"
+        r"(?:(?:\.| ?[\[({] ?(?:dot|DOT|\.) ?[\])}] ?| dot | DOT )[A-Za-z0-9-]++)+"
+    ),
+    "ip": r"(?<![0-9.])[0-9]{1,3}(?:(?:\.| ?[\[({](?:\.|dot)[\])}] ?)[0-9]{1,3}){3}",
+    "card": r"[0-9](?:[\x20./-]{0,2}[0-9]){12,18}",
+    "phone": r"(?<![0-9A-Za-z+])(?:\+|00[\x20-]?)?\(?[0-9]{1,4}\)?(?:[\x20./-]{1,2}\(?[0-9]{2,4}\)?){2,4}",
 }
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 _CONTEXT = {
@@ -33,8 +36,12 @@ _CONTEXT = {
     "card": "card|visa|credit|pay|account",
     "phone": "call|phone|tel|fax|mobile",
 }
-#: Rounds of boosting, step, and the share of base spans among the selected candidates.
+#: Rounds of boosting, step, and the share of positives among what is selected of the documents left out.
 ROUNDS, STEP, PRECISION = 24, 0.4, 0.9
+#: One document in so many is left out of the fit and sets the threshold.
+FOLDS = 4
+#: Features of a candidate; the trees see counts per pattern of them.
+N_BITS = 14
 
 
 def _matches(text: Column, pattern: str) -> Column:
@@ -53,22 +60,64 @@ def _luhn(digits: Column) -> Column:
 
 
 def _features(kind: Column, m: Column, digits: Column, before: Column, after: Column) -> list[Column]:
+    """What is known of a candidate by its format and what surrounds it."""
     n = F.char_length(digits)
     own = F.lit(False)
     for k, words in _CONTEXT.items():
         own = F.when(kind == k, F.lower(before).rlike(words)).otherwise(own)
+    plain = F.regexp_replace(m, r" ?[\[({](?:\.|dot)[\])}] ?", ".")
     return [
-        _luhn(digits), n.between(13, 19), n.between(9, 15), n.between(10, 12), m.rlike(rf"^(?:{_PART}\.){{3}}{_PART}$"),
-        before.rlike(r"[A-Za-z0-9.]$"), after.rlike(r"^[A-Za-z0-9@]"), m.rlike(r"\.[A-Za-z]{2,12}$"),
-        m.rlike(r"^[A-Za-z0-9._%+-]+(?:@|[^A-Za-z]{1,2}at[^A-Za-z])"), m.rlike(r"[0-9]{3}[\x20.-][0-9]{4}$"),
-        m.rlike(r"^(?:[0-9]{4}[\x20.-]?){3}"), own,
+        _luhn(digits), n.between(13, 19), n.between(9, 15), n.between(7, 12), plain.rlike(rf"^(?:{_PART}\.){{3}}{_PART}$"),
+        before.rlike(r"[A-Za-z0-9.]$"), after.rlike(r"^[A-Za-z0-9@]"),
+        m.rlike(r"(?:\.|(?i:dot)[\])}]? ?|[\])}] ?)[A-Za-z]{2,12}$"),
+        m.rlike(r"(?i)[\[({] ?(?:at|@|dot|\.) ?[\])}]"), m.rlike(r"(?i) at .* dot |\Wat\W.*\Wdot\W"),
+        m.rlike(r"^(?:00[\x20-]?[0-9]{1,3}[\x20.-])?\(?[0-9]{2,4}\)?[\x20/.-][0-9]{3,4}[\x20.-][0-9]{3,4}$"),
+        m.rlike(r"^(?:[0-9]{1,4}[./-][0-9]{1,2}[./-][0-9]{1,4}|[0-9]{1,3}(?:\.[0-9]{1,3}){2,4})$"),
+        own, m.rlike(r"^(?:[0-9]{4}[\x20./-]{0,2}){3}[0-9]{1,7}$"),
     ]
 
 
+def _bits(kind: Column, m: Column, before: Column, after: Column) -> Column:
+    flags = _features(kind, m, F.regexp_replace(m, "[^0-9]", ""), before, after)
+    return sum((F.when(f, F.lit(1 << k)).otherwise(F.lit(0)) for k, f in enumerate(flags)), F.lit(0))
+
+
+def _whole_matches(values: Column, pattern: str) -> Column:
+    return F.filter(values, lambda v: v.rlike(f"^(?:{pattern})$"))
+
+
+def _disguised(kind: Column, m: Column) -> Column:
+    """Other ways to write a base span, none of which is a base span of its kind."""
+    def written_as(at: str, dot: str) -> Column:
+        return F.replace(F.replace(m, F.lit("."), F.lit(dot)), F.lit("@"), F.lit(at))
+
+    digits = F.regexp_replace(m, "[^0-9]", "")
+    fours = [F.regexp_replace(digits, r"([0-9]{4})(?=[0-9])", f"$1{sep}") for sep in (".", "  ", "/", "--")]
+    national = F.regexp_replace(m, r"^\+[0-9]{1,3}[\x20.-]?", "")
+    bare = F.regexp_replace(national, r"[()]", "")
+    forms = {
+        "email": [written_as("[at]", "[dot]"), written_as(" (at) ", " (dot) "), written_as(" at ", " dot "), written_as("{at}", "."), written_as("[at]", ".")],
+        "ip": [F.replace(m, F.lit("."), F.lit(x)) for x in ("[.]", "(.)", "[dot]", " [.] ")],
+        "card": fours,
+        "phone": [national, bare, F.regexp_replace(bare, r"[\x20-]", "."), F.regexp_replace(m, r"^\+", "00"), F.regexp_replace(m, r"^\+", "00 ")],
+    }
+    out = F.array().cast("array<string>")
+    for k, ways in forms.items():
+        # what its own generator would not propose is nothing to learn from
+        out = F.when(kind == k, _whole_matches(F.array(*ways), WIDE[k])).otherwise(out)
+    return out
+
+
 def candidates(rows: DataFrame) -> DataFrame:
-    """row, kind (its place in KINDS), base, start, end, bits: all spans of all generators, as a written table."""
+    """row, kind (its place in KINDS), base, valid, start, end, bits, disguised: all matches of all generators, as a written table.
+
+    ``valid`` tells base spans from matches of a base pattern that fail their
+    check. ``disguised`` has the bits of other ways to write either where it
+    stands. ``never`` marks wider candidates that can be no such thing: dates,
+    versions, numbers that fail their check.
+    """
     text = text_of(rows)
-    some = text.rlike(r"[0-9@]|[\[({]at[\])}]")
+    some = text.rlike(r"(?i)[0-9@]|[\[({] ?at ?[\])}]| at .* dot ")
     names = [(k, base) for base in (True, False) for k in KINDS]
     found = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(base).alias("base"),
                                _matches(F.col("text"), (BASE if base else WIDE)[k]).alias("found")) for k, base in names])
@@ -84,19 +133,28 @@ def candidates(rows: DataFrame) -> DataFrame:
         .when(kind == "phone", n.between(9, 15))
         .otherwise(F.lit(True))
     )
-    flags = _features(kind, F.col("m"), F.col("digits"), F.col("before"), F.col("after"))
-    bits = sum((F.when(f, F.lit(1 << k)).otherwise(F.lit(0)) for k, f in enumerate(flags)), F.lit(0))
+    before, after = F.col("before"), F.col("after")
+    ways = F.when(F.col("base"), F.transform(_disguised(kind, F.col("m")), lambda v: _bits(kind, v, before, after)))
     number = F.array_position(F.array(*map(F.lit, KINDS)), kind) - 1
-    placed = each.withColumn("end", end).filter(~F.col("base") | valid)
+    shape = F.col("m").rlike(r"^(?:[0-9]{4}[./-][0-9]{1,2}[./-][0-9]{1,2}|[0-9]{1,2}[./-][0-9]{1,2}[./-][0-9]{4}|[0-9]{1,3}(?:\.[0-9]{1,3}){2,4})$")
+    never = (
+        F.when(kind == "card", ~(n.between(13, 19) & _luhn(F.col("digits"))))
+        .when(kind == "phone", shape | ~n.between(7, 15))
+        .when(kind == "ip", ~F.regexp_replace("m", r"[^0-9]+", ".").rlike(rf"^(?:{_PART}\.){{3}}{_PART}$"))
+        .when(kind == "email", ~F.col("m").rlike(r"[^A-Za-z][A-Za-z]{2,}$"))
+        .otherwise(F.lit(False))
+    )
+    placed = each.withColumns({"end": end, "valid": F.coalesce(valid, F.lit(False)), "never": F.coalesce(never, F.lit(False))})
+    placed = placed.withColumns({"bits": _bits(kind, F.col("m"), before, after), "disguised": ways, "number": number.cast("int")})
     return written(placed.select(
-        "row", number.cast("int").alias("kind"), "base", (F.col("end") - F.char_length("m")).alias("start"), "end", bits.alias("bits"),
+        "row", F.col("number").alias("kind"), "base", "valid", "never", (F.col("end") - F.char_length("m")).alias("start"), "end", "bits", "disguised",
     ), "pii-candidates")
 
 
 def beside_base(spans: DataFrame) -> DataFrame:
-    """Adds ``near``: the candidate overlaps a base span of its kind in its text."""
+    """Adds ``near``: the candidate overlaps a base span, of any kind, in its text."""
     base_end, base_start = F.when(F.col("base"), F.col("end")), F.when(F.col("base"), F.col("start"))
-    order = Window.partitionBy("row", "kind").orderBy("start", "end", "base")
+    order = Window.partitionBy("row").orderBy("start", "end", "kind", "base")
     up = F.max(base_end).over(order.rowsBetween(Window.unboundedPreceding, 0))
     down = F.min(base_start).over(order.rowsBetween(0, Window.unboundedFollowing))
     near = (F.coalesce(up, F.lit(-1)) > F.col("start")) | (F.coalesce(down, F.lit(1 << 60)) < F.col("end"))
@@ -137,8 +195,14 @@ def _value(trees: list[tuple], bits: int) -> float:
     return total
 
 
-def boost(cells: list[tuple[int, int, int]], n_bits: int = 12, rounds: int = ROUNDS) -> tuple[list[tuple], float | None]:
-    """Trees fitted on (bits, rows, positives), and the threshold above which positives have the wanted share."""
+def boost(
+    cells: list[tuple[int, int, int]], left_out: list[tuple[int, int, int]] | None = None, n_bits: int = N_BITS, rounds: int = ROUNDS
+) -> tuple[list[tuple], float | None]:
+    """Trees fitted on (bits, rows, positives), and the threshold above which positives have the wanted share.
+
+    The threshold is set on ``left_out``, the counts of other documents; None if
+    no threshold gives that share there.
+    """
     trees: list[tuple] = []
     for _ in range(rounds):
         step = []
@@ -147,7 +211,8 @@ def boost(cells: list[tuple[int, int, int]], n_bits: int = 12, rounds: int = ROU
             step.append([bits, positive - n * p, n * p * (1 - p)])
         trees.append(_grow(step, n_bits))
     threshold, n_all, p_all = None, 0, 0
-    scored = sorted(((round(_value(trees, bits), 9), n, positive) for bits, n, positive in cells), reverse=True)
+    judged = cells if left_out is None else left_out
+    scored = sorted(((round(_value(trees, bits), 9), n, positive) for bits, n, positive in judged), reverse=True)
     for k, (score, n, positive) in enumerate(scored):
         n_all, p_all = n_all + n, p_all + positive
         last = k + 1 == len(scored) or scored[k + 1][0] < score
@@ -171,22 +236,30 @@ def _score(trees: list[tuple]) -> Column:
 def selected(rows: DataFrame) -> DataFrame:
     """row, kind, base, start, end of all spans to redact: the base ones, and those the trees select.
 
-    The trees learn, on the counts of feature patterns over all documents, which
-    candidates overlap a base span; what makes a span a base one by definition
-    (the plus of a phone number, the at sign) is no feature, so spans of the
-    same form and context are found without it.
+    Positives are base spans in disguise, where they stand: with spelled-out or
+    bracketed separators, another grouping, no country code; as such they have
+    no base form, so the trees cannot learn that. Negatives are matches of the
+    base patterns that fail their check, disguised in the same ways, and wider
+    candidates that can be no such thing (dates, versions, failing numbers). All
+    others are open, and are what the trees decide. Both are counted over all
+    documents by pattern of features; a quarter of the documents is left out of
+    the fit and sets the threshold of each kind.
     """
-    spans = written(beside_base(candidates(rows)), "pii-spans")
+    found = candidates(rows)
+    spans = written(beside_base(found.filter("not base or valid")), "pii-spans")
+    fold = (F.pmod(F.xxhash64("row"), F.lit(FOLDS)) == 0).alias("out")
+    disguised = found.filter("base").select("kind", F.explode("disguised").alias("bits"), fold, F.col("valid").cast("int").alias("p"))
+    look_alikes = spans.filter("not base and not near and never").select("kind", "bits", fold, F.lit(0).alias("p"))
+    table = disguised.unionByName(look_alikes).groupBy("kind", "bits", "out").agg(F.count("*").alias("n"), F.sum("p").alias("p")).collect()
     wide = spans.filter("not base")
-    table = wide.groupBy("kind", "bits").agg(F.count("*").alias("n"), F.sum(F.col("near").cast("int")).alias("p")).collect()
     keep = F.lit(False)
-    for kind in range(len(KINDS)):  # at most one row per pattern of twelve features
-        cells = sorted((r.bits, r.n, r.p) for r in table if r.kind == kind)
-        if cells:
-            trees, threshold = boost(cells)
+    for kind in range(len(KINDS)):  # at most two rows per pattern of the features
+        fit, out = (sorted((r.bits, r.n, r.p) for r in table if r.kind == kind and r.out == o) for o in (False, True))
+        if any(p for _, _, p in fit):
+            trees, threshold = boost(fit, out)
             if threshold is not None:
                 keep = F.when(F.col("kind") == kind, _score(trees) >= threshold).otherwise(keep)
-    more = wide.filter("not near").filter(keep)
+    more = wide.filter("not near and not never").filter(keep)
     return spans.filter("base").union(more).select("row", "kind", "base", "start", "end").distinct()
 
 
@@ -195,9 +268,10 @@ def personal_data(docs: DataFrame) -> DataFrame:
 
     Base spans are the leftmost non-overlapping matches of the base patterns
     that pass their check; the boosted trees add others. A null text counts as
-    empty and has no spans; without candidates nothing is learnt or added; an
-    empty table gives an empty result; rows that repeat a doc_id are read one by
-    one.
+    empty and has no spans; without base spans of a kind nothing is learnt or
+    added for it; an empty table gives an empty result; rows that repeat a
+    doc_id are read one by one; other columns are ignored. A very long text is
+    matched as a whole by patterns that do not go back over it.
     """
     rows = docs if "doc" in docs.columns and "row" in docs.columns else keyed(docs)
     spans = selected(rows).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("kind", "start", "end", "base"))).alias("spans"))
