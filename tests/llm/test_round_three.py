@@ -316,3 +316,85 @@ def test_no_pages_and_no_rules(spark):
     assert [(r.rule, r.verdict) for r in some.collect()] == [(None, "allow")]
     with pytest.raises(ValueError):
         redirects.url_filter(pages(spark, []), [Rule("block", f"h{i}.org") for i in range(redirects.MOST_RULES + 1)])
+
+
+# ---- personal data: what the trees add
+
+import random  # noqa: E402
+
+from timbrel.llm import personal_data  # noqa: E402
+
+
+def _card(rng):
+    digits = [rng.randrange(10) for _ in range(15)]
+    total = sum(d if i % 2 else (2 * d - 9 if 2 * d > 9 else 2 * d) for i, d in enumerate(digits))
+    return "".join(map(str, digits)) + str(-total % 10)
+
+
+def planted_texts(rng, n):
+    """Texts with base spans, disguised ones and look-alikes: (text, list of what must be found, list of what must not)."""
+    out = []
+    words = "the report of last week says that we may meet at noon or later and then go home".split()
+
+    def prose():
+        return " ".join(rng.choice(words) for _ in range(rng.randrange(4, 12)))
+
+    for i in range(n):
+        user, host = f"u{rng.randrange(10**6)}", f"site{rng.randrange(10**4)}"
+        card, a, b, c = _card(rng), rng.randrange(200, 999), rng.randrange(200, 999), rng.randrange(1000, 9999)
+        ip = ".".join(str(rng.randrange(256)) for _ in range(4))
+        base = [f"{user}@{host}.example.com", f"+1 ({a}) {b}-{c}", card, ip][i % 4]
+        hidden = [f"{user}[at]{host}[dot]com", f"({a}) {b}-{c}", f"{card[:4]}.{card[4:8]}.{card[8:12]}.{card[12:]}", ip.replace(".", "[.]"),
+                  f"{user} at {host} dot org", f"{a} {b} {c}", f"{user}{{at}}{host}.net"][i % 7]
+        like = [f"20{rng.randrange(10, 30)}-0{rng.randrange(1, 9)}-1{rng.randrange(9)}", f"{rng.randrange(9)}.{rng.randrange(20)}.{rng.randrange(99)}",
+                f"4{card[1:8]}{card[8:15]}{(int(card[15]) + 5) % 10}", f"{rng.randrange(10**7)}", "meet at noon. later"][i % 5]
+        out.append((f"{prose()} {base} {prose()} {hidden}, {prose()} {like} {prose()}", hidden, like))
+    return out
+
+
+def test_disguised_spans_are_found_and_look_alikes_are_not(spark):
+    rng = random.Random(8)
+    texts = planted_texts(rng, 1400)
+    docs = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(texts)], "doc_id bigint, text string").repartition(4)
+    found = {r.doc_id: [(s.start, s.end, s.base) for s in r.spans] for r in personal_data.personal_data(docs).collect()}
+    hits = added = right = 0
+    missed = Counter()
+    for i, (text, hidden, like) in enumerate(texts):
+        at = text.rindex(hidden)  # a base span may hold it, too
+        more = [(s, e) for s, e, base in found[i] if not base]
+        added += len(more)
+        hit = any(s < at + len(hidden) and at < e for s, e in more)
+        right += sum(s < at + len(hidden) and at < e for s, e in more)
+        hits += hit
+        missed[i % 7] += not hit
+    print("recall", hits / len(texts), "precision", right / max(added, 1), dict(missed))
+    assert hits > 0.9 * len(texts) and right > 0.9 * added
+
+
+def loop_base(text):
+    """Base spans by plain matching: (kind, start, end)."""
+    from timbrel.llm.personal_data import KINDS
+
+    def luhn(d):
+        return sum(int(x) if k % 2 == 0 else (2 * int(x) - 9 if int(x) > 4 else 2 * int(x)) for k, x in enumerate(reversed(d))) % 10 == 0
+
+    patterns = [
+        (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m, d: True),
+        (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m, d: all(int(p) <= 255 for p in m.split("."))),
+        (r"[0-9]([\x20-]?[0-9])+", lambda m, d: 13 <= len(d) <= 19 and luhn(d)),
+        (r"\+[0-9][\x20().0-9-]+[0-9]", lambda m, d: 9 <= len(d) <= 15),
+    ]
+    return [(KINDS[k], m.start(), m.end()) for k, (p, good) in enumerate(patterns) for m in re.finditer(p, text)
+            if good(m.group(), re.sub("[^0-9]", "", m.group()))]
+
+
+def test_base_spans_beside_a_loop(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = random.Random(4)
+    odd = ["".join(rng.choice("a1 .@+-()5é9_") for _ in range(rng.randrange(60))) for _ in range(500)]
+    docs = docs.select("doc_id", "text").union(spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(odd)], "doc_id bigint, text string"))
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    got = {r.doc_id: [(personal_data.KINDS[s.kind] if isinstance(s.kind, int) else s.kind, s.start, s.end) for s in r.spans if s.base]
+           for r in personal_data.personal_data(docs).collect()}
+    for i, text in texts.items():
+        assert got[i] == loop_base(text), (i, text[:200])
