@@ -17,7 +17,7 @@ from timbrel.llm.rows import field, keyed, text_of
 #: The pattern that splits a text before the merges (fixed value).
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words whose ids a worker remembers before it starts again.
-REMEMBERED = 150_000
+REMEMBERED = 60_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -204,7 +204,7 @@ class Coder:
             yield ids, b"".join(map(self.decoded.__getitem__, at)).decode("utf-8", "replace")
 
 
-def batches(values: pa.Array, most: int = 2_000_000) -> Iterator[list[str]]:
+def batches(values: pa.Array, most: int = 1_000_000) -> Iterator[list[str]]:
     """Runs of texts of about so many characters; a longer text is a run of its own."""
     out, size = [], 0
     for value in values:
