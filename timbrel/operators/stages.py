@@ -111,6 +111,22 @@ def _run_batch(stage: Stage, batch: Any, resource: Any) -> Any:
     return out
 
 
+def expand_rows(df: DataFrame, expand: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch | pa.Table]], schema: T.StructType) -> DataFrame:
+    """Any number of rows for each row, by a table function over Arrow batches of a batch frame.
+
+    ``expand`` gets record batches with the columns of ``df`` and gives tables of
+    ``schema``, shorter or longer. The frame is the function's table argument: it
+    is read where it lies, without a shuffle, no row becomes a Python object,
+    and ``schema`` is known to the planner before anything runs.
+    """
+
+    class Expand:
+        def eval(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch | pa.Table]:
+            yield from expand(batch)
+
+    return F.arrow_udtf(Expand, returnType=schema)(df.asTable())
+
+
 def map_stage(df: DataFrame, stage: Stage) -> DataFrame:
     """Run a stage over a batch or streaming frame.
 

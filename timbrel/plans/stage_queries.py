@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
@@ -97,6 +98,27 @@ def stage_expand(spark, folder):
     return stages.map_stage(_lines(spark, folder), EXPAND)
 
 
+def _expanded_batch(batch: pa.RecordBatch):
+    """As :func:`_expanded`, on Arrow columns."""
+    number = batch.column("l_linenumber").to_numpy()
+    times = np.where(number != 1, number % 3 + 1, 0)
+    at = np.repeat(np.arange(len(times)), times)
+    copy = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+    taken = batch.take(pa.array(at))
+    yield pa.table({**{n: taken.column(n) for n in taken.schema.names}, "copy": pa.array(copy, pa.int32())})
+
+
+@query(
+    "stage_expand_table",
+    """
+    SELECT l_orderkey, l_linenumber, l_partkey, CAST(unnest(range(l_linenumber % 3 + 1)) AS INTEGER) AS copy
+    FROM lineitem WHERE l_linenumber <> 1""",
+)
+def stage_expand_table(spark, folder):
+    """The same by a table function with a table argument."""
+    return stages.expand_rows(_lines(spark, folder), _expanded_batch, EXPAND.schema)
+
+
 def _copied(rows: list[dict]) -> list[dict]:
     return [{**r, "amount": r["copy"] * 0.5 + r["l_partkey"]} for r in rows]
 
@@ -296,29 +318,39 @@ def predict_runs(spark, folder):
     f"""
     WITH {_LAYER_SQL},
     v AS (SELECT *, 'doc_' || doc_id || CASE doc_id % 7 WHEN 3 THEN '' WHEN 5 THEN '.pdf' ELSE '.mp3' END AS filename FROM r),
-    ok AS (SELECT * FROM v WHERE doc_id % 7 NOT IN (3, 5))
-    SELECT lang, count(*) AS total, count(*) FILTER (error = '') AS successful, count(*) FILTER (error <> '') AS failed,
+    ok AS (SELECT * FROM v WHERE doc_id % 7 NOT IN (3, 5)),
+    bad AS (SELECT lang, count(*) AS rejected, count(*) FILTER (doc_id % 7 = 3) AS no_extension FROM v WHERE doc_id % 7 IN (3, 5) GROUP BY lang),
+    good AS (SELECT lang, count(*) AS total, count(*) FILTER (error = '') AS successful, count(*) FILTER (error <> '') AS failed,
            CAST(sum(len(CASE WHEN instruments = '' THEN [] ELSE string_split(instruments, '|') END)) AS BIGINT) AS instruments,
            bit_xor(CAST('0x' || substr(sha256('job|' || doc_id), 1, 12) AS BIGINT)) AS job_ids,
            bit_xor(CAST('0x' || substr(sha256(text), 1, 12) AS BIGINT)) AS song_hashes
-    FROM ok GROUP BY lang""",
+    FROM ok GROUP BY lang)
+    SELECT coalesce(good.lang, bad.lang) AS lang, coalesce(total, 0) AS total, coalesce(successful, 0) AS successful,
+           coalesce(failed, 0) AS failed, coalesce(instruments, 0) AS instruments, job_ids, song_hashes,
+           coalesce(rejected, 0) AS rejected, coalesce(no_extension, 0) AS no_extension
+    FROM good FULL JOIN bad ON good.lang IS NOT DISTINCT FROM bad.lang""",
 )
 def bulk_annotation(spark, folder):
-    """Jobs, validation, prediction, parsing and counts in one plan."""
+    """Jobs, validation, prediction, parsing and counts in one plan; rejected files are counted with the others."""
     docs = table(spark, folder, "documents").withColumn(
         "filename",
         F.expr("'doc_' || doc_id || CASE doc_id % 7 WHEN 3 THEN '' WHEN 5 THEN '.pdf' ELSE '.mp3' END"),
     )
-    accepted, _ = uploads.split_uploads(docs, "filename", "n_chars")
+    accepted, rejected = uploads.split_uploads(docs, "filename", "n_chars")
     jobs = results.make_jobs(accepted, F.col("text"), F.col("filename"), key=[F.col("doc_id")])
     rows = annotated(jobs, 32, "row", "lang", "job_id", "song_hash")
-    counts = rows.groupBy("lang").agg(
+    counts = rows.select("lang", "instruments", "job_id", "song_hash", "error").unionByName(
+        rejected.select("lang", "detail"), allowMissingColumns=True).groupBy("lang").agg(
         F.sum(F.size("instruments")).alias("instruments"),
         # checksums over all ids and hashes
         F.bit_xor(F.conv(F.substr("job_id", F.lit(5)), 16, 10).cast("bigint")).alias("job_ids"),
         F.bit_xor(F.conv(F.substr("song_hash", F.lit(1), F.lit(12)), 16, 10).cast("bigint")).alias("song_hashes"),
-        F.count("*").alias("total"),
+        F.count("job_id").alias("total"),
         F.count_if(F.col("error") == "").alias("successful"),
         F.count_if(F.col("error") != "").alias("failed"),
+        F.count("detail").alias("rejected"),
+        F.count_if(F.col("detail").startswith("File must have")).alias("no_extension"),
     )
-    return counts.select("lang", "total", "successful", "failed", "instruments", "job_ids", "song_hashes")
+    return counts.select(
+        "lang", "total", "successful", "failed", F.coalesce("instruments", F.lit(0)).alias("instruments"),
+        "job_ids", "song_hashes", "rejected", "no_extension")
