@@ -178,10 +178,17 @@ def tokens_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
-def _in_parts(frames: Iterator[pa.RecordBatch], most: int = 100_000) -> Iterator[pa.RecordBatch]:
+def _in_parts(frames: Iterator[pa.RecordBatch], most: int = 100_000, most_bytes: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """Parts of up to so many words and so many bytes of them; a longer word is a part by itself."""
     for frame in frames:
-        for begin in range(0, frame.num_rows, most):
-            yield frame.slice(begin, most)
+        ends = np.cumsum(np.fromiter(map(len, frame.column(0).to_pylist()), dtype=np.int64, count=frame.num_rows))
+        begin = 0
+        while begin < frame.num_rows:
+            before = int(ends[begin - 1]) if begin else 0
+            fit = int(np.searchsorted(ends, before + most_bytes, side="right"))
+            end = min(max(fit, begin + 1), begin + most)
+            yield frame.slice(begin, end - begin)
+            begin = end
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
