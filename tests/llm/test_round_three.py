@@ -398,3 +398,18 @@ def test_base_spans_beside_a_loop(spark):
            for r in personal_data.personal_data(docs).collect()}
     for i, text in texts.items():
         assert got[i] == loop_base(text), (i, text[:200])
+
+
+def test_parts_of_words_are_bounded_by_bytes():
+    import pyarrow as pa
+
+    from timbrel.llm import lattice
+
+    words = [b"a" * 10] * 50 + [b"b" * 5000] + [b""] * 20 + [b"c" * 60] * 10
+    frame = pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(range(len(words)))], names=["word", "c"])
+    parts = list(lattice._in_parts([frame], most=30, most_bytes=100))
+    assert [v for p in parts for v in p.column(1).to_pylist()] == list(range(len(words)))
+    for p in parts:
+        own = p.column(0).to_pylist()
+        assert len(own) <= 30 and (sum(map(len, own)) <= 100 or len([w for w in own if w]) == 1)
+    assert list(lattice._in_parts([frame.slice(0, 0)])) == []
