@@ -4,20 +4,23 @@ from __future__ import annotations
 
 import heapq
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from timbrel.llm.rows import field, keyed, text_of
 
 #: The pattern that splits a text before the merges (fixed value).
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words whose ids a worker remembers before it starts again.
-REMEMBERED = 150_000
+REMEMBERED = 60_000
+#: New words are merged together once so many of their characters, or so many words of texts, are waiting.
+FRESH, WAITING = 400_000, 1_000_000
+#: Characters of the texts in one batch that a task gives back; a longer text is a batch of its own.
+GIVEN = 1_000_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -182,40 +185,39 @@ class Coder:
             out += ["\0" + part] if k % 2 else self.v.split.findall(part)
         return out
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[str, str]]:
-        """For each text its ids as decimals joined by commas, and the text decoded from them."""
-        if len(self.known) > REMEMBERED:
-            self.forget()
-        marks = {"\0" + t for t in self.v.special}
-        for mark in marks:
-            self.special(mark[1:])
-        known, fresh, places = self.known, [], []
+    def encode(self, texts: Iterable[str]) -> Iterator[tuple[str, str]]:
+        """For each text its ids as decimals joined by commas, and the text decoded from them.
+
+        Merging costs by active ranks more than by words, so texts wait as places
+        of their words until enough new words have come to be merged together.
+        """
+        waiting, n_waiting, n_fresh, fresh = [], 0, 0, []
         for text in texts:
-            words = self.words(text)
+            if not waiting:
+                if len(self.known) > REMEMBERED:
+                    self.forget()
+                for token in self.v.special:
+                    self.special(token)
+            known, words = self.known, self.words(text)
             for w in dict.fromkeys(words):
                 if w not in known:
                     known[w] = len(self.numbers) + len(fresh)
                     fresh.append(w)
-            places.append(np.fromiter(map(known.__getitem__, words), dtype=np.int32, count=len(words)))
+                    n_fresh += len(w)
+            waiting.append(np.fromiter(map(known.__getitem__, words), dtype=np.int32, count=len(words)))
+            n_waiting += len(words)
+            if n_fresh > FRESH or n_waiting > WAITING:
+                self.learn(fresh)
+                yield from map(self.given, waiting)
+                waiting, n_waiting, n_fresh, fresh = [], 0, 0, []
         self.learn(fresh)
-        for own in places:
-            at = own.tolist()
-            ids = ",".join(map(self.numbers.__getitem__, at))
-            yield ids, b"".join(map(self.decoded.__getitem__, at)).decode("utf-8", "replace")
-
-
-def batches(values: pa.Array, most: int = 2_000_000) -> Iterator[list[str]]:
-    """Runs of texts of about so many characters; a longer text is a run of its own."""
-    out, size = [], 0
-    for value in values:
-        text = value.as_py()
-        if out and size + len(text) > most:
-            yield out
-            out, size = [], 0
-        out.append(text)
-        size += len(text)
-    if out:
-        yield out
+        yield from map(self.given, waiting)
+
+    def given(self, places: np.ndarray) -> tuple[str, str]:
+        """Ids and decoded text of a text that is given as the places of its words."""
+        at = places.tolist()
+        ids = ",".join(map(self.numbers.__getitem__, at))
+        return ids, b"".join(map(self.decoded.__getitem__, at)).decode("utf-8", "replace")
 
 
 def bpe(docs: DataFrame, tokenizer: str, decode: bool = True) -> DataFrame:
@@ -232,23 +234,20 @@ def bpe(docs: DataFrame, tokenizer: str, decode: bool = True) -> DataFrame:
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(shared.value)
         for frame in frames:
-            begin = 0
-            for texts in batches(frame.column(2)):
-                part = frame.slice(begin, len(texts))
-                begin += len(texts)
-                ids, decoded = zip(*coder.encode(texts), strict=True)
+            begin, size, ids, texts = 0, 0, [], []
+            for k, (own, text) in enumerate(coder.encode(value.as_py() for value in frame.column(2))):
+                ids.append(own)
+                texts.append(text)
+                size += len(text)
+                if size < GIVEN and k + 1 < frame.num_rows:
+                    continue
+                part = frame.slice(begin, len(ids))
                 counts = [x.count(",") + 1 if x else 0 for x in ids]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(counts, pa.int64()), pa.array(ids, pa.string()),
-                     pa.array(decoded if decode else [None] * len(ids), pa.string())],
+                     pa.array(texts if decode else [None] * len(ids), pa.string())],
                     names=["row", "doc_id", "n_tokens", "ids", "decoded"])
+                begin, size, ids, texts = k + 1, 0, [], []
 
     plain = rows.select("row", field("doc_id", rows, "bigint").alias("doc_id"), text_of(rows).alias("text"))
     return plain.mapInArrow(run, "row binary, doc_id bigint, n_tokens bigint, ids string, decoded string")
-
-
-def with_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """row, doc_id, n_tokens and ids as an array."""
-    coded = bpe(docs, tokenizer, decode=False)
-    ids = F.when(F.col("ids") == "", F.array().cast("array<int>")).otherwise(F.split("ids", ",").cast("array<int>"))
-    return coded.select("row", "doc_id", "n_tokens", ids.alias("ids"))
