@@ -18,6 +18,8 @@ from timbrel.llm.rows import field, keyed, text_of, written
 BEGIN = "▁"
 #: Words kept in the tasks' memory: at most so many, all that occur often enough.
 FREQUENT = 100_000
+#: Words of more characters are not put side by side, but walked through in segments of so many.
+LONG = 4096
 #: Expected counts are added up in this fraction, as integers, so that reruns agree.
 UNIT = 4096
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -91,7 +93,7 @@ class Lattice:
         single = found[1] < 0
         spelled: dict[int, list[int]] = {}
         for c in np.unique(chars[single]).tolist():
-            spelled[c] = self.byte[list(chr(c).encode("utf-8", "surrogatepass"))].tolist()
+            spelled[c] = self.spelling(c)
         extra = np.full(len(chars), -np.inf)
         for c, own in spelled.items():
             extra[single & (chars == c)] = self.logs[own].sum()
@@ -140,8 +142,109 @@ class Lattice:
             beta[base[:n] + at] = total
         return beta
 
+    def segment(self, codes: np.ndarray, begin: int, end: int):
+        """The pieces that end in characters ``begin`` to ``end`` of a word: where they begin, their length, id and logarithm.
+
+        They come ordered by their end. A character that is no piece has id -1
+        and the logarithm of its spelling in bytes.
+        """
+        start = max(0, begin - self.longest + 1)
+        chars = codes[start:end].astype(np.uint64)
+        h = np.zeros(len(chars), dtype=np.uint64)
+        places, sizes, ids = [], [], []
+        for size in range(1, min(self.longest, len(chars)) + 1):
+            n = len(chars) - size + 1
+            h = h[:n] * _BASE + chars[size - 1 :] + np.uint64(1)
+            at = np.arange(max(0, begin + 1 - size - start), n)
+            place = np.minimum(np.searchsorted(self.keys, h[at]), len(self.keys) - 1)
+            hit = self.keys[place] == h[at]
+            own = np.where(hit, self.ids[place], -1)
+            if size > 1:
+                at, own = at[hit], own[hit]
+            places.append(at + start)
+            sizes.append(np.full(len(at), size, dtype=np.int64))
+            ids.append(own)
+        place, size, own = np.concatenate(places), np.concatenate(sizes), np.concatenate(ids)
+        order = np.argsort(place + size, kind="stable")
+        place, size, own = place[order], size[order], own[order]
+        logs = self.logs[own]
+        for c in np.unique(codes[place[own < 0]]).tolist():
+            logs[(own < 0) & (codes[place] == c)] = self.logs[self.spelling(c)].sum()
+        return place, size, own, logs
+
+    def spelling(self, code: int) -> list[int]:
+        """The byte pieces of a character."""
+        return self.byte[list(chr(code).encode("utf-8", "surrogatepass"))].tolist()
+
+    def ahead(self, edges, before: list[float], begin: int, end: int) -> list[float]:
+        """Logarithms of all ways to the places ``begin`` to ``end``; ``before`` has those up to ``begin``, its last one."""
+        place, size, _, logs = edges
+        alpha, shift = list(before), begin - len(before) + 1
+        cuts = np.searchsorted(place + size, np.arange(begin + 1, end + 2)).tolist()
+        place, logs = (place - shift).tolist(), logs.tolist()
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            terms = [alpha[place[k]] + logs[k] for k in range(a, b)]
+            most = max(terms)
+            alpha.append(most if most == -math.inf or b - a == 1 else most + math.log(sum([math.exp(x - most) for x in terms])))
+        return alpha[len(before) - 1 :]
+
+    def long_score(self, word: str) -> float:
+        """``score`` of one long word: segment by segment, a piece's length of places carried over."""
+        codes = np.frombuffer((BEGIN + word).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        carried = [0.0]
+        for begin in range(0, len(codes), LONG):
+            end = min(begin + LONG, len(codes))
+            found = self.ahead(self.segment(codes, begin, end), carried, begin, end)
+            carried = (carried[:-1] + found)[-self.longest :]
+        return carried[-1]
+
+    def long_expected(self, word: str, count: int) -> np.ndarray:
+        """``expected`` of one long word: forward once for what segments hand on, then from the last to the first.
+
+        Only the places handed on are kept; inside a segment the ways forward are
+        found again beside the ways back.
+        """
+        codes = np.frombuffer((BEGIN + word).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        begins, handed, carried = list(range(0, len(codes), LONG)), [], [0.0]
+        for begin in begins:
+            handed.append(carried)
+            end = min(begin + LONG, len(codes))
+            found = self.ahead(self.segment(codes, begin, end), carried, begin, end)
+            carried = (carried[:-1] + found)[-self.longest :]
+        whole, out = carried[-1], np.zeros(len(self.logs))
+        after = {len(codes): 0.0}  # ways back of the places that a segment shares with the next one
+        for begin, before in zip(reversed(begins), reversed(handed), strict=True):
+            end = min(begin + LONG, len(codes))
+            edges = self.segment(codes, begin, end)
+            alpha = before[:-1] + self.ahead(edges, before, begin, end)
+            place, size, ids, logs = edges
+            shift = begin - len(before) + 1
+            # the pieces that end in this segment give their share to the places where they begin
+            beta = [after.get(k, -math.inf) for k in range(shift, end + 1)]
+            starts, ends, weights = (place - shift).tolist(), (place + size - shift).tolist(), logs.tolist()
+            for k in range(len(starts) - 1, -1, -1):
+                x, y = beta[starts[k]], weights[k] + beta[ends[k]]
+                high, low = (x, y) if x > y else (y, x)
+                beta[starts[k]] = high if low == -math.inf else high + math.log1p(math.exp(low - high))
+            share = np.exp(np.array(alpha)[place - shift] + logs + np.array(beta)[place + size - shift] - whole) * count
+            known = ids >= 0
+            out += np.bincount(ids[known], weights=share[known], minlength=len(out))
+            odd = codes[place[~known]]
+            for c in np.unique(odd).tolist():
+                np.add.at(out, self.spelling(c), share[~known][odd == c].sum())
+            after = {k: beta[k - shift] for k in range(shift, begin + 1)}
+        return out[:-1]
+
     def score(self, words: list[str]) -> np.ndarray:
         """Natural logarithm of each word's marginal probability."""
+        if any(len(w) > LONG for w in words):
+            out, short = np.empty(len(words)), [i for i, w in enumerate(words) if len(w) <= LONG]
+            if short:
+                out[short] = self.score([words[i] for i in short])
+            for i, w in enumerate(words):
+                if len(w) > LONG:
+                    out[i] = self.long_score(w)
+            return out
         order = sorted(range(len(words)), key=lambda i: -len(words[i]))
         edges = self.edges([words[i] for i in order])
         alpha = self.forward(edges)
@@ -152,6 +255,13 @@ class Lattice:
 
     def expected(self, words: list[str], counts: np.ndarray) -> np.ndarray:
         """How often each piece is expected to be used in so many occurrences of the words."""
+        if any(len(w) > LONG for w in words):
+            short = [i for i, w in enumerate(words) if len(w) <= LONG]
+            out = self.expected([words[i] for i in short], np.asarray(counts)[short]) if short else np.zeros(len(self.logs) - 1)
+            for w, c in zip(words, np.asarray(counts).tolist(), strict=True):
+                if len(w) > LONG:
+                    out += self.long_expected(w, c)
+            return out
         order = sorted(range(len(words)), key=lambda i: -len(words[i]))
         edges = self.edges([words[i] for i in order])
         begins, lengths, chars, found, extra, spelled = edges
@@ -225,7 +335,9 @@ def lattice_score(docs: DataFrame, model: str) -> DataFrame:
     ``base_score`` is the add-one unigram score. A null text counts as empty and
     has the end alone; without training documents the first weights hold; an
     empty table gives an empty result; rows that repeat a doc_id are scored, and
-    counted in training, one by one.
+    counted in training, one by one. A word of any length is scored whole: over
+    ``LONG`` characters it is walked through in segments, with the same result
+    and the memory of one segment.
     """
     rows = docs if "doc" in docs.columns and "row" in docs.columns else keyed(docs)
     spark = rows.sparkSession
