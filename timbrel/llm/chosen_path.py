@@ -19,8 +19,8 @@ WORDS, SIMILARITY = 5, 0.8
 RECALL = 0.999
 #: Levels of a path; a bucket over LIMIT sets is split further, down to the last level.
 DEPTH, LIMIT = 3, 64
-#: Sets that one task compares with each other; larger buckets are compared block by block.
-BLOCK = 1024
+#: Sets, and shingles of them, that one task compares with each other; larger buckets are compared block by block.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
                  0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
@@ -138,7 +138,10 @@ def signed_sets(rows: DataFrame, runs: int, words: int, similarity: float) -> Da
 
 
 def buckets(sets: DataFrame) -> DataFrame:
-    """key, row, n: the leaves of the paths that hold two sets or more, one of those with equal members.
+    """key, row, blocks: the leaves of the paths that hold two sets or more, one of those with equal members.
+
+    ``blocks`` is the number of parts a leaf is compared in, by its sets and by
+    their shingles, so that neither many sets nor long ones fill a task.
 
     A node with at most ``LIMIT`` sets is a leaf; of larger ones the children on
     the next level are looked at, and nodes of the last level are leaves of any
@@ -148,20 +151,24 @@ def buckets(sets: DataFrame) -> DataFrame:
     leaves, open_nodes = None, None
     for level in range(1, DEPTH + 1):
         if level == 1:
-            nodes = sets.select("row", F.explode("k1").alias("key"))
+            nodes = sets.select("row", "size", F.explode("k1").alias("key"))
         else:
             both = F.arrays_zip(F.col(f"p{level}").alias("p"), F.col(f"k{level}").alias("k"))
-            each = sets.select("row", F.col(f"k{level - 1}").alias("above"), F.explode(both).alias("x"))
-            each = each.select("row", F.get("above", F.col("x.p").cast("int")).alias("parent"), F.col("x.k").alias("key"))
-            nodes = sifted(each, "parent", sieve(open_nodes, "key")).filter("maybe").select("row", "key")
-        sized = written(with_groups(nodes.distinct(), ["key"], F.col("row")).filter("size > 1").select("key", "row", F.col("size").alias("n")), "path-nodes")
+            each = sets.select("row", "size", F.col(f"k{level - 1}").alias("above"), F.explode(both).alias("x"))
+            each = each.select("row", "size", F.get("above", F.col("x.p").cast("int")).alias("parent"), F.col("x.k").alias("key"))
+            nodes = sifted(each, "parent", sieve(open_nodes, "key")).filter("maybe").select("row", "size", "key")
+        nodes = nodes.distinct().withColumnRenamed("size", "shingles")
+        sized = with_groups(nodes, ["key"], F.col("row"), total="shingles").filter("size > 1")
+        blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
+        sized = written(sized.select("key", "row", F.col("size").alias("n"), blocks.alias("blocks")), "path-nodes")
         own = sized if level == DEPTH else sized.filter(F.col("n") <= LIMIT)
         leaves = own if leaves is None else leaves.union(own)
         open_nodes = sized.filter(F.col("n") > LIMIT).select("key")
+    leaves = leaves.select("key", "row", "n", "blocks")
     members = leaves.groupBy("key", "n").agg(
         F.bit_xor(F.xxhash64("row")).alias("a"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("b"))
     first = members.groupBy("n", "a", "b").agg(F.min("key").alias("key"))
-    return sifted(leaves, "key", sieve(first, "key")).filter("maybe").drop("maybe")
+    return sifted(leaves, "key", sieve(first, "key")).filter("maybe").select("key", "row", "blocks")
 
 
 def _links(group: list[tuple], similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -212,7 +219,7 @@ def _links(group: list[tuple], similarity: float) -> tuple[np.ndarray, np.ndarra
 
 def found_links(rows: DataFrame, leaves: DataFrame, words: int, similarity: float) -> DataFrame:
     """row, n_links, first: what each bucket, or pair of blocks of a large bucket, finds for a set."""
-    lists = written(leaves.groupBy("row").agg(F.collect_set(F.struct("key", "n")).alias("of")), "path-lists")
+    lists = written(leaves.groupBy("row").agg(F.collect_set(F.struct("key", "blocks")).alias("of")), "path-lists")
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
@@ -223,9 +230,8 @@ def found_links(rows: DataFrame, leaves: DataFrame, words: int, similarity: floa
     some = sifted(rows.select("row", text_of(rows).alias("text")), "row", sieve(lists, "row")).filter("maybe")
     tokens = some.select("row", "text").mapInArrow(run, "row binary, tokens binary")
     each = tokens.join(lists, "row").select("row", "tokens", F.col("of.key").alias("keys"), F.explode("of").alias("b"))
-    blocks = F.ceil(F.col("b.n") / BLOCK).cast("int")
-    own_block = F.pmod(F.xxhash64("row"), blocks).cast("int")
-    each = each.select("row", "tokens", "keys", F.col("b.key").alias("key"), blocks.alias("blocks"), own_block.alias("block"))
+    own_block = F.pmod(F.xxhash64("row"), F.col("b.blocks")).cast("int")
+    each = each.select("row", "tokens", "keys", F.col("b.key").alias("key"), F.col("b.blocks").alias("blocks"), own_block.alias("block"))
     each = each.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     each = each.select(
         "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "row", "keys", "tokens")
@@ -293,7 +299,9 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, similarity: float = SIMILA
     a group, named in the same way; ``kept`` holds for one row of each group.
     A text of fewer words than a shingle is one shingle; texts without words
     (null too) are one class without links; an empty table gives an empty
-    result; rows that repeat a doc_id are copies like others.
+    result; rows that repeat a doc_id are copies like others. Very long texts are
+    compared whole: a block ends at ``BLOCK_SHINGLES`` shingles on average, so a
+    task holds about two blocks, or two sets that are larger by themselves.
     """
     rows = docs if "doc" in docs.columns and "row" in docs.columns else keyed(docs)
     signed = signed_sets(rows, runs_for(recall), words, similarity)

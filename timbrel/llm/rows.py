@@ -83,17 +83,20 @@ def without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
     return marked.filter("not maybe").select("row", "doc").union(doubt.select("row", "doc"))
 
 
-def with_groups(df: DataFrame, keys: list[str], first: Column, by: str = "row") -> DataFrame:
-    """Adds ``size`` and ``best`` (the least ``first``) of each row's group.
+def with_groups(df: DataFrame, keys: list[str], first: Column, by: str = "row", total: str | None = None) -> DataFrame:
+    """Adds ``size`` and ``best`` (the least ``first``) of each row's group, and ``total`` of a column if one is named.
 
     A group is aggregated by shares of its rows, and its totals go back by the
     same shares, so that no task gets a hot group as a whole. Column ``by``
     tells the rows of a group apart.
     """
     shared = df.withColumn("_share", F.pmod(F.xxhash64(by), F.lit(SHARES)))
-    parts = shared.groupBy(*keys, "_share").agg(F.count("*").alias("n"), F.min(first).alias("best"))
+    sums = [F.sum(total).alias("total")] if total else []
+    again = [F.sum("total").alias("total")] if total else []
+    parts = shared.groupBy(*keys, "_share").agg(F.count("*").alias("n"), F.min(first).alias("best"), *sums)
     whole = parts.groupBy(*keys).agg(
-        F.sum("n").alias("size"), F.min("best").alias("best"), F.collect_list("_share").alias("_shares")
+        F.sum("n").alias("size"), F.min("best").alias("best"), F.collect_list("_share").alias("_shares"), *again
     )
-    back = whole.select(*keys, "size", "best", F.explode("_shares").alias("_share"))
+    added = ["size", "best", "total"] if total else ["size", "best"]
+    back = whole.select(*keys, *added, F.explode("_shares").alias("_share"))
     return shared.join(back, [*keys, "_share"]).drop("_share")
