@@ -107,7 +107,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = 7) ->
     children settle those, level by level. Documents without words are not
     taken; null is a source of its own, the last one; an empty table gives an
     empty result; rows that repeat a doc_id are rounded one by one. The draws
-    depend on doc_id, text, size and source alone, so reruns agree.
+    depend on doc_id, text, size and source alone, so reruns agree; only a row
+    that is repeated a thousand times and more (in doc_id and text) is dealt over
+    the leaves by its place in the table, so that no leaf gets all of it.
     """
     rows = docs if "doc" in docs.columns and "row" in docs.columns else keyed(docs)
     text = text_of(rows)
@@ -118,13 +120,17 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = 7) ->
     goal = written(targets(sized, weights), "mix-targets")
     named = goal.withColumnRenamed("source", "of")
     with_goal = sized.join(named, F.col("source").eqNullSafe(F.col("of")))
+    # rows equal in doc_id and text draw alike: where they would fill a leaf by themselves, they are dealt over all leaves
+    rank = F.xxhash64("doc_id", "content", F.lit(seed))
+    often = sized.groupBy("doc_id", "content").count().filter(F.col("count") >= LEAF // 4).select(rank.alias("rank"))
+    with_goal = sifted(with_goal.withColumn("rank", rank), "rank", sieve(often, "rank"))
     rate = F.col("target") / F.col("source_size")
     whole = F.floor(rate + TINY)
     leaves = F.greatest(F.lit(1), F.ceil(F.col("n") / LEAF))
-    rank = F.xxhash64("doc_id", "content", F.lit(seed))
+    dealt = F.when(F.col("maybe"), F.xxhash64("rank", "row")).otherwise(F.col("rank"))
     open_rows = with_goal.filter("size > 0").select(
-        "source", F.pmod(rank, leaves).alias("node"), "row", "size", whole.cast("int").alias("up"),
-        F.greatest(rate - whole, F.lit(0.0)).alias("p"), rank.alias("rank"), F.coalesce("doc_id", F.lit(0)).alias("id"))
+        "source", F.pmod(dealt, leaves).alias("node"), "row", "size", whole.cast("int").alias("up"),
+        F.greatest(rate - whole, F.lit(0.0)).alias("p"), "rank", F.coalesce("doc_id", F.lit(0)).alias("id"))
     most = goal.agg(F.max(F.ceil(F.col("n") / LEAF))).first()[0] or 1
     done, level = [], 0
     while True:
