@@ -138,7 +138,7 @@ def signed_sets(rows: DataFrame, runs: int, words: int, similarity: float) -> Da
 
 
 def buckets(sets: DataFrame) -> DataFrame:
-    """key, row, blocks: the leaves of the paths that hold two sets or more, one of those with equal members.
+    """key, row, n, blocks: the leaves of the paths that hold two sets or more, one of those with equal members.
 
     ``blocks`` is the number of parts a leaf is compared in, by its sets and by
     their shingles, so that neither many sets nor long ones fill a task.
@@ -168,7 +168,7 @@ def buckets(sets: DataFrame) -> DataFrame:
     members = leaves.groupBy("key", "n").agg(
         F.bit_xor(F.xxhash64("row")).alias("a"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("b"))
     first = members.groupBy("n", "a", "b").agg(F.min("key").alias("key"))
-    return sifted(leaves, "key", sieve(first, "key")).filter("maybe").select("key", "row", "blocks")
+    return sifted(leaves, "key", sieve(first, "key")).filter("maybe").drop("maybe")
 
 
 def _links(group: list[tuple], similarity: float) -> tuple[np.ndarray, np.ndarray]:
