@@ -265,3 +265,95 @@ def test_missing_jobs_are_named_while_running(spark, tmp_path):
     finally:
         query.stop()
     assert sorted((r.job, r.missing) for r in got) == [("a", False), ("a", False), ("b", True), ("c", True), ("d", False)]
+
+
+class _AtWork:
+    """A query whose first batch takes as long as ``batch`` says and is followed by empty ones."""
+
+    def __init__(self, batch):
+        self.end, self.isActive = time.monotonic() + batch, True
+
+    @property
+    def status(self):
+        return {"isTriggerActive": True}
+
+    @property
+    def lastProgress(self):
+        over = time.monotonic() - self.end
+        return None if over < 0 else {"batchId": int(over / 0.05), "numInputRows": int(over < 0.05)}
+
+
+def test_a_long_batch_is_no_standstill():
+    query = _AtWork(1.0)
+    runs.wait_for(lambda: time.monotonic() > query.end + 0.1, query, seconds=0.4, pause=0.02)
+    with pytest.raises(TimeoutError):
+        runs.wait_for(lambda: False, query, seconds=0.4, pause=0.02)
+    with pytest.raises(TimeoutError):
+        runs.wait_for(lambda: False, seconds=0.1, pause=0.02)
+
+
+class _Held(dict):
+    writes = 0
+
+    def updateValue(self, key, value):
+        self[key], self.writes = value, self.writes + 1
+
+    def getValue(self, key):
+        return self[key]
+
+
+class _Seen:
+    value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+class _Handle:
+    def __init__(self):
+        self.seen, self.held, self.timers = _Seen(), _Held(), []
+
+    def getValueState(self, name, schema):
+        return self.seen
+
+    def getMapState(self, name, key, value):
+        return self.held
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def listTimers(self):
+        return iter(self.timers)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+    def getCurrentProcessingTimeInMs(self):
+        return 0
+
+
+@pytest.mark.parametrize("markers", [0, 1, 2])
+def test_waiting_rows_share_entries_of_the_state(markers, monkeypatch):
+    monkeypatch.setattr(warmup, "ENTRY", 5000)
+    handle = _Handle()
+    job = warmup.WarmUp(["id", "data"], T.StructType(), "warm", 2, 1000)
+    job.init(handle)
+    row = T.Row("id", "warm", "data")
+    out = []
+    for begin in (0, 3000):
+        out += job.handleInputRows(("k",), iter([row(i, False, [f"d{i}"]) for i in range(begin, begin + 3000)]), handle)
+    assert not out and 10 < handle.held.writes < 60  # not one for each row
+    assert all(len(v[0]) < 5100 for v in handle.held.values())
+    out += job.handleInputRows(("k",), iter([row(-1, True, None)] * markers), handle)
+    out += job.handleInputRows(("k",), iter([row(6000, False, None)]), handle)
+    assert bool(handle.timers) == (markers < 2)
+    if handle.timers:
+        out += job.handleExpiredTimer(("k",), handle, None)
+    assert [(r.id, r.data) for r in out] == [(i, [f"d{i}"]) for i in range(6000)] + [(6000, None)]
+    assert {r.warm_up for r in out} == {"warm" if markers == 2 else "timeout"} and not handle.held

@@ -47,13 +47,30 @@ def start_split(
     )
 
 
+#: Batches without rows after which a query may count as standing still.
+_EMPTY_BATCHES = 3
+
+
 def wait_for(ready: Callable[[], bool], query: StreamingQuery | None = None, seconds: float = 120.0, pause: float = 0.3) -> None:
-    """Wait until something holds; an ended query raises its error, and so does a wait that takes too long."""
+    """Wait until something holds; an ended query raises its error, and so does a standstill that takes too long.
+
+    With a query, ``seconds`` count from the last batch that took in rows, and a
+    batch that is still at work is no standstill, however long it takes.
+    """
     limit = time.monotonic() + seconds
+    last, empty = -1, 0
     while not ready():
         if query is not None and not query.isActive and query.exception() is not None:
             raise query.exception()
-        if time.monotonic() > limit:
+        at_work = False
+        if query is not None and query.isActive:
+            done = query.lastProgress
+            if done is not None and done["batchId"] != last:
+                last, empty = done["batchId"], empty + 1
+                if done["numInputRows"]:
+                    limit, empty = time.monotonic() + seconds, 0
+            at_work = query.status["isTriggerActive"] and empty < _EMPTY_BATCHES
+        if time.monotonic() > limit and not at_work:
             raise TimeoutError(f"not so after {seconds} s")
         time.sleep(pause)
 

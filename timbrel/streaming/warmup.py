@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import io
+import pickle
 from collections.abc import Iterator
 from typing import Any
 
@@ -17,11 +19,15 @@ STATE_STORE = (
 )
 
 
+#: Bytes of waiting rows that make one entry of the state.
+ENTRY = 1 << 20
+
+
 class WarmUp(StatefulProcessor):
     """Per key: counts warm-up rows and holds the others back until ``n`` have come or the timer ends.
 
     The timer starts with the first row of a key. What is held lies in the
-    state store, not in the task.
+    state store, many rows to an entry; a task has one entry of a key at a time.
     """
 
     def __init__(self, names: list[str], schema: T.StructType, marker: str, n: int, timeout_ms: int):
@@ -29,46 +35,65 @@ class WarmUp(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", "n bigint, ended string")
-        self.held = handle.getListState("held", self.schema)
+        self.out = Row(*self.names, "warm_up")
+        self.seen = handle.getValueState("seen", "n bigint, ended string, entries bigint")
+        self.held = handle.getMapState("held", "entry bigint", "rows binary")
 
-    def _release(self, ended: str) -> Iterator[Row]:
-        for values in self.held.get():
-            yield self._out(values, ended)
+    def _release(self, ended: str, entries: int, waiting: bytes = b"") -> Iterator[Row]:
+        for k in range(entries):
+            yield from self._rows(self.held.getValue((k,))[0], ended)
         self.held.clear()
+        yield from self._rows(waiting, ended)
+
+    def _rows(self, packed: bytes, ended: str) -> Iterator[Row]:
+        source = io.BytesIO(packed)
+        while source.tell() < len(packed):
+            yield self.out(*pickle.load(source), ended)
 
-    def _out(self, values: Any, ended: str) -> Row:
-        return Row(*self.names, "warm_up")(*values, ended)
+    def _end_timers(self) -> None:
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         state = self.seen.get() if self.seen.exists() else None
-        n, ended = state if state is not None else (0, None)
+        n, ended, entries = state if state is not None else (0, None, 0)
         if state is None:
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms)
-        waiting = []
+            if self.n > 0:
+                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms)
+            else:
+                ended = "warm"
+        waiting = io.BytesIO()
+        mark, places = None, []
         for row in rows:
-            if row[self.marker]:
+            if mark is None:
+                mark, places = row.__fields__.index(self.marker), [row.__fields__.index(name) for name in self.names]
+            if row[mark]:
                 n += 1
+                if ended is None and n >= self.n:
+                    ended = "warm"
+                    self._end_timers()
+                    yield from self._release(ended, entries, waiting.getvalue())
+                    waiting, entries = io.BytesIO(), 0
                 continue
-            values = tuple(row[name] for name in self.names)
+            values = tuple(row)
+            values = tuple([values[k] for k in places])
             if ended is not None:
-                yield self._out(values, ended)
-            else:
-                waiting.append(values)
-        if waiting:
-            self.held.appendList(waiting)
-        if ended is None and n >= self.n:
-            ended = "warm"
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            yield from self._release(ended)
-        self.seen.update((n, ended))
+                yield self.out(*values, ended)
+                continue
+            pickle.dump(values, waiting)
+            if waiting.tell() >= ENTRY:
+                self.held.updateValue((entries,), (waiting.getvalue(),))
+                waiting, entries = io.BytesIO(), entries + 1
+        if waiting.tell():
+            self.held.updateValue((entries,), (waiting.getvalue(),))
+            entries += 1
+        self.seen.update((n, ended, entries))
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        n, ended = self.seen.get()
+        n, ended, entries = self.seen.get()
         if ended is None:
-            self.seen.update((n, "timeout"))
-            yield from self._release("timeout")
+            self.seen.update((n, "timeout", 0))
+            yield from self._release("timeout", entries)
 
     def close(self) -> None:
         pass
