@@ -413,3 +413,18 @@ def test_parts_of_words_are_bounded_by_bytes():
         own = p.column(0).to_pylist()
         assert len(own) <= 30 and (sum(map(len, own)) <= 100 or len([w for w in own if w]) == 1)
     assert list(lattice._in_parts([frame.slice(0, 0)])) == []
+
+
+def test_the_query_takes_every_text_through_pieces(spark, tmp_path, monkeypatch):
+    from timbrel.llm import middle_queries
+
+    taken = []
+    monkeypatch.setattr(middle_queries, "digests", lambda pieces: taken.append(pieces) or fill_middle.digests(pieces))
+    texts = {i: f"word {i} in a text\n" if i % 5 else "" for i in range(40)}
+    spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = middle_queries.op12_fill_middle(spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.restored_sha256 for r in got} == {i: sha(t) for i, t in texts.items()}
+    pieces = taken[0].groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.sum(F.octet_length("data")).alias("size")).collect()
+    marks = {r.doc_id: 0 if r.form == "plain" else 9 for r in got}
+    assert {r.doc_id: r.size or 0 for r in pieces} == {i: len(t) + marks[i] for i, t in texts.items()}
+    assert {r.form for r in got} == {"plain", "spm", "psm"}

@@ -33,5 +33,5 @@ from timbrel.llm.registry import documents, query
     """,
 )
 def op12_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
-    """Form, parts and digests of output and restored text of every document."""
-    return digests(output_pieces(documents(spark, folder), plain=False)).drop("row")
+    """Form, parts and digests of output and restored text of every document, all by sorted pieces."""
+    return digests(output_pieces(documents(spark, folder))).drop("row")
