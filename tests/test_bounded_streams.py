@@ -357,3 +357,61 @@ def test_waiting_rows_share_entries_of_the_state(markers, monkeypatch):
         out += job.handleExpiredTimer(("k",), handle, None)
     assert [(r.id, r.data) for r in out] == [(i, [f"d{i}"]) for i in range(6000)] + [(6000, None)]
     assert {r.warm_up for r in out} == {"warm" if markers == 2 else "timeout"} and not handle.held
+
+
+@pytest.mark.parametrize("together", [1, 3, 100])
+def test_batches_that_wait_are_taken_together(spark, tmp_path, together):
+    """The same batches in fewer triggers; bounds and later runs stay exact."""
+    put(spark, tmp_path / "in", 0, 57, files=5)
+    settings = {"batch_size": 4, "parallelism": 3, "together": together}
+    path = f"{tmp_path}/run"
+    assert batches.read_bounded(spark, f"{tmp_path}/in", path, SCHEMA, 18, **settings) == 18
+    first = spark.read.parquet(f"{path}/table").select("batch").distinct().count()
+    assert first == {1: 5, 3: 3, 100: 2}[together]
+    assert batches.read_bounded(spark, f"{tmp_path}/in", path, SCHEMA, None, **settings) == 57
+    got = numbered(spark, path)
+    assert [n for _, n in sorted(got)] == [4, 4, 4, 4, 2, *[4] * 9, 3] and [b for b, _ in sorted(got)] == list(range(15))
+    assert sorted(sum(got.values(), [])) == list(range(57))
+    if together == 100:  # batches are runs of neighbours in the order of the files
+        ledger = sources.Ledger(f"{tmp_path}/in", f"{path}/ledger")
+        order = sum((spark.read.parquet(p).toPandas()["id"].tolist() for p in ledger.paths), [])
+        sizes = sorted(got)
+        at = 0
+        for key in sizes:
+            assert sorted(got[key]) == sorted(order[at : at + key[1]])
+            at += key[1]
+
+
+def test_a_trigger_of_many_batches_that_failed_is_read_again(spark, tmp_path):
+    put(spark, tmp_path / "in", 0, 20, files=2)
+    path, seen = f"{tmp_path}/run", []
+
+    def run(fail):
+        def sink(batch, i):
+            rows = sorted((r.id, r[sources.FIRST]) for r in batch.collect())
+            if fail:
+                seen.append(rows)
+                raise RuntimeError("lost")
+            seen.append(rows)
+
+        stream = sources.stream_rows(spark, f"{tmp_path}/in", f"{path}/ledger", SCHEMA, batch_size=8, batch_timeout=0.1, together=9)
+        return stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{path}/checkpoint").trigger(processingTime="0 seconds").start()
+
+    with pytest.raises(Exception, match="lost"):
+        run(True).awaitTermination()
+    second = run(False)
+    try:
+        runs.wait_for(lambda: batches.offset_of(second) == 20, second)
+    finally:
+        second.stop()
+    assert seen[0] == seen[1] and sorted({f for _, f in sum(seen, [])}) == [0, 8, 16]
+    assert sorted(i for i, _ in sum(seen[1:], [])) == list(range(20))
+
+
+def test_together_needs_its_column(spark, tmp_path):
+    put(spark, tmp_path / "in", 0, 3)
+    with pytest.raises(ValueError, match="told apart"):
+        batches.start_rows(spark, f"{tmp_path}/in", f"{tmp_path}/run", SCHEMA, lambda rows: rows.select("id"), together=2)
+    with pytest.raises(ValueError, match="no column"):
+        schema = T.StructType([T.StructField(sources.FIRST, T.LongType())])
+        batches.start_rows(spark, f"{tmp_path}/in", f"{tmp_path}/run", schema, together=2)

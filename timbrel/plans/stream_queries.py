@@ -24,8 +24,12 @@ def _with_error(events):
     return events.select("event_id", "user_id", F.expr(ERROR_TEXT).alias("error"))
 
 
-#: Rows of a micro-batch in the queries below.
-BATCH = 4000
+#: Rows of a micro-batch in the queries below, and how many that wait are taken by one trigger.
+BATCH, TOGETHER = 4000, 256
+
+
+def _with_error_and_batch(events):
+    return events.select("event_id", "user_id", F.expr(ERROR_TEXT).alias("error"), batches.FIRST)
 
 
 @query(
@@ -39,7 +43,8 @@ def stream_intake(spark, folder):
     source, path = f"{folder}/events.parquet", run_dir(spark, "stream-intake")
     events = table(spark, folder, "events")
     batches.read_bounded(
-        spark, source, path, events.schema, None, shape=_with_error, batch_size=BATCH, batch_timeout=0.2, parallelism=4)
+        spark, source, path, events.schema, None, shape=_with_error_and_batch,
+        batch_size=BATCH, batch_timeout=0.2, parallelism=4, together=TOGETHER)
     return batches.read_numbered(spark, f"{path}/table", _with_error(events).schema)
 
 

@@ -9,6 +9,7 @@ from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
@@ -22,11 +23,15 @@ def _opened(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path)
 
 
+#: Column with the place in the stream of the first row of a row's batch.
+FIRST = "_first_row"
+
+
 class _Rows(InputPartition):
-    """Rows ``low`` to ``high`` of one or more files: (path, low, high)."""
+    """Rows ``low`` to ``high`` of one or more files: (path, low, high); the stream's rows from ``at``, of a trigger from ``begin``."""
 
-    def __init__(self, slices: list[tuple[str, int, int]]):
-        self.slices = slices
+    def __init__(self, slices: list[tuple[str, int, int]], at: int, begin: int):
+        self.slices, self.at, self.begin = slices, at, begin
 
 
 class Ledger:
@@ -102,7 +107,10 @@ class Ledger:
 
 
 class RowStreamReader(DataSourceStreamReader):
-    """Offsets are counts of rows. A batch ends after ``batch_size`` rows, or sooner when rows have waited long enough."""
+    """Offsets are counts of rows. A batch ends after ``batch_size`` rows, or sooner when rows have waited long enough.
+
+    A trigger takes up to ``together`` full batches that wait, or one that time has ended.
+    """
 
     def __init__(self, schema: T.StructType, options: dict[str, str]):
         self.schema = schema
@@ -112,8 +120,9 @@ class RowStreamReader(DataSourceStreamReader):
         self.poll_interval = float(options.get("poll_interval", "0.05"))
         self.max_items = int(options["max_items"]) if "max_items" in options else None
         self.parallelism = int(options.get("parallelism", "1"))
-        if min(self.batch_size, self.parallelism) < 1 or (self.max_items is not None and self.max_items < 0):
-            raise ValueError("batch_size and parallelism are 1 or more, max_items is 0 or more")
+        self.together = int(options.get("together", "1"))
+        if min(self.batch_size, self.parallelism, self.together) < 1 or (self.max_items is not None and self.max_items < 0):
+            raise ValueError("batch_size, parallelism and together are 1 or more, max_items is 0 or more")
         self.ledger_path = options["ledger"]
         self.ledger: Ledger | None = None
         self.at: int | None = None  # rows given out
@@ -143,9 +152,9 @@ class RowStreamReader(DataSourceStreamReader):
         end = ledger.rows if self.limit is None else min(ledger.rows, self.limit)
         if end > self.at:
             self.waiting_since = now if self.waiting_since is None else self.waiting_since
-            full, last = end - self.at >= self.batch_size, self.limit is not None and end == self.limit
+            full, last = (end - self.at) // self.batch_size, self.limit is not None and end == self.limit
             if full or last or now - self.waiting_since >= self.batch_timeout:
-                self.at = min(end, self.at + self.batch_size)
+                self.at = min(end, self.at + self.batch_size * max(1, min(full, self.together)))
                 self.waiting_since = None
         return {"rows": self.at}
 
@@ -154,10 +163,21 @@ class RowStreamReader(DataSourceStreamReader):
         self._begin(end["rows"])
         ledger, low, high = self._ledger(), start["rows"], end["rows"]
         step = max(1, -(-(high - low) // self.parallelism))
-        return [_Rows(ledger.slices(k, min(high, k + step))) for k in range(low, high, step)]
+        return [_Rows(ledger.slices(k, min(high, k + step)), k, low) for k in range(low, high, step)]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         wanted = to_arrow_schema(self.schema)
+        numbered = FIRST in wanted.names
+        for batch in self._read(partition, pa.schema([f for f in wanted if f.name != FIRST])):
+            if numbered:
+                places = np.arange(partition.at, partition.at + len(batch)) - partition.begin
+                first = pa.array(places // self.batch_size * self.batch_size + partition.begin, pa.int64())
+                columns = {**dict(zip(batch.schema.names, batch.columns, strict=True)), FIRST: first}
+                partition.at += len(batch)
+                batch = pa.RecordBatch.from_arrays([columns[n] for n in wanted.names], schema=wanted)
+            yield batch
+
+    def _read(self, partition: InputPartition, wanted: pa.Schema) -> Iterator[pa.RecordBatch]:
         fs, _ = _opened(self.path)
         for path, low, high in partition.slices:
             with fs.open_input_file(path) as raw:
@@ -199,12 +219,19 @@ class RowStream(DataSource):
         if not ledger.paths:
             raise ValueError("give a schema for a folder that is still empty")
         with ledger.fs.open_input_file(ledger.paths[0]) as file:
-            return from_arrow_schema(pq.read_schema(file))
+            found = from_arrow_schema(pq.read_schema(file))
+        return _numbered(found) if int(self.options.get("together", "1")) > 1 else found
 
     def streamReader(self, schema: T.StructType) -> RowStreamReader:
         return RowStreamReader(schema, dict(self.options))
 
 
+def _numbered(schema: T.StructType) -> T.StructType:
+    if FIRST in schema.names:
+        raise ValueError(f"a table whose batches are taken together has no column {FIRST}")
+    return T.StructType([*schema.fields, T.StructField(FIRST, T.LongType())])
+
+
 def stream_rows(
     spark: SparkSession,
     path: str,
@@ -215,6 +242,7 @@ def stream_rows(
     poll_interval: float = 0.05,
     max_items: int | None = None,
     parallelism: int = 1,
+    together: int = 1,
 ) -> DataFrame:
     """Rows of Parquet files as they arrive, in micro-batches bounded by rows and time.
 
@@ -225,6 +253,11 @@ def stream_rows(
     ``parallelism`` tasks, each of which opens only the files and row groups of
     its rows.
 
+    With ``together`` over 1, one trigger takes so many full batches if they wait
+    already, since a trigger costs the same for few rows and for many. Batches are
+    the same ones then, and a column ``FIRST`` tells them apart: the place in the
+    stream of the first row of a row's batch.
+
     ``ledger`` is a folder, kept with the checkpoint, in which the order of the
     files is written down. Files appear whole (as Spark writes them); names that
     begin with a dot or underscore are not looked at. Like Spark's file source, the
@@ -235,9 +268,9 @@ def stream_rows(
     spark.dataSource.register(RowStream)
     reader = spark.readStream.format(RowStream.name()).option("path", path).option("ledger", ledger)
     if schema is not None:
-        reader = reader.schema(schema)
+        reader = reader.schema(_numbered(schema) if together > 1 else schema)
     given: dict[str, Any] = {
         "batch_size": batch_size, "batch_timeout": batch_timeout, "poll_interval": poll_interval,
-        "max_items": max_items, "parallelism": parallelism,
+        "max_items": max_items, "parallelism": parallelism, "together": together,
     }
     return reader.options(**{k: v for k, v in given.items() if v is not None}).load()

@@ -12,15 +12,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from timbrel.sources.rows import stream_rows
+from timbrel.sources.rows import FIRST, stream_rows
 
 Shape = Callable[[DataFrame], DataFrame]
 
 
 def numbered_sink(path: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function that writes each micro-batch once, into a folder named by its number.
+    """``foreachBatch`` function that writes what a trigger takes in once, into a folder named by its number.
 
-    A batch that is repeated after a failure overwrites its folder.
+    A trigger that is repeated after a failure overwrites its folder.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -32,14 +32,18 @@ def numbered_sink(path: str) -> Callable[[DataFrame, int], None]:
 def read_numbered(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """What :func:`numbered_sink` wrote, with ``batch`` and ``batch_rows``.
 
-    Batches are numbered from 0. The engine may begin a query with a batch of no
-    rows; it is not counted. The numbering sees one row per batch, not the rows.
+    Batches are numbered from 0, also those that one trigger took together. The
+    engine may begin a query with a batch of no rows; it is not counted. The
+    numbering sees one row per batch, not the rows.
     """
-    with_folder = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    fields = [f for f in schema.fields if f.name != FIRST]
+    with_folder = T.StructType([*fields, T.StructField(FIRST, T.LongType()), T.StructField("batch", T.LongType())])
     written = spark.read.schema(with_folder).parquet(path).withColumnRenamed("batch", "_folder")
-    sizes = written.groupBy("_folder").agg(F.count("*").alias("batch_rows"))
-    place = F.row_number().over(W.orderBy("_folder")).cast("bigint") - 1
-    return written.join(sizes.withColumn("batch", place), "_folder").drop("_folder")
+    # a folder without this column is one batch
+    written = written.withColumn(FIRST, F.coalesce(FIRST, F.lit(-1).cast("bigint")))
+    sizes = written.groupBy("_folder", FIRST).agg(F.count("*").alias("batch_rows"))
+    place = F.row_number().over(W.orderBy("_folder", FIRST)).cast("bigint") - 1
+    return written.join(sizes.withColumn("batch", place), ["_folder", FIRST]).drop("_folder", FIRST)
 
 
 def start_rows(
@@ -47,10 +51,13 @@ def start_rows(
 ) -> StreamingQuery:
     """Write arriving rows to ``path/table`` in numbered batches; ledger and checkpoint lie beside it.
 
-    ``bounds`` are those of :func:`timbrel.sources.rows.stream_rows`.
+    ``bounds`` are those of :func:`timbrel.sources.rows.stream_rows`; a ``shape``
+    keeps its column ``FIRST`` if batches are taken ``together``.
     """
     stream = stream_rows(spark, source, f"{path}/ledger", schema, **bounds)
     stream = shape(stream) if shape else stream
+    if bounds.get("together", 1) > 1 and FIRST not in stream.columns:
+        raise ValueError(f"shape drops {FIRST}, without which batches taken together cannot be told apart")
     writer = stream.writeStream.foreachBatch(numbered_sink(f"{path}/table"))
     return writer.option("checkpointLocation", f"{path}/checkpoint").trigger(processingTime="0 seconds").start()
 
