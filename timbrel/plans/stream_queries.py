@@ -57,11 +57,12 @@ def stream_bounded_read(spark, folder):
     """A first run takes exactly a third of the rows, a second one on the same checkpoint the others."""
     source, path = f"{folder}/events.parquet", run_dir(spark, "stream-bounded")
     events = table(spark, folder, "events")
-    shape, settings = _with_error, {"batch_size": BATCH, "parallelism": 4}
+    shape, settings = _with_error_and_batch, {"batch_size": BATCH, "parallelism": 4, "together": TOGETHER}
+    schema = _with_error(events).schema
     batches.read_bounded(spark, source, path, events.schema, events.count() // 3, shape, **settings)
-    first = batches.read_numbered(spark, f"{path}/table", shape(events).schema).agg(F.max("batch")).first()[0]
+    first = batches.read_numbered(spark, f"{path}/table", schema).agg(F.max("batch")).first()[0]
     batches.read_bounded(spark, source, path, events.schema, None, shape, **settings)
-    rows = batches.read_numbered(spark, f"{path}/table", shape(events).schema)
+    rows = batches.read_numbered(spark, f"{path}/table", schema)
     return rows.select("event_id", "user_id", "error", F.when(F.col("batch") <= first, 1).otherwise(2).alias("run"))
 
 
