@@ -87,3 +87,26 @@ def test_new_words_merged_together_at_any_bound(monkeypatch):
         got = list(bpe.Coder(content).encode(iter(texts)))
         assert [ids for ids, _ in got] == [",".join(map(str, own)) for own in want]
         assert [text for _, text in got] == [library.decode(own, skip_special_tokens=False) for own in want]
+
+
+@pytest.mark.parametrize("letters", [1, 2, 256])
+def test_transforms_of_copies_and_short_texts(letters):
+    """Order of all suffixes beside a plain sort, and marks beside a count of strings."""
+    from collections import Counter
+
+    from timbrel.llm.interleave import repeated_places, shard_transform
+
+    rng = np.random.default_rng(letters)
+    for _ in range(40):
+        texts = [rng.integers(256 - letters, 256, rng.integers(0, 30)).astype(np.uint8) for _ in range(rng.integers(1, 5))]
+        texts += [t[k:] for t in texts for k in rng.integers(0, 3, 2)]
+        symbols = [(*(int(x) + 1 for x in t), -len(texts) + k) for k, t in enumerate(texts)]
+        joined = [(k, at) for k, s in enumerate(symbols) for at in range(len(s))]
+        want = sorted(range(len(joined)), key=lambda i: symbols[joined[i][0]][joined[i][1] :])
+        assert shard_transform(texts)[1].tolist() == want
+        for length in (2, 9):
+            seen = Counter(t[k : k + length].tobytes() for t in texts for k in range(len(t) - length + 1))
+            got = repeated_places(texts, length, per_shard=3)
+            for t, marks in zip(texts, got, strict=True):
+                n = max(0, len(t) - length + 1)
+                assert marks[:n].tolist() == [seen[t[k : k + length].tobytes()] > 1 for k in range(n)]

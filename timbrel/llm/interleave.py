@@ -9,17 +9,27 @@ def shard_transform(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """The transform of a shard, and the position in the joined texts of each suffix in order.
 
     Bytes are shifted by one; every text ends with a 0, and equal ends are
-    ordered by place. Suffixes are sorted by prefix doubling.
+    ordered by place. Suffixes are sorted by their first symbols, then by prefix
+    doubling.
     """
     joined = np.concatenate([np.r_[t.astype(np.int64) + 1, 0] for t in texts])
     n = len(joined)
     ends = joined == 0
-    rank = np.where(ends, np.cumsum(ends) - 1, joined + int(ends.sum()))
+    text = np.cumsum(ends) - ends
+    # the first symbols in one number, up to an end and then the place of the text
+    step = max(1, (62 - len(texts).bit_length()) // 9)
+    rank, over = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=bool)
+    for k in range(step):
+        symbol = np.zeros(n, dtype=np.int64)
+        symbol[: max(0, n - k)] = joined[k:]
+        symbol[over] = 0
+        over |= symbol == 0
+        rank = rank << 9 | symbol
+    rank = rank * (len(texts) + 1) + np.where(over, text + 1, 0)
     rank = np.unique(rank, return_inverse=True)[1].astype(np.int64)
-    step = 1
     while rank.max() + 1 < n:
         ahead = np.full(n, -1, dtype=np.int64)
-        ahead[: n - step] = rank[step:]
+        ahead[: max(0, n - step)] = rank[step:]
         rank = np.unique(rank * (n + 1) + ahead + 1, return_inverse=True)[1].astype(np.int64)
         step *= 2
     order = np.empty(n, dtype=np.int64)
@@ -59,26 +69,33 @@ def merge(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndar
     common = np.where(fresh, 0, depth).astype(np.int32)
     block = np.empty(n, dtype=np.int32)  # where the block of a suffix begins
     block[order] = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
-    passed = np.arange(n)
+    passed = np.arange(n, dtype=np.int32)
     for h in range(2, depth + 1):
         here = order[passed]
         longer = ahead[here]
         some = longer >= 0
         longer, source = longer[some], block[here[some]]
         into = block[longer]
-        dealt = np.argsort(into, kind="stable")
+        # those with the same symbol in front stand in order, so sorting by this short key sorts by block
+        dealt = np.argsort(head[longer], kind="stable")
         longer, source, into = longer[dealt], source[dealt], into[dealt]
-        first = np.r_[True, into[1:] != into[:-1]]
-        border = ~first & np.r_[False, source[1:] != source[:-1]]
+        fresh = into[1:] != into[:-1]
+        border = np.r_[False, ~fresh & (source[1:] != source[:-1])]
         if not border.any():
             break
-        group = np.cumsum(first) - 1
-        place = into + (np.arange(len(into)) - np.flatnonzero(first)[group])
-        split = np.bincount(group[border], minlength=group[-1] + 1)[group] > 0
-        place, longer, starts = place[split], longer[split], (first | border)[split]
+        begins = np.r_[0, np.flatnonzero(fresh) + 1]
+        sizes = np.diff(begins, append=len(into))
+        hit = np.logical_or.reduceat(border, begins)
+        split = np.repeat(hit, sizes)
+        longer, into, border = longer[split], into[split], border[split]
+        sizes = sizes[hit]
+        begins = (np.cumsum(sizes) - sizes).astype(np.int32)
+        place = into + np.arange(len(into), dtype=np.int32) - np.repeat(begins, sizes)
         order[place] = longer
-        common[place[border[split]]] = h - 1
-        block[longer] = place[starts][np.cumsum(starts) - 1]
+        common[place[border]] = h - 1
+        border[begins] = True
+        starts = np.flatnonzero(border)
+        block[longer] = np.repeat(place[starts], np.diff(starts, append=len(into)))
         passed = place
     return order, common
 
