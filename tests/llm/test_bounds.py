@@ -89,6 +89,42 @@ def test_new_words_merged_together_at_any_bound(monkeypatch):
         assert [text for _, text in got] == [library.decode(own, skip_special_tokens=False) for own in want]
 
 
+def test_frequent_words_are_merged_once(monkeypatch):
+    """Words met again and again stay known when rare ones are forgotten."""
+    merged, encode_words = [], bpe.encode_words
+
+    def count(vocabulary, words):
+        merged.extend(words)
+        return encode_words(vocabulary, words)
+
+    monkeypatch.setattr(bpe, "encode_words", count)
+    monkeypatch.setattr(bpe, "REMEMBERED", 100)
+    monkeypatch.setattr(bpe, "FRESH", 100)
+    common = " ".join(f"c{k:c}" for k in range(ord("a"), ord("a") + 20))
+    texts = [f"{common} {common} rare{chr(200 + k) * 3}" for k in range(300)]
+    coder = bpe.Coder(open(tokenizer_path(), encoding="utf-8").read())
+    assert [text for _, text in coder.encode(iter(texts))] == texts
+    assert len(merged) == len(set(merged)) and len(coder.known) < 200
+
+
+def test_split_as_the_pattern_of_the_tokenizer():
+    import regex
+
+    plain = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+    own, draw = regex.compile(bpe.SPLIT), random.Random(4)
+    letters = "stremvld''  \n\t\u00a0\u3000é日²Ⅳ٣1_.<\u0301\0"
+    for _ in range(5000):
+        text = "".join(draw.choice(letters) for _ in range(draw.randrange(40)))
+        assert own.findall(text) == plain.findall(text)
+
+
+def test_decoded_bytes_that_are_no_text():
+    import pyarrow as pa
+
+    assert bpe.as_text(pa.array([b"a", b"\xff", b""], pa.binary())).to_pylist() == ["a", "\ufffd", ""]
+    assert bpe.as_text(bpe.joined(pa.array([], pa.binary()), np.array([0, 0]))).to_pylist() == ["", ""]
+
+
 @pytest.mark.parametrize("letters", [1, 2, 256])
 def test_transforms_of_copies_and_short_texts(letters):
     """Order of all suffixes beside a plain sort, and marks beside a count of strings."""
