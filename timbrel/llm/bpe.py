@@ -18,9 +18,9 @@ from timbrel.llm.rows import field, keyed, text_of
 #: matches as of ``'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+`` in three quarters of the time.
 SPLIT = r""" ?+\p{L}++|'(?:[stmd]|re|ve|ll)| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s+(?!\S)|\s+"""
 #: Words whose ids a worker remembers before it forgets the rarer ones.
-REMEMBERED = 100_000
+REMEMBERED = 60_000
 #: New words are merged together once so many of their characters, or so many words of texts, are waiting.
-FRESH, WAITING = 800_000, 1_000_000
+FRESH, WAITING = 400_000, 1_000_000
 #: Places put into the index at a time, which bounds the memory of looking up their ranks.
 STEP = 65_536
 #: Characters of the texts in one batch that a task gives back; a longer text is a batch of its own.
